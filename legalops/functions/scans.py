@@ -1,15 +1,15 @@
 """Running aggregates whose groups may be larger than a task can hold.
 
-A plain window sorts each group in one task. Here a group is cut into blocks by
-the leading bits of its order column, each block is scanned on its own, and what
-the earlier blocks add up to is carried in. The order column must be a
+A plain window sorts each group in one task. `running_by_block` cuts a group into
+blocks by the leading bits of its order column, scans each block on its own, and
+carries in what the earlier blocks add up to. The order column must be a
 non-negative long with few repeats inside a group (an id, or a position on a
 line), so the length of a block is bounded by its width and not by the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +37,27 @@ class Running:
         return F.greatest(carried, own)
 
 
-def running(
+Scan = Callable[..., DataFrame]
+
+
+def running_by_group(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    aggregates: Sequence[Running],
+    ties: Sequence[Column] = (),
+) -> DataFrame:
+    """Add inclusive running aggregates over `keys` with a plain window: for groups
+    that are known to fit a task."""
+    window = (
+        Window.partitionBy(*keys)
+        .orderBy(F.col(order), *ties)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return df.select("*", *[a.aggregate(a.value).over(window).alias(a.out) for a in aggregates])
+
+
+def running_by_block(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
@@ -45,7 +65,7 @@ def running(
     ties: Sequence[Column] = (),
     block_bits: Sequence[int] = BLOCK_BITS,
 ) -> DataFrame:
-    """Add inclusive running aggregates over `keys` in the order of `order`, then `ties`.
+    """The same for groups of any size, in blocks of the `order` column.
 
     Rows that repeat an `order` value share a block, so `ties` settles them there.
     """

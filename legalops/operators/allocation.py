@@ -7,19 +7,26 @@ document as far as their stretches of the line overlap.
 This holds when all documents precede all payments. Where they arrive mixed,
 `legalops.streaming.allocation` places them on the line and `match_positions`
 pairs them all the same.
+
+Agreements of ordinary size are ordered in one task each. One with more rows than
+that allows is scanned in blocks instead (`functions.scans`), with the same result.
 """
 
 from __future__ import annotations
 
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legalops.functions.scans import Running, running
+from legalops.functions.scans import Running, Scan, running_by_block, running_by_group
 
 AGREEMENT = ["id_client", "cooperation_agreement_no"]
 
+# Documents or payments of one agreement that a single task may sort.
+LARGE_AGREEMENT = 1 << 20
+
 
 class Allocation(NamedTuple):
     allocations: DataFrame
@@ -27,9 +34,9 @@ class Allocation(NamedTuple):
     leftovers: DataFrame
 
 
-def place(rows: DataFrame, id_column: str, amount: str) -> DataFrame:
+def place(rows: DataFrame, id_column: str, amount: str, scan: Scan = running_by_block) -> DataFrame:
     """Lay an agreement's rows end to end by id: adds where each starts and ends."""
-    placed = running(rows, AGREEMENT, id_column, [Running("ends_at", F.col(amount))])
+    placed = scan(rows, AGREEMENT, id_column, [Running("ends_at", F.col(amount))])
     return placed.withColumn("starts_at", F.col("ends_at") - F.col(amount))
 
 
@@ -40,13 +47,13 @@ def _stretches(placed: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-def match_positions(documents: DataFrame, payments: DataFrame) -> DataFrame:
+def match_positions(documents: DataFrame, payments: DataFrame, scan: Scan = running_by_block) -> DataFrame:
     """Amounts by which placed documents and payments overlap.
 
-    An overlap starts where its document or its payment starts, so each start asks
-    for the other side's row that began last before it: a running maximum along
-    the line. That is one row in and at most one row out, however many documents
-    and payments an agreement has.
+    Both have (agreement, id, starts_at, ends_at). An overlap starts where its
+    document or its payment starts, so each start asks for the other side's row that
+    began last before it: a running maximum along the line. That is one row in and
+    at most one row out, however many documents and payments an agreement has.
     """
     row = F.struct("starts_at", "ends_at", "id").alias("row")
     none = F.lit(None).cast("struct<starts_at: bigint, ends_at: bigint, id: bigint>")
@@ -59,7 +66,7 @@ def match_positions(documents: DataFrame, payments: DataFrame) -> DataFrame:
     )
     # Payments sort first on a shared start: the document there sees the payment,
     # and the payment sees earlier documents only, so the pair comes out once.
-    met = running(
+    met = scan(
         starts,
         AGREEMENT,
         "starts_at",
@@ -79,20 +86,15 @@ def match_positions(documents: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def allocate_payments(documents: DataFrame, bundles: DataFrame) -> Allocation:
-    """Settle documents by payments, oldest id first on both sides.
+def _beyond_line_end() -> Column:
+    """How much of a stretch lies beyond the end of the other side's line."""
+    start = F.greatest(F.col("starts_at"), F.coalesce(F.col("line_end"), F.lit(0)))
+    return F.greatest(F.col("ends_at") - start, F.lit(0))
 
-    allocations: which payment settled how much of which document. documents_after:
-    all documents with what is still owed. leftovers: what a payment had over.
-    """
-    payments = bundles.select(
-        "id_client",
-        F.col("parent_cooperation_agreement_no").alias("cooperation_agreement_no"),
-        "id_payment_bundle",
-        "total_amount",
-    )
-    owed = place(documents, "id_payment_document", "amount")
-    paid = place(payments, "id_payment_bundle", "total_amount")
+
+def _allocate(documents: DataFrame, payments: DataFrame, scan: Scan) -> Allocation:
+    owed = place(documents, "id_payment_document", "amount", scan)
+    paid = place(payments, "id_payment_bundle", "total_amount", scan)
 
     # What is settled ends where the shorter of the two lines ends.
     owed_to = documents.groupBy(*AGREEMENT).agg(F.sum("amount").alias("line_end"))
@@ -103,14 +105,41 @@ def allocate_payments(documents: DataFrame, bundles: DataFrame) -> Allocation:
     )
     return Allocation(
         match_positions(
-            _stretches(owed, "id_payment_document"), _stretches(paid, "id_payment_bundle")
+            _stretches(owed, "id_payment_document"), _stretches(paid, "id_payment_bundle"), scan
         ),
         after.select(*documents.columns),
         over.where(F.col("leftover") > 0),
     )
 
 
-def _beyond_line_end() -> Column:
-    """How much of a stretch lies beyond the end of the other side's line."""
-    start = F.greatest(F.col("starts_at"), F.coalesce(F.col("line_end"), F.lit(0)))
-    return F.greatest(F.col("ends_at") - start, F.lit(0))
+def _large_agreements(documents: DataFrame, payments: DataFrame, limit: int) -> DataFrame:
+    counts = [
+        side.groupBy(*AGREEMENT).count().where(F.col("count") > limit).select(*AGREEMENT)
+        for side in (documents, payments)
+    ]
+    return counts[0].unionByName(counts[1]).distinct()
+
+
+def allocate_payments(documents: DataFrame, bundles: DataFrame, large: int = LARGE_AGREEMENT) -> Allocation:
+    """Settle documents by payments, oldest id first on both sides.
+
+    allocations: which payment settled how much of which document. documents_after:
+    all documents with what is still owed. leftovers: what a payment had over.
+    """
+    payments = bundles.select(
+        "id_client",
+        F.col("parent_cooperation_agreement_no").alias("cooperation_agreement_no"),
+        "id_payment_bundle",
+        "total_amount",
+    )
+    # At most one row in `large` is the key of a large agreement, so these keys stay
+    # small enough to broadcast: some 100,000 of them for 10^11 rows.
+    hot = F.broadcast(_large_agreements(documents, payments, large))
+    split = partial(DataFrame.join, other=hot, on=AGREEMENT)
+    ordinary = _allocate(
+        split(documents, how="left_anti"), split(payments, how="left_anti"), running_by_group
+    )
+    blocked = _allocate(
+        split(documents, how="left_semi"), split(payments, how="left_semi"), running_by_block
+    )
+    return Allocation(*[a.unionByName(b) for a, b in zip(ordinary, blocked)])

@@ -2,6 +2,9 @@
 
 Every audit returns one row per rule: table_name, rule, failing_rows and the
 smallest key among the failing rows. A rule that holds has 0 failing rows.
+
+Each audit scans a table once for all its rules, and all tables meet in a single
+shuffle on (rule, key text), with copies of a key counted before it.
 """
 
 from __future__ import annotations
@@ -12,36 +15,38 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legalops.model import TABLES, ForeignKey, Table
+from legalops.model import TABLES, Table
 from legalops.sources.tables import Tables
 
+RuleName = tuple[str, str]
+
 
 def _key_text(columns: Sequence[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
+def _all_present(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(Column.__or__, conditions)
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _findings(df: DataFrame, table: str, rules: Sequence[tuple[str, Column, Column, Column]]) -> DataFrame:
-    """One pass over `df` for all rules (name, fails, rows, key), unfolded to rows."""
-    measured = []
-    for i, (_, fails, rows, key) in enumerate(rules):
-        measured.append(F.coalesce(F.sum(F.when(fails, rows)), F.lit(0)).alias(f"_rows{i}"))
-        measured.append(F.min(F.when(fails, key)).alias(f"_key{i}"))
-    unfolded = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(name).alias("rule"),
-                F.col(f"_rows{i}").alias("failing_rows"),
-                F.col(f"_key{i}").alias("sample_key"),
-            )
-            for i, (name, *_) in enumerate(rules)
-        ]
+def _findings(failing: DataFrame, rules: Sequence[RuleName]) -> DataFrame:
+    """Totals by rule of `failing` (rule number, key, rows), 0 for rules without any."""
+    listed = F.array(
+        *[F.struct(F.lit(i).alias("i"), F.lit(t).alias("table_name"), F.lit(r).alias("rule")) for i, (t, r) in enumerate(rules)]
+    )
+    names = failing.sparkSession.range(1).select(F.inline(listed))
+    totals = failing.groupBy("i").agg(F.sum("rows").alias("failing_rows"), F.min("key").alias("sample_key"))
+    return names.join(totals, "i", "left").select(
+        "table_name", "rule", F.coalesce("failing_rows", F.lit(0)).alias("failing_rows"), "sample_key"
     )
-    return df.agg(*measured).select(F.inline(unfolded))
 
 
 def _row_rules(table: Table, kinds: Sequence[str]) -> list[tuple[str, Column]]:
@@ -58,14 +63,24 @@ def _row_rules(table: Table, kinds: Sequence[str]) -> list[tuple[str, Column]]:
 
 
 def audit_rows(t: Tables, kinds: Sequence[str] = ("nulls", "checks", "identifiers")) -> DataFrame:
-    """Rules that look at one row: required columns, checks and domains, formats."""
+    """Rules that look at one row: required columns, checks and domains, formats.
+
+    Rows that break no rule are filtered out in the scan.
+    """
+    rules: list[RuleName] = []
     parts = []
     for name, table in TABLES.items():
-        key = _key_text(table.primary_key)
-        rules = [(rule, fails, F.lit(1), key) for rule, fails in _row_rules(table, kinds)]
-        if rules and name in t:
-            parts.append(_findings(t[name], name, rules))
-    return _union(parts)
+        broken_if = _row_rules(table, kinds)
+        if not broken_if or name not in t:
+            continue
+        broken = [F.when(fails, F.lit(len(rules) + i)) for i, (_, fails) in enumerate(broken_if)]
+        parts.append(
+            t[name]
+            .where(_any([fails for _, fails in broken_if]))
+            .select(F.explode(F.array_compact(F.array(*broken))).alias("i"), _key_text(table.primary_key).alias("key"))
+        )
+        rules += [(name, rule) for rule, _ in broken_if]
+    return _findings(_union(parts).withColumn("rows", F.lit(1).cast("long")), rules)
 
 
 def audit_nulls(t: Tables) -> DataFrame:
@@ -80,52 +95,53 @@ def audit_identifiers(t: Tables) -> DataFrame:
     return audit_rows(t, ["identifiers"])
 
 
+def _tagged(df: DataFrame, tags: Sequence[tuple[int, Column, bool]]) -> DataFrame:
+    """(rule number, key, is_parent) for every row and rule; NULL keys drop out."""
+    each = F.array(
+        *[F.struct(F.lit(i).alias("i"), key.alias("key"), F.lit(parent).alias("is_parent")) for i, key, parent in tags]
+    )
+    return df.select(F.inline(each)).where(F.col("key").isNotNull())
+
+
 def audit_keys(t: Tables) -> DataFrame:
     """Keys that occur more than once; a NULL in a unique column does not count.
 
-    failing_rows counts all rows of a repeated key. All keys of a table are grouped
-    in one pass, and copies are counted before the shuffle.
+    failing_rows counts all rows of a repeated key.
     """
+    rules: list[RuleName] = []
     parts = []
     for name, table in TABLES.items():
         if name not in t:
             continue
         keys = [(f"primary key ({', '.join(table.primary_key)})", _key_text(table.primary_key))]
         keys += [(f"unique ({c})", F.col(c).cast("string")) for c in table.unique]
-        each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), key.alias("key")) for i, (_, key) in enumerate(keys)]))
-        counted = (
-            t[name].select(each.alias("k")).where(F.col("k.key").isNotNull())
-            .groupBy("k.i", "k.key").agg(F.count("*").alias("n"))
-        )
-        rules = [
-            (rule, (F.col("i") == i) & (F.col("n") > 1), F.col("n"), F.col("key"))
-            for i, (rule, _) in enumerate(keys)
-        ]
-        parts.append(_findings(counted, name, rules))
-    return _union(parts)
+        parts.append(_tagged(t[name], [(len(rules) + i, key, False) for i, (_, key) in enumerate(keys)]))
+        rules += [(name, rule) for rule, _ in keys]
+    counted = _union(parts).groupBy("i", "key").agg(F.count("*").alias("rows"))
+    return _findings(counted.where(F.col("rows") > 1), rules)
 
 
-def orphans(child: DataFrame, parent: DataFrame, fk: ForeignKey) -> DataFrame:
-    """Reference values with no parent row, and how many rows hold each.
+def audit_orphans(t: Tables) -> DataFrame:
+    """References that point to no row; a NULL in any part passes.
 
-    A NULL in any part passes. Rows are counted per value first, so a value that
-    many rows share is one row in the join.
+    A reference's values and its parent's keys are grouped together: a value that no
+    parent row shares is an orphan. A value that many rows hold is one row by then.
     """
-    values = child.select(*fk.columns).dropna().groupBy(*fk.columns).agg(F.count("*").alias("n"))
-    parents = parent.select(*[F.col(p).alias(c) for p, c in zip(fk.parent_columns, fk.columns)])
-    return values.join(parents, list(fk.columns), "left_anti")
-
-
-def audit_orphans(t: Tables) -> DataFrame:
-    """All references that point to no row."""
-    parts = []
+    rules: list[RuleName] = []
+    tags: dict[str, list[tuple[int, Column, bool]]] = {name: [] for name in TABLES}
     for name, table in TABLES.items():
         for fk in table.foreign_keys:
             if name in t and fk.parent in t:
-                rule = f"({', '.join(fk.columns)}) references {fk.parent}"
-                rules = [(rule, F.lit(True), F.col("n"), _key_text(fk.columns))]
-                parts.append(_findings(orphans(t[name], t[fk.parent], fk), name, rules))
-    return _union(parts)
+                tags[name].append((len(rules), F.when(_all_present(fk.columns), _key_text(fk.columns)), False))
+                tags[fk.parent].append((len(rules), _key_text(fk.parent_columns), True))
+                rules.append((name, f"({', '.join(fk.columns)}) references {fk.parent}"))
+    parts = [_tagged(t[name], tagged) for name, tagged in tags.items() if tagged]
+    grouped = (
+        _union(parts)
+        .groupBy("i", "key")
+        .agg(F.count(F.when(~F.col("is_parent"), 1)).alias("rows"), F.max("is_parent").alias("has_parent"))
+    )
+    return _findings(grouped.where(~F.col("has_parent")), rules)
 
 
 def audit(t: Tables) -> DataFrame:
