@@ -142,4 +142,5 @@ def allocate_payments(documents: DataFrame, bundles: DataFrame, large: int = LAR
     blocked = _allocate(
         split(documents, how="left_semi"), split(payments, how="left_semi"), running_by_block
     )
-    return Allocation(*[a.unionByName(b) for a, b in zip(ordinary, blocked)])
+    allocations, after, over = (a.unionByName(b) for a, b in zip(ordinary, blocked))
+    return Allocation(allocations, after.select(*documents.columns), over)
