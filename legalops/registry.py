@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from legalops.operators import allocation, billing, payroll, pricing, purge, quality
 from legalops.plans import reports
+from legalops.session import shared_folder
 from legalops.sources import tables
 from legalops.sources.star import AS_OF, LAST_LIST, StarTables, bik_of, client_account, document_id
 
@@ -25,7 +26,7 @@ def _on_tables(build: Callable[[StarTables], DataFrame]) -> Query:
 
 
 def _counting(t: StarTables) -> ChainMap:
-    """The tables with contract lines left unpriced, for reports that only count them."""
+    """The tables with contract lines left unpriced, for jobs that use no price of theirs."""
     return ChainMap({"contract_service": t.lines()}, t)
 
 
@@ -58,8 +59,13 @@ def _upsert(t: StarTables) -> DataFrame:
     return billing.update_bundle_totals(unset, bills.payment_document)
 
 
+def _staged(t: StarTables, name: str) -> DataFrame:
+    """A view written out once, for operators that read it several times."""
+    return tables.stage(t[name], shared_folder(t.spark, name))
+
+
 def _allocate(t: StarTables) -> allocation.Allocation:
-    return allocation.allocate_payments(t["payment_document"], t["payment_bundle"])
+    return allocation.allocate_payments(_staged(t, "payment_document"), _staged(t, "payment_bundle"))
 
 
 def _check(t: StarTables) -> pricing.PriceCheck:
@@ -106,9 +112,9 @@ def queries() -> dict[str, Query]:
         "allocations": on(lambda t: _allocate(t).allocations),
         "documents_after": on(lambda t: _allocate(t).documents_after),
         "leftovers": on(lambda t: _allocate(t).leftovers),
-        "audit_keys": on(quality.audit_keys),
+        "audit_keys": on(lambda t: quality.audit_keys(_counting(t))),
         "audit_nulls": on(quality.audit_nulls),
-        "audit_orphans": on(quality.audit_orphans),
+        "audit_orphans": on(lambda t: quality.audit_orphans(_counting(t))),
         "audit_checks": on(quality.audit_checks),
         "audit_identifiers": on(quality.audit_identifiers),
         "cascade_purge": on(

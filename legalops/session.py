@@ -44,10 +44,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     On a cluster that folder is shared by all executors. Only where the session
     names none, as in local tests, is one made and set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="legalops-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="legalops-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
