@@ -13,7 +13,17 @@ from legalops.operators import allocation, billing, payroll, pricing, purge, qua
 from legalops.plans import reports
 from legalops.session import shared_folder
 from legalops.sources import tables
-from legalops.sources.star import AS_OF, LAST_LIST, StarTables, bik_of, client_account, document_id
+from legalops.sources.star import (
+    AS_OF,
+    LAST_LIST,
+    ArrivingLines,
+    StarTables,
+    bik_of,
+    client_account,
+    document_id,
+)
+from legalops.streaming import allocation as streaming_allocation
+from legalops.streaming import prices as streaming_prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +91,23 @@ def _insert_ignore(t: StarTables) -> DataFrame:
     return tables.insert_ignore(t.staff_accounts(), seen, ["account_no", "bik"])
 
 
+def _stream_prices(t: StarTables, sink: str) -> DataFrame:
+    """Check the order lines as a stream, up to the last file there is."""
+    out = shared_folder(t.spark, "checked-lines")
+    lines = ArrivingLines(t.spark, t.sf_dir).staged_lines()
+    streaming_prices.check_arriving_lines(lines, t, out, f"{out}/checkpoint", once=True).awaitTermination()
+    return t.spark.read.parquet(f"{out}/{sink}").drop("batch_id")
+
+
+def _arrival_log(t: StarTables) -> DataFrame:
+    """Place documents and payments as a stream, up to the last file there is."""
+    events, out = shared_folder(t.spark, "events"), shared_folder(t.spark, "arrivals")
+    t.events().write.parquet(events)
+    arriving = t.spark.readStream.schema(streaming_allocation.EVENT_SCHEMA).parquet(events)
+    streaming_allocation.record_arrivals(arriving, out, f"{out}-checkpoint", once=True).awaitTermination()
+    return t.spark.read.parquet(out)
+
+
 def queries() -> dict[str, Query]:
     on = _on_tables
     return {
@@ -112,6 +139,10 @@ def queries() -> dict[str, Query]:
         "allocations": on(lambda t: _allocate(t).allocations),
         "documents_after": on(lambda t: _allocate(t).documents_after),
         "leftovers": on(lambda t: _allocate(t).leftovers),
+        "stream_prices_accepted": on(lambda t: _stream_prices(t, "accepted")),
+        "stream_prices_rejected": on(lambda t: _stream_prices(t, "rejected")),
+        "stream_allocations": on(lambda t: streaming_allocation.allocations(_arrival_log(t))),
+        "stream_leftovers": on(lambda t: streaming_allocation.leftovers(_arrival_log(t))),
         "audit_keys": on(lambda t: quality.audit_keys(_counting(t))),
         "audit_nulls": on(quality.audit_nulls),
         "audit_orphans": on(lambda t: quality.audit_orphans(_counting(t))),

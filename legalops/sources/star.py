@@ -380,3 +380,39 @@ class StarTables(Mapping):
         return self._paid().select(
             F.col("id_payment_bundle").alias("id_income_pay_document"), "id_payment_bundle"
         )
+
+    def events(self) -> DataFrame:
+        """Documents and payments in the order they arrive, documents first on a day."""
+        agreements = self["assignment_agreement"].select(*TABLES["assignment_agreement"].primary_key, "created_at")
+        documents = self["payment_document"].join(agreements, list(TABLES["assignment_agreement"].primary_key))
+        columns = ["id_client", "cooperation_agreement_no"]
+
+        def arrival(rank: int) -> Column:
+            return (F.unix_date("created_at").cast("long") * 2 + rank).alias("arrival")
+
+        return documents.select(
+            *columns,
+            F.lit("DOCUMENT").alias("kind"),
+            F.col("id_payment_document").alias("id"),
+            "amount",
+            arrival(0),
+        ).unionByName(
+            self["payment_bundle"].select(
+                "id_client",
+                F.col("parent_cooperation_agreement_no").alias("cooperation_agreement_no"),
+                F.lit("PAYMENT").alias("kind"),
+                F.col("id_payment_bundle").alias("id"),
+                F.col("total_amount").alias("amount"),
+                arrival(1),
+            )
+        )
+
+
+class ArrivingLines(StarTables):
+    """The same views with the order lines as a stream of files."""
+
+    def source(self, name: str) -> DataFrame:
+        if name != "lineitem":
+            return super().source(name)
+        files = self.spark.readStream.schema(SOURCES[name]).option("pathGlobFilter", "lineitem.parquet")
+        return files.parquet(self.sf_dir)

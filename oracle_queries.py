@@ -399,6 +399,32 @@ ALLOCATION = """owed AS (
   WHERE least(o.e, p.e) > greatest(o.e - o.amount, p.e - p.amount)
 )"""
 
+# Payments reach as far as the documents there are: what is beyond is dropped.
+ARRIVALS = """events AS (
+  SELECT id_client, cooperation_agreement_no, 'DOCUMENT' AS kind, id_payment_document AS id, amount,
+         created_at AS day
+  FROM payment_document JOIN assignment_agreement
+    USING (assignment_agreement_no, cooperation_agreement_no, id_client)
+  UNION ALL
+  SELECT id_client, parent_cooperation_agreement_no, 'PAYMENT', id_payment_bundle, total_amount, created_at
+  FROM payment_bundle
+), sums AS (
+  SELECT *, sum(CASE WHEN kind = 'DOCUMENT' THEN amount ELSE 0 END) OVER w AS owed_to,
+         sum(CASE WHEN kind = 'PAYMENT' THEN amount ELSE 0 END) OVER w AS paid_in
+  FROM events
+  WINDOW w AS (PARTITION BY id_client, cooperation_agreement_no ORDER BY day, kind, id ROWS UNBOUNDED PRECEDING)
+), reach AS (
+  SELECT *, paid_in + least(0, min(owed_to - paid_in) OVER (PARTITION BY id_client, cooperation_agreement_no
+           ORDER BY day, kind, id ROWS UNBOUNDED PRECEDING)) AS paid_to
+  FROM sums
+), placed AS (
+  SELECT id_client, cooperation_agreement_no, kind, id, amount,
+         CASE WHEN kind = 'DOCUMENT' THEN owed_to - amount ELSE coalesce(lag(paid_to) OVER w, 0) END AS s,
+         CASE WHEN kind = 'DOCUMENT' THEN owed_to ELSE paid_to END AS e
+  FROM reach
+  WINDOW w AS (PARTITION BY id_client, cooperation_agreement_no ORDER BY day, kind, id)
+)"""
+
 
 # --- Audits: built from the model's own list of rules ---------------------------
 
@@ -579,6 +605,22 @@ FROM payment_bundle LEFT JOIN (
 WHERE total_amount - coalesce(used, 0) > 0""",
             ALLOCATION,
         ),
+        "stream_prices_accepted": _query(f"SELECT {line}, list_price AS price {accepted}"),
+        "stream_prices_rejected": _query(
+            f"SELECT {line}, price, client_type FROM looked_up WHERE list_price IS NULL"
+        ),
+        "stream_allocations": _query(
+            """SELECT id_client, cooperation_agreement_no, d.id AS id_payment_document, p.id AS id_payment_bundle,
+CAST(least(d.e, p.e) - greatest(d.s, p.s) AS BIGINT) AS allocated
+FROM placed d JOIN placed p USING (id_client, cooperation_agreement_no)
+WHERE d.kind = 'DOCUMENT' AND p.kind = 'PAYMENT' AND least(d.e, p.e) > greatest(d.s, p.s)""",
+            ARRIVALS,
+        ),
+        "stream_leftovers": _query(
+            """SELECT id_client, cooperation_agreement_no, id AS id_payment_bundle,
+CAST(amount - (e - s) AS BIGINT) AS leftover FROM placed WHERE kind = 'PAYMENT' AND amount > e - s""",
+            ARRIVALS,
+        ),
         "audit_keys": _audit_keys(),
         "audit_nulls": _audit_nulls(),
         "audit_orphans": _audit_orphans(),
