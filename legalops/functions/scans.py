@@ -22,11 +22,19 @@ BLOCK_BITS = (22, 43)
 
 @dataclass(frozen=True)
 class Running:
-    """One running aggregate: `how` is "sum" or "max" of `value`, named `out`."""
+    """One running aggregate: `how` is "sum" or "max" of `value`, named `out`.
+
+    It takes in the row itself unless `inclusive` is False.
+    """
 
     out: str
     value: Column
     how: str = "sum"
+    inclusive: bool = True
+
+    @property
+    def frame(self) -> tuple[int, int]:
+        return Window.unboundedPreceding, 0 if self.inclusive else -1
 
     def aggregate(self, column: Column) -> Column:
         return F.sum(column) if self.how == "sum" else F.max(column)
@@ -47,14 +55,12 @@ def running_by_group(
     aggregates: Sequence[Running],
     ties: Sequence[Column] = (),
 ) -> DataFrame:
-    """Add inclusive running aggregates over `keys` with a plain window: for groups
-    that are known to fit a task."""
-    window = (
-        Window.partitionBy(*keys)
-        .orderBy(F.col(order), *ties)
-        .rowsBetween(Window.unboundedPreceding, 0)
+    """Add running aggregates over `keys`, in the order of `order` and then `ties`, with
+    a plain window: for groups that are known to fit a task."""
+    window = Window.partitionBy(*keys).orderBy(F.col(order), *ties)
+    return df.select(
+        "*", *[a.aggregate(a.value).over(window.rowsBetween(*a.frame)).alias(a.out) for a in aggregates]
     )
-    return df.select("*", *[a.aggregate(a.value).over(window).alias(a.out) for a in aggregates])
 
 
 def running_by_block(
@@ -80,14 +86,10 @@ def running_by_block(
     )
     carried = _carry_in(totals, keys, blocks, aggregates)
 
-    inside = (
-        Window.partitionBy(*keys, blocks[0])
-        .orderBy(F.col(order), *ties)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    inside = Window.partitionBy(*keys, blocks[0]).orderBy(F.col(order), *ties)
     joined = _join_carried(rows, carried, [*keys, blocks[0]])
     for a in aggregates:
-        own = a.aggregate(F.col(f"_value_{a.out}")).over(inside)
+        own = a.aggregate(F.col(f"_value_{a.out}")).over(inside.rowsBetween(*a.frame))
         joined = joined.withColumn(a.out, a.combine(F.col(f"_carry_{a.out}"), own))
     return joined.select(*df.columns, *[a.out for a in aggregates])
 

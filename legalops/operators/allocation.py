@@ -4,9 +4,10 @@ Laid end to end by id, the documents of an agreement cover a line from 0 to what
 is owed and its payments a line from 0 to what was paid. A payment settles a
 document as far as their stretches of the line overlap.
 
-This holds when all documents precede all payments. Where they arrive mixed,
-`legalops.streaming.allocation` places them on the line and `match_positions`
-pairs them all the same.
+This holds when all documents precede all payments. Where they arrive mixed, a
+payment sees only the documents already there and drops what it has over, so it
+reaches no farther along the line than they do. `operators.arrivals` places such
+events, and `match_positions` pairs them all the same.
 
 Agreements of ordinary size are ordered in one task each. One with more rows than
 that allows is scanned in blocks instead (`functions.scans`), with the same result.
@@ -14,7 +15,7 @@ that allows is scanned in blocks instead (`functions.scans`), with the same resu
 
 from __future__ import annotations
 
-from functools import partial
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -112,12 +113,25 @@ def _allocate(documents: DataFrame, payments: DataFrame, scan: Scan) -> Allocati
     )
 
 
-def _large_agreements(documents: DataFrame, payments: DataFrame, limit: int) -> DataFrame:
+Frames = tuple[DataFrame, ...]
+
+
+def split_large(frames: Frames, large: int) -> list[tuple[Frames, Scan]]:
+    """The frames' rows of ordinary and of large agreements, each with its scan.
+
+    An agreement is large if it has more than `large` rows in one of the frames.
+    """
     counts = [
-        side.groupBy(*AGREEMENT).count().where(F.col("count") > limit).select(*AGREEMENT)
-        for side in (documents, payments)
+        frame.groupBy(*AGREEMENT).count().where(F.col("count") > large).select(*AGREEMENT)
+        for frame in frames
+    ]
+    # At most one row in `large` is the key of a large agreement, so these keys stay
+    # small enough to broadcast: some 100,000 of them for 10^11 rows.
+    keys = F.broadcast(reduce(DataFrame.unionByName, counts).distinct())
+    return [
+        (tuple(frame.join(keys, AGREEMENT, how) for frame in frames), scan)
+        for how, scan in (("left_anti", running_by_group), ("left_semi", running_by_block))
     ]
-    return counts[0].unionByName(counts[1]).distinct()
 
 
 def allocate_payments(documents: DataFrame, bundles: DataFrame, large: int = LARGE_AGREEMENT) -> Allocation:
@@ -132,15 +146,7 @@ def allocate_payments(documents: DataFrame, bundles: DataFrame, large: int = LAR
         "id_payment_bundle",
         "total_amount",
     )
-    # At most one row in `large` is the key of a large agreement, so these keys stay
-    # small enough to broadcast: some 100,000 of them for 10^11 rows.
-    hot = F.broadcast(_large_agreements(documents, payments, large))
-    split = partial(DataFrame.join, other=hot, on=AGREEMENT)
-    ordinary = _allocate(
-        split(documents, how="left_anti"), split(payments, how="left_anti"), running_by_group
-    )
-    blocked = _allocate(
-        split(documents, how="left_semi"), split(payments, how="left_semi"), running_by_block
-    )
+    split = split_large((documents, payments), large)
+    ordinary, blocked = (_allocate(*frames, scan) for frames, scan in split)
     allocations, after, over = (a.unionByName(b) for a, b in zip(ordinary, blocked))
     return Allocation(allocations, after.select(*documents.columns), over)

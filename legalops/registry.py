@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legalops.operators import allocation, billing, payroll, pricing, purge, quality
+from legalops.operators import allocation, arrivals, billing, payroll, pricing, purge, quality
 from legalops.plans import reports
 from legalops.session import shared_folder
 from legalops.sources import tables
@@ -99,11 +99,19 @@ def _stream_prices(t: StarTables, sink: str) -> DataFrame:
     return t.spark.read.parquet(f"{out}/{sink}").drop("batch_id")
 
 
-def _arrival_log(t: StarTables) -> DataFrame:
+def _staged_events(t: StarTables) -> DataFrame:
+    return tables.stage(t.events(), shared_folder(t.spark, "events"))
+
+
+def _placed(t: StarTables) -> DataFrame:
+    return tables.stage(arrivals.place_events(_staged_events(t)), shared_folder(t.spark, "placed"))
+
+
+def _stream_placed(t: StarTables) -> DataFrame:
     """Place documents and payments as a stream, up to the last file there is."""
     events, out = shared_folder(t.spark, "events"), shared_folder(t.spark, "arrivals")
-    t.events().write.parquet(events)
-    arriving = t.spark.readStream.schema(streaming_allocation.EVENT_SCHEMA).parquet(events)
+    tables.stage(t.events(), events)
+    arriving = t.spark.readStream.schema(arrivals.EVENT_SCHEMA).parquet(events)
     streaming_allocation.record_arrivals(arriving, out, f"{out}-checkpoint", once=True).awaitTermination()
     return t.spark.read.parquet(out)
 
@@ -141,8 +149,9 @@ def queries() -> dict[str, Query]:
         "leftovers": on(lambda t: _allocate(t).leftovers),
         "stream_prices_accepted": on(lambda t: _stream_prices(t, "accepted")),
         "stream_prices_rejected": on(lambda t: _stream_prices(t, "rejected")),
-        "stream_allocations": on(lambda t: streaming_allocation.allocations(_arrival_log(t))),
-        "stream_leftovers": on(lambda t: streaming_allocation.leftovers(_arrival_log(t))),
+        "arrival_allocations": on(lambda t: arrivals.allocations(_placed(t))),
+        "arrival_leftovers": on(lambda t: arrivals.leftovers(arrivals.place_events(_staged_events(t)))),
+        "stream_allocations": on(lambda t: arrivals.allocations(_stream_placed(t))),
         "audit_keys": on(lambda t: quality.audit_keys(_counting(t))),
         "audit_nulls": on(quality.audit_nulls),
         "audit_orphans": on(lambda t: quality.audit_orphans(_counting(t))),

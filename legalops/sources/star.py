@@ -350,6 +350,7 @@ class StarTables(Mapping):
             F.col("o_orderkey").alias("parent_cooperation_agreement_no"),
             F.col("o_custkey").alias("id_client"),
             "total_amount",
+            "part",
             "start_date",
             "c_nationkey",
         )
@@ -360,7 +361,8 @@ class StarTables(Mapping):
             "parent_cooperation_agreement_no",
             "id_client",
             "total_amount",
-            F.date_add("start_date", 60).alias("created_at"),
+            # The first comes among the agreement's documents, the second after them.
+            F.date_add("start_date", 21 + 28 * F.col("part")).alias("created_at"),
         )
 
     def _paid(self) -> DataFrame:

@@ -1,10 +1,9 @@
-"""Allocation of payments that arrive among the documents they pay.
+"""Allocation of payments that arrive among the documents they pay, as they arrive.
 
-A payment sees only the documents already there, and what it has over is dropped.
-So an agreement's state is two numbers: how far its documents reach on the line
-(see `operators.allocation`) and how far its payments do, the second never beyond
-the first. Placing an event needs no other event, and `allocations` pairs the
-placed ones in a batch job, whenever it is asked.
+An agreement's state is two numbers: how far its documents reach on the line (see
+`operators.allocation`) and how far its payments do, the second never beyond the
+first. Placing an event needs no other event. `operators.arrivals` pairs the placed
+ones in a batch job, whenever it is asked, and places long histories in bulk.
 """
 
 from __future__ import annotations
@@ -14,24 +13,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from legalops.operators.allocation import AGREEMENT, match_positions
+from legalops.operators.allocation import AGREEMENT
+from legalops.operators.arrivals import DOCUMENT, PLACED_SCHEMA
 from legalops.streaming.sink import append
 
-DOCUMENT, PAYMENT = "DOCUMENT", "PAYMENT"
-
-# (agreement, kind, id, amount, arrival): arrival orders an agreement's events, and
-# documents with one arrival come in the order of their ids.
-EVENT_SCHEMA = (
-    "id_client long, cooperation_agreement_no long, kind string, id long, amount long, arrival long"
-)
-PLACED_SCHEMA = (
-    "id_client long, cooperation_agreement_no long, kind string, id long,"
-    "starts_at long, ends_at long, leftover long"
-)
 STATE_SCHEMA = "owed_to long, paid_to long"
 
 
@@ -39,9 +27,11 @@ def _place_arrivals(
     key: tuple[int, int], batches: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
     owed_before, paid_before = state.get if state.exists else (0, 0)
-    events = pd.concat(list(batches)).sort_values(["arrival", "id"], kind="stable")
-    amount = events["amount"].to_numpy()
-    is_document = (events["kind"] == DOCUMENT).to_numpy()
+    parts = list(batches)
+    events = parts[0] if len(parts) == 1 else pd.concat(parts)
+    order = np.lexsort((events["id"].to_numpy(), events["arrival"].to_numpy()))
+    number, kind, amount = (events[c].to_numpy()[order] for c in ("id", "kind", "amount"))
+    is_document = kind == DOCUMENT
 
     owed_to = owed_before + np.cumsum(np.where(is_document, amount, 0))
     paid_in = np.cumsum(np.where(is_document, 0, amount))
@@ -56,8 +46,8 @@ def _place_arrivals(
         {
             "id_client": key[0],
             "cooperation_agreement_no": key[1],
-            "kind": events["kind"].to_numpy(),
-            "id": events["id"].to_numpy(),
+            "kind": kind,
+            "id": number,
             "starts_at": starts_at,
             "ends_at": ends_at,
             "leftover": np.where(is_document, 0, amount - (ends_at - starts_at)),
@@ -75,21 +65,3 @@ def place_arrivals(events: DataFrame) -> DataFrame:
 def record_arrivals(events: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Append the placed events to the log in `out`."""
     return append(place_arrivals(events), out, checkpoint, once)
-
-
-def _side(log: DataFrame, kind: str) -> DataFrame:
-    return log.where((F.col("kind") == kind) & (F.col("ends_at") > F.col("starts_at"))).select(
-        *AGREEMENT, "id", "starts_at", "ends_at"
-    )
-
-
-def allocations(log: DataFrame) -> DataFrame:
-    """Which payment settled how much of which document, from the log so far."""
-    return match_positions(_side(log, DOCUMENT), _side(log, PAYMENT))
-
-
-def leftovers(log: DataFrame) -> DataFrame:
-    """What each payment had over when it arrived."""
-    return log.where((F.col("kind") == PAYMENT) & (F.col("leftover") > 0)).select(
-        *AGREEMENT, F.col("id").alias("id_payment_bundle"), "leftover"
-    )

@@ -178,7 +178,7 @@ payment_document AS (
 ),
 bundles AS (
   SELECT o_orderkey * 2 + part AS id_payment_bundle, o_orderkey AS parent_cooperation_agreement_no,
-         o_custkey AS id_client, start_date, c_nationkey,
+         o_custkey AS id_client, start_date, c_nationkey, part,
          CASE WHEN o_orderstatus = 'F' THEN total WHEN o_orderstatus = 'O' THEN 0
               WHEN part = 0 THEN total // 2 ELSE total // 4 END AS total_amount
   FROM (SELECT *, CAST(floor(o_totalprice) AS BIGINT) AS total, CAST(o_orderdate AS DATE) AS start_date
@@ -186,7 +186,7 @@ bundles AS (
   JOIN (VALUES (0), (1)) AS p(part) ON part = 0 OR o_orderstatus = 'P'
 ),
 payment_bundle AS (
-  SELECT id_payment_bundle, parent_cooperation_agreement_no, id_client, total_amount, start_date + 60 AS created_at
+  SELECT id_payment_bundle, parent_cooperation_agreement_no, id_client, total_amount, start_date + 21 + 28 * part AS created_at
   FROM bundles
 ),
 income_pay_document AS (
@@ -609,6 +609,13 @@ WHERE total_amount - coalesce(used, 0) > 0""",
         "stream_prices_rejected": _query(
             f"SELECT {line}, price, client_type FROM looked_up WHERE list_price IS NULL"
         ),
+        "arrival_allocations": _query(
+            """SELECT id_client, cooperation_agreement_no, d.id AS id_payment_document, p.id AS id_payment_bundle,
+CAST(least(d.e, p.e) - greatest(d.s, p.s) AS BIGINT) AS allocated
+FROM placed d JOIN placed p USING (id_client, cooperation_agreement_no)
+WHERE d.kind = 'DOCUMENT' AND p.kind = 'PAYMENT' AND least(d.e, p.e) > greatest(d.s, p.s)""",
+            ARRIVALS,
+        ),
         "stream_allocations": _query(
             """SELECT id_client, cooperation_agreement_no, d.id AS id_payment_document, p.id AS id_payment_bundle,
 CAST(least(d.e, p.e) - greatest(d.s, p.s) AS BIGINT) AS allocated
@@ -616,7 +623,7 @@ FROM placed d JOIN placed p USING (id_client, cooperation_agreement_no)
 WHERE d.kind = 'DOCUMENT' AND p.kind = 'PAYMENT' AND least(d.e, p.e) > greatest(d.s, p.s)""",
             ARRIVALS,
         ),
-        "stream_leftovers": _query(
+        "arrival_leftovers": _query(
             """SELECT id_client, cooperation_agreement_no, id AS id_payment_bundle,
 CAST(amount - (e - s) AS BIGINT) AS leftover FROM placed WHERE kind = 'PAYMENT' AND amount > e - s""",
             ARRIVALS,

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from legalops.functions.scans import Running, running_by_block, running_by_group
+from legalops.operators import arrivals
 from legalops.operators.allocation import allocate_payments
 from legalops.streaming import allocation as streaming
 from tests.conftest import rows
@@ -119,21 +120,36 @@ def test_blocks_equal_windows(spark):
         F.shiftrightunsigned(F.xxhash64("id"), 4).alias("o"),
         (F.col("id") * 37 % 101).alias("v"),
     )
-    aggregates = [Running("total", F.col("v")), Running("top", F.col("v"), "max")]
+    aggregates = [
+        Running("total", F.col("v")),
+        Running("top", F.col("v"), "max"),
+        Running("top_before", F.col("v"), "max", inclusive=False),
+    ]
     plain = rows(running_by_group(numbers, ["k"], "o", aggregates))
     for bits in ((22, 43), (50, 55), (59,)):
         assert rows(running_by_block(numbers, ["k"], "o", aggregates, block_bits=bits)) == plain
 
 
+@pytest.mark.parametrize("large", [1 << 20, 4, 1])
+def test_log_of_mixed_arrivals_matches_a_loop(spark, large):
+    events = random_events(17, agreements=60, documents_first=False)
+    data = [(a[0], a[1], kind, n, amount, n) for kind, a, n, amount in events]
+    placed = arrivals.place_events(spark.createDataFrame(data, arrivals.EVENT_SCHEMA), large)
+    allocated, _, leftovers = settle(events)
+    assert leftovers, "the case must drop money"
+    assert sorted(rows(arrivals.allocations(placed, large))) == sorted(allocated)
+    assert sorted(rows(arrivals.leftovers(placed))) == sorted(leftovers)
+
+
 def run_stream(spark, tmp_path, events, batches):
     """Feed the events as that many files, one file to a batch."""
     source = tmp_path / "events"
     data = [(a[0], a[1], kind, n, amount, n) for kind, a, n, amount in events]
     size = -(-len(data) // batches)
     for i in range(0, len(data), size):
-        part = spark.createDataFrame(data[i : i + size], streaming.EVENT_SCHEMA)
+        part = spark.createDataFrame(data[i : i + size], arrivals.EVENT_SCHEMA)
         part.coalesce(1).write.mode("append").parquet(str(source))
-    stream = spark.readStream.schema(streaming.EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(source))
+    stream = spark.readStream.schema(arrivals.EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(source))
     out, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
     streaming.record_arrivals(stream, out, checkpoint, once=True).awaitTermination()
     return spark.read.parquet(out)
@@ -144,8 +160,8 @@ def test_stream_matches_batch_when_documents_come_first(spark, tmp_path):
     documents, bundles = frames(spark, events)
     expected = allocate_payments(documents, bundles)
     log = run_stream(spark, tmp_path, events, batches=2)
-    assert rows(streaming.allocations(log)) == rows(expected.allocations)
-    assert rows(streaming.leftovers(log)) == rows(expected.leftovers)
+    assert rows(arrivals.allocations(log)) == rows(expected.allocations)
+    assert rows(arrivals.leftovers(log)) == rows(expected.leftovers)
 
 
 def test_stream_matches_a_loop_when_arrivals_mix(spark, tmp_path):
@@ -154,5 +170,5 @@ def test_stream_matches_a_loop_when_arrivals_mix(spark, tmp_path):
     allocated, _, leftovers = settle(events)
     assert leftovers, "the case must drop money"
     log = run_stream(spark, tmp_path, events, batches=rng.randint(3, 4))
-    assert sorted(rows(streaming.allocations(log))) == sorted(allocated)
-    assert sorted(rows(streaming.leftovers(log))) == sorted(leftovers)
+    assert sorted(rows(arrivals.allocations(log))) == sorted(allocated)
+    assert sorted(rows(arrivals.leftovers(log))) == sorted(leftovers)
