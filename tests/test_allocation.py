@@ -76,42 +76,40 @@ def check(result, documents, expected):
     assert sorted(rows(result.leftovers)) == sorted(leftovers)
     assert result.documents_after.columns == documents.columns
 
+    # Money is kept: what is allocated came from payments and went to documents.
+    given = sum(r[-1] for r in got)
+    total = {name: frame.agg(F.sum(column)).first()[0] for name, frame, column in (
+        ("owed", documents, "amount"), ("open", result.documents_after, "amount"))}
+    assert given + total["open"] == total["owed"]
 
-# With `large` 2 nearly every agreement goes through the blocks, with 4 some do.
-@pytest.mark.parametrize("large", [1 << 20, 4, 2])
+
+# With `large` 3 most agreements go through the blocks.
+@pytest.mark.parametrize("large", [1 << 20, 3])
 def test_batch_matches_a_loop(spark, large):
     events = random_events(11, agreements=60, documents_first=True)
     documents, bundles = frames(spark, events)
     check(allocate_payments(documents, bundles, large), documents, settle(events))
 
 
-def test_money_is_kept(spark):
-    events = random_events(5, agreements=40, documents_first=True)
-    documents, bundles = frames(spark, events)
-    result = allocate_payments(documents, bundles)
-    total = lambda df, column: df.agg(F.coalesce(F.sum(column), F.lit(0))).first()[0]
-    allocated = total(result.allocations, "allocated")
-    assert allocated + total(result.leftovers, "leftover") == total(bundles, "total_amount")
-    assert allocated + total(result.documents_after, "amount") == total(documents, "amount")
-
-
-@pytest.mark.parametrize(
-    "payments, allocated, after, leftovers",
-    [
-        ([100, 50], [(1, 10, 60), (3, 10, 40), (3, 11, 50)], {1: 0, 2: 0, 3: 0}, {}),
-        ([70], [(1, 10, 60), (3, 10, 10)], {1: 0, 2: 0, 3: 80}, {}),
-        ([200, 9], [(1, 10, 60), (3, 10, 90)], {1: 0, 2: 0, 3: 0}, {10: 50, 11: 9}),
-        ([0], [], {1: 60, 2: 0, 3: 90}, {}),
-    ],
-    ids=["exact", "under", "over", "zero"],
-)
-def test_cases(spark, payments, allocated, after, leftovers):
-    documents = spark.createDataFrame([(1, None, 1, 7, 5, 60), (2, None, 2, 7, 5, 0), (3, None, 3, 7, 5, 90)], DOCUMENTS)
-    bundles = spark.createDataFrame([(10 + i, 7, 5, amount) for i, amount in enumerate(payments)], BUNDLES)
+def test_cases(spark):
+    """Exact, under-, over- and zero payment of documents of 60, 0 and 90: one agreement each."""
+    payments = {1: [100, 50], 2: [70], 3: [200, 9], 4: [0]}
+    documents = spark.createDataFrame(
+        [(10 * a + i, None, i, a, 5, amount) for a in payments for i, amount in enumerate([60, 0, 90])], DOCUMENTS
+    )
+    bundles = spark.createDataFrame(
+        [(10 * a + i, a, 5, amount) for a, paid in payments.items() for i, amount in enumerate(paid)], BUNDLES
+    )
     result = allocate_payments(documents, bundles)
-    assert sorted(rows(result.allocations, "id_payment_document", "id_payment_bundle", "allocated")) == allocated
-    assert dict(rows(result.documents_after, "id_payment_document", "amount")) == after
-    assert dict(rows(result.leftovers, "id_payment_bundle", "leftover")) == leftovers
+    assert sorted(rows(result.allocations, "id_payment_document", "id_payment_bundle", "allocated")) == [
+        (10, 10, 60), (12, 10, 40), (12, 11, 50),
+        (20, 20, 60), (22, 20, 10),
+        (30, 30, 60), (32, 30, 90),
+    ]
+    assert dict(rows(result.documents_after.where("amount > 0"), "id_payment_document", "amount")) == {
+        22: 80, 40: 60, 42: 90,
+    }
+    assert dict(rows(result.leftovers, "id_payment_bundle", "leftover")) == {30: 50, 31: 9}
 
 
 def test_blocks_equal_windows(spark):
@@ -130,7 +128,7 @@ def test_blocks_equal_windows(spark):
         assert rows(running_by_block(numbers, ["k"], "o", aggregates, block_bits=bits)) == plain
 
 
-@pytest.mark.parametrize("large", [1 << 20, 4, 1])
+@pytest.mark.parametrize("large", [1 << 20, 3])
 def test_log_of_mixed_arrivals_matches_a_loop(spark, large):
     events = random_events(17, agreements=60, documents_first=False)
     data = [(a[0], a[1], kind, n, amount, n) for kind, a, n, amount in events]
