@@ -103,7 +103,7 @@ def fork_price_list(t: Tables, source_date: dt.date, rate: float, new_date: dt.d
     )
 
 
-def _with_list_price(lines: DataFrame, t: Tables) -> DataFrame:
+def look_up_prices(lines: DataFrame, t: Tables) -> DataFrame:
     """Add `client_type` and `list_price`: what the agreement's list asks of such a client.
 
     Both are NULL where nothing is found. All joins are on whole keys, at most one
@@ -141,12 +141,16 @@ def check_contract_prices(lines: DataFrame, t: Tables) -> PriceCheck:
     prices, with the client type looked up. changes: old and new price of the
     accepted lines that had another price or none.
     """
-    looked_up = _with_list_price(lines, t)
+    return sort_out(look_up_prices(lines, t), lines.columns)
+
+
+def sort_out(looked_up: DataFrame, line_columns: list[str]) -> PriceCheck:
+    """Split looked-up lines into accepted ones, rejected ones and changes."""
     found = looked_up.where(F.col("list_price").isNotNull())
-    columns = [c for c in lines.columns if c != "price"]
+    columns = [c for c in line_columns if c != "price"]
     return PriceCheck(
         found.select(*columns, F.col("list_price").alias("price")),
-        looked_up.where(F.col("list_price").isNull()).select(*lines.columns, "client_type"),
+        looked_up.where(F.col("list_price").isNull()).select(*line_columns, "client_type"),
         found.where(~F.col("price").eqNullSafe(F.col("list_price"))).select(
             *columns, F.col("price").alias("old_price"), F.col("list_price").alias("new_price")
         ),
@@ -155,6 +159,6 @@ def check_contract_prices(lines: DataFrame, t: Tables) -> PriceCheck:
 
 def price_contract_lines(lines: DataFrame, t: Tables) -> DataFrame:
     """Lines without a price, priced from their agreement's list; unpriced ones drop out."""
-    looked_up = _with_list_price(lines, t).where(F.col("list_price").isNotNull())
+    looked_up = look_up_prices(lines, t).where(F.col("list_price").isNotNull())
     columns = [c for c in lines.columns if c != "price"]
     return looked_up.select(*columns, F.col("list_price").alias("price"))

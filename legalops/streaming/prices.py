@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from legalops.operators.pricing import check_contract_prices
+from legalops.operators.pricing import look_up_prices, sort_out
 from legalops.sources.tables import Tables
 from legalops.streaming.sink import start, write_batch
 
@@ -20,8 +20,11 @@ def check_arriving_lines(
     """
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        checked = check_contract_prices(batch, t)
+        # Three sinks read the joined lines: keep them until all are written.
+        looked_up = look_up_prices(batch, t).persist()
+        checked = sort_out(looked_up, batch.columns)
         for name, rows in zip(checked._fields, checked):
             write_batch(rows, f"{out}/{name}", batch_id)
+        looked_up.unpersist()
 
     return start(lines, check, checkpoint, once)
