@@ -9,10 +9,10 @@ shuffle on (rule, key text), with copies of a key counted before it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legalops.model import TABLES, Table
@@ -21,44 +21,46 @@ from legalops.sources.tables import Tables
 RuleName = tuple[str, str]
 
 
-def _key_text(columns: Sequence[str]) -> Column:
-    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
-
-
-def _all_present(columns: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(Column.__or__, conditions)
+def _key_text(columns: Sequence[str]) -> str:
+    parts = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in columns)
+    return f"concat_ws('|', {parts})"
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _unfold(df: DataFrame, structs: Iterable[str]) -> DataFrame:
+    """A row for each of the SQL structs, for every row of `df`."""
+    return df.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
 def _findings(failing: DataFrame, rules: Sequence[RuleName]) -> DataFrame:
     """Totals by rule of `failing` (rule number, key, rows), 0 for rules without any."""
-    listed = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(t).alias("table_name"), F.lit(r).alias("rule")) for i, (t, r) in enumerate(rules)]
+    names = _unfold(
+        failing.sparkSession.range(1),
+        (f"struct({i} AS i, '{table}' AS table_name, '{rule}' AS rule)" for i, (table, rule) in enumerate(rules)),
     )
-    names = failing.sparkSession.range(1).select(F.inline(listed))
     totals = failing.groupBy("i").agg(F.sum("rows").alias("failing_rows"), F.min("key").alias("sample_key"))
     return names.join(totals, "i", "left").select(
         "table_name", "rule", F.coalesce("failing_rows", F.lit(0)).alias("failing_rows"), "sample_key"
     )
 
 
-def _row_rules(table: Table, kinds: Sequence[str]) -> list[tuple[str, Column]]:
+def _row_rules(table: Table, kinds: Sequence[str]) -> list[tuple[str, str]]:
+    """Rules (name, SQL that is TRUE for a failing row)."""
     rules = []
     if "nulls" in kinds:
-        rules += [(f"{c} is required", F.col(c).isNull()) for c in table.required]
+        rules += [(f"{c} is required", f"{c} IS NULL") for c in table.required]
     if "checks" in kinds:
         # Only a rule that is FALSE fails; one that is NULL passes.
-        rules += [(name, ~F.expr(sql)) for name, sql in table.checks.items()]
-        rules += [(f"{c} in domain", ~F.col(c).isin(*values)) for c, values in table.domains.items()]
+        rules += [(name, f"NOT ({sql})") for name, sql in table.checks.items()]
+        rules += [
+            (f"{c} in domain", f"{c} NOT IN ({', '.join(f'{v!r}' for v in values)})")
+            for c, values in table.domains.items()
+        ]
     if "identifiers" in kinds:
-        rules += [(name, ~F.expr(sql)) for name, sql in table.formats.items()]
+        rules += [(name, f"NOT ({sql})") for name, sql in table.formats.items()]
     return rules
 
 
@@ -73,14 +75,16 @@ def audit_rows(t: Tables, kinds: Sequence[str] = ("nulls", "checks", "identifier
         broken_if = _row_rules(table, kinds)
         if not broken_if or name not in t:
             continue
-        broken = [F.when(fails, F.lit(len(rules) + i)) for i, (_, fails) in enumerate(broken_if)]
+        broken = ", ".join(f"CASE WHEN {sql} THEN {len(rules) + i} END" for i, (_, sql) in enumerate(broken_if))
         parts.append(
             t[name]
-            .where(_any([fails for _, fails in broken_if]))
-            .select(F.explode(F.array_compact(F.array(*broken))).alias("i"), _key_text(table.primary_key).alias("key"))
+            .where(" OR ".join(f"({sql})" for _, sql in broken_if))
+            .selectExpr(
+                f"explode(array_compact(array({broken}))) AS i", f"{_key_text(table.primary_key)} AS key", "1L AS rows"
+            )
         )
         rules += [(name, rule) for rule, _ in broken_if]
-    return _findings(_union(parts).withColumn("rows", F.lit(1).cast("long")), rules)
+    return _findings(_union(parts), rules)
 
 
 def audit_nulls(t: Tables) -> DataFrame:
@@ -95,14 +99,6 @@ def audit_identifiers(t: Tables) -> DataFrame:
     return audit_rows(t, ["identifiers"])
 
 
-def _tagged(df: DataFrame, tags: Sequence[tuple[int, Column, bool]]) -> DataFrame:
-    """(rule number, key, is_parent) for every row and rule; NULL keys drop out."""
-    each = F.array(
-        *[F.struct(F.lit(i).alias("i"), key.alias("key"), F.lit(parent).alias("is_parent")) for i, key, parent in tags]
-    )
-    return df.select(F.inline(each)).where(F.col("key").isNotNull())
-
-
 def audit_keys(t: Tables) -> DataFrame:
     """Keys that occur more than once; a NULL in a unique column does not count.
 
@@ -114,10 +110,13 @@ def audit_keys(t: Tables) -> DataFrame:
         if name not in t:
             continue
         keys = [(f"primary key ({', '.join(table.primary_key)})", _key_text(table.primary_key))]
-        keys += [(f"unique ({c})", F.col(c).cast("string")) for c in table.unique]
-        parts.append(_tagged(t[name], [(len(rules) + i, key, False) for i, (_, key) in enumerate(keys)]))
+        keys += [(f"unique ({c})", f"CAST({c} AS STRING)") for c in table.unique]
+        parts.append(
+            _unfold(t[name], (f"struct({len(rules) + i} AS i, {key} AS key)" for i, (_, key) in enumerate(keys)))
+        )
         rules += [(name, rule) for rule, _ in keys]
-    counted = _union(parts).groupBy("i", "key").agg(F.count("*").alias("rows"))
+    present = _union(parts).where(F.col("key").isNotNull())
+    counted = present.groupBy("i", "key").agg(F.count("*").alias("rows"))
     return _findings(counted.where(F.col("rows") > 1), rules)
 
 
@@ -128,16 +127,21 @@ def audit_orphans(t: Tables) -> DataFrame:
     parent row shares is an orphan. A value that many rows hold is one row by then.
     """
     rules: list[RuleName] = []
-    tags: dict[str, list[tuple[int, Column, bool]]] = {name: [] for name in TABLES}
+    structs: dict[str, list[str]] = {name: [] for name in TABLES}
     for name, table in TABLES.items():
         for fk in table.foreign_keys:
-            if name in t and fk.parent in t:
-                tags[name].append((len(rules), F.when(_all_present(fk.columns), _key_text(fk.columns)), False))
-                tags[fk.parent].append((len(rules), _key_text(fk.parent_columns), True))
-                rules.append((name, f"({', '.join(fk.columns)}) references {fk.parent}"))
-    parts = [_tagged(t[name], tagged) for name, tagged in tags.items() if tagged]
+            if name not in t or fk.parent not in t:
+                continue
+            i = len(rules)
+            all_present = " AND ".join(f"{c} IS NOT NULL" for c in fk.columns)
+            value = f"CASE WHEN {all_present} THEN {_key_text(fk.columns)} END"
+            structs[name].append(f"struct({i} AS i, {value} AS key, FALSE AS is_parent)")
+            structs[fk.parent].append(f"struct({i} AS i, {_key_text(fk.parent_columns)} AS key, TRUE AS is_parent)")
+            rules.append((name, f"({', '.join(fk.columns)}) references {fk.parent}"))
+    parts = [_unfold(t[name], own) for name, own in structs.items() if own]
     grouped = (
         _union(parts)
+        .where(F.col("key").isNotNull())
         .groupBy("i", "key")
         .agg(F.count(F.when(~F.col("is_parent"), 1)).alias("rows"), F.max("is_parent").alias("has_parent"))
     )
