@@ -34,8 +34,8 @@ BASE = {
 }
 # What else may be meant for the same.
 LOOSE = {
-    "email": r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]++[\x20]?(?:\(at\)|\[at\]|\{at\}|\x20at\x20)[\x20]?[A-Z0-9-]++"
-    r"(?:[\x20]?(?:\(dot\)|\[dot\]|\{dot\}|\x20dot\x20|\.)[\x20]?[A-Z0-9-]++)++",
+    "email": r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]++(?:[\x20]?[(\[{]at[)\]}][\x20]?[A-Z0-9-]++"
+    r"(?:[\x20]?(?:[(\[{]dot[)\]}]|\.)[\x20]?[A-Z0-9-]++)++|\x20at\x20[A-Z0-9-]++(?:\x20dot\x20[A-Z0-9-]++)++)",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9-])[0-9]{4}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}(?![0-9-])",
     "phone": r"(?<![0-9+(])\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",

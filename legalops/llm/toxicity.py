@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,10 @@ ship(__name__)
 TRAIN_ROWS = 20_000
 MARKING, OTHER = 400, 4_000
 LANDMARKS_MARKING, LANDMARKS_OTHER = 64, 32
+# Rounds in which the clean words that score highest are learned from too, and how many.
+HARD_ROUNDS, HARD = 2, 3_000
+# Hashes by which near copies in the sample are told.
+SIGNATURE = 4
 SPAN, DECAY = 7, 0.6
 WIDTH, STEP = 24, 12
 SYMBOLS = 64
@@ -72,7 +77,7 @@ def table_of(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
     table = np.zeros(SYMBOLS**3)
     scale = weights / norms(rows)
     for weight, code in codes(rows):
-        np.add.at(table, code.ravel(), np.repeat(weight * scale, code.shape[1]))
+        table += np.bincount(code.ravel(), np.repeat(weight * scale, code.shape[1]), SYMBOLS**3)
     table[0] = 0
     return table
 
@@ -85,6 +90,26 @@ def against(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total / norms(rows)
 
 
+def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """The kernel of each word with each landmark."""
+    held = np.unique(np.concatenate([code.ravel() for _, code in codes(landmarks)]))
+    place = np.zeros(SYMBOLS**3, np.int64)
+    place[held] = np.arange(len(held))
+    place[0] = 0  # held begins with 0, for no subsequence
+    tables = np.zeros((len(held), len(landmarks)), np.float32)
+    scale = 1 / norms(landmarks)
+    for weight, code in codes(landmarks):
+        np.add.at(tables, (place[code], np.arange(len(landmarks))[:, None]), (weight * scale)[:, None])
+    tables[place[0]] = 0
+    total = np.zeros((len(rows), len(landmarks)), np.float32)
+    for weight, code in codes(rows):
+        at = place[code]
+        for column in at.T:
+            some = np.flatnonzero(column)
+            total[some] += weight * tables[column[some]]
+    return total / norms(rows)[:, None]
+
+
 def _pieces(word: str) -> list[str]:
     """A word in stretches that fit a row; insertions of other than letters also left out."""
     forms = {word, INSERTED.sub("", word)}
@@ -127,6 +152,28 @@ def words_of(text: str | None) -> set[str]:
     return words
 
 
+def signature(text: str | None) -> list[int]:
+    """The smallest hashes of a text's runs of three words, one for each seed."""
+    words = (text or "").encode().lower().split()
+    runs = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))]
+    return [min(xxhash.xxh3_64_intdigest(r, seed=k) for r in runs) - (1 << 63) for k in range(SIGNATURE)]
+
+
+def _without_copies(texts: DataFrame) -> DataFrame:
+    """Texts of the sample that share no smallest hash, so that copies do not vouch for their words."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"id": batch["id"], "toxic": batch["toxic"], "hash": [signature(t) for t in batch["text"]]})
+
+    kept = staged(texts.mapInPandas(sign, "id long, toxic int, hash array<long>"), "signatures")
+    for k in range(SIGNATURE):
+        first = kept.groupBy("toxic", F.col("hash")[k].alias("h")).agg(F.min(F.struct("id", "hash")).alias("first"))
+        kept = first.select("first.id", "toxic", "first.hash")
+    # At most TRAIN_ROWS.
+    return texts.join(F.broadcast(kept.select("id", "toxic").distinct()), ["id", "toxic"], "left_semi")
+
+
 def _varied(word: str, rng: np.random.Generator) -> list[str]:
     """The word with a character put in, with gaps, and with a letter doubled."""
     k = int(rng.integers(1, max(2, len(word) - 1)))
@@ -149,24 +196,23 @@ def train_words(marking: list[str], other: list[str]) -> tuple[np.ndarray, float
         best = np.maximum(best, against(table_of(own[taken[-1:]], np.ones(1)), own))
     landmarks = np.r_[own[taken], symbols([w[:WIDTH] for w in other[:LANDMARKS_OTHER]])]
 
-    tables = [table_of(landmarks[k : k + 1], np.ones(1)) for k in range(len(landmarks))]
-    between = np.array([against(t, landmarks) for t in tables])
+    between = kernel(landmarks, landmarks)
     values, vectors = np.linalg.eigh((between + between.T) / 2)
     half = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-    features = np.array([against(t, x) for t in tables]).T @ half
+    features = kernel(x, landmarks) @ half
 
     # Squared hinge loss, both classes weighing the same, by accelerated descent.
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     a = np.c_[features, np.ones(len(features))]
     step = 1 / (2 * np.linalg.norm(a * np.sqrt(weight)[:, None], 2) ** 2 + 1e-3)
     theta = ahead = np.zeros(a.shape[1])
-    for k in range(2000):
+    for k in range(600):
         gap = np.maximum(0, 1 - y * (a @ ahead))
         gradient = -2 * a.T @ (weight * y * gap) + 1e-3 * np.r_[ahead[:-1], 0]
         before, theta = theta, ahead - step * gradient
         ahead = theta + k / (k + 3) * (theta - before)
     alpha = half @ theta[:-1]
-    return sum(w * t for w, t in zip(alpha, tables)).astype(np.float32), float(theta[-1])
+    return table_of(landmarks, alpha).astype(np.float32), float(theta[-1])
 
 
 def fit_curve(margins: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -187,9 +233,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     """(folded weights, bias, slope, offset), or None where the sample lacks one of the classes."""
     spark = docs.sparkSession
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
-    sample = usable.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).distinct()
+    sample = usable.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).distinct()
     sample = staged(sample.orderBy(F.xxhash64("id", "toxic")).limit(TRAIN_ROWS), "sample")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # The sample is bounded by TRAIN_ROWS.
     texts = staged(texts.join(F.broadcast(sample), "id"), "labelled")
 
@@ -201,9 +247,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             words = list(seen[0] | seen[1])
             yield pd.DataFrame({"word": words, "clean": [seen[0][w] for w in words], "toxic": [seen[1][w] for w in words]})
 
-    words = texts.mapInPandas(count, "word string, clean long, toxic long")
+    single = _without_copies(texts)
+    words = single.mapInPandas(count, "word string, clean long, toxic long")
     words = staged(words.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "words")
-    n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n = {r["toxic"]: r["n"] for r in single.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return None
     # Likelihood ratio of a word in toxic texts against chance, above what the luckiest of
@@ -223,10 +270,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     common = rest.orderBy(F.desc("clean"), "word").limit(OTHER // 2)
     any_word = rest.orderBy(F.xxhash64("word"), "word").limit(OTHER // 2)
     other = sorted({r["word"] for r in common.select("word").union(any_word.select("word")).collect()})
-    np.random.default_rng(3).shuffle(other)
     if not marking or not other:
         return None
+    np.random.default_rng(3).shuffle(other)
     table, bias = train_words(marking, other)
+    for _ in range(HARD_ROUNDS):
+        known = set(other)
+        other += [w for w in _highest(rest, table, bias) if w not in known]
+        np.random.default_rng(3).shuffle(other)
+        table, bias = train_words(marking, other)
 
     shipped = spark.sparkContext.broadcast((table, bias))  # fixed size
 
@@ -240,6 +292,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     return table, bias, slope, offset
 
 
+def _highest(words: DataFrame, table: np.ndarray, bias: float) -> list[str]:
+    """The HARD words with the highest margins."""
+    shipped = words.sparkSession.sparkContext.broadcast((table, bias))  # fixed size
+
+    @F.pandas_udf("double")
+    def margin(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(*shipped.value)
+        for batch in batches:
+            scorer.known.clear()
+            scorer.learn(batch.tolist())
+            yield pd.Series([scorer.known[w] for w in batch])
+
+    top = words.select("word", margin("word").alias("margin")).orderBy(F.desc("margin"), "word").limit(HARD)
+    return [r["word"] for r in top.collect()]
+
+
 def score(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> DataFrame:
