@@ -37,8 +37,12 @@ HARD_ROUNDS, HARD = 2, 3_000
 SIGNATURE = 4
 SPAN, DECAY = 7, 0.6
 WIDTH, STEP = 24, 12
+# Words go together by length, so that short ones are short rows.
+WIDTHS = [(0, 8), (8, 12), (12, 16), (16, WIDTH)]
 SYMBOLS = 64
 REMEMBERED = 400_000
+# Texts whose words are looked up together.
+TEXTS = 200
 # A text without a word of three characters scores as this margin.
 NOTHING = -3.0
 
@@ -51,17 +55,18 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-def symbols(words: list[str]) -> np.ndarray:
+def symbols(words: list[str], width: int = WIDTH) -> np.ndarray:
     """Words as rows of symbol numbers: 0 past the end, a letter of its own for a to z."""
-    chars = np.array(words, dtype=f"U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH)
+    chars = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
     letter = (chars >= 97) & (chars <= 122)
-    return np.where(chars == 0, 0, np.where(letter, chars - 96, 27 + chars % (SYMBOLS - 27))).astype(np.int64)
+    return np.where(chars == 0, 0, np.where(letter, chars - 96, 27 + chars % (SYMBOLS - 27))).astype(np.int32)
 
 
 def codes(rows: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
     """For each way to leave gaps its weight and the subsequences of every place, 0 for none."""
+    width = rows.shape[1]
     for a, b in GAPS:
-        x, y, z = rows[:, : WIDTH - b], rows[:, a : WIDTH - b + a], rows[:, b:]
+        x, y, z = rows[:, : width - b], rows[:, a : width - b + a], rows[:, b:]
         yield DECAY ** (b - 2), np.where(z > 0, (x * SYMBOLS + y) * SYMBOLS + z, 0)
 
 
@@ -126,20 +131,27 @@ class Scorer:
     def learn(self, words: list[str]) -> None:
         pieces = [_pieces(w) for w in words]
         flat = [p for own in pieces for p in own]
-        margins = iter((against(self.table, symbols(flat)) + self.bias).tolist() if flat else ())
+        sizes = np.fromiter(map(len, flat), np.int64, len(flat))
+        found = np.zeros(len(flat))
+        for low, width in WIDTHS:
+            some = np.flatnonzero((sizes > low) & (sizes <= width))
+            if len(some):
+                found[some] = against(self.table, symbols([flat[k] for k in some], width)) + self.bias
+        margins = iter(found.tolist())
         for word, own in zip(words, pieces):
-            self.known[word] = max((next(margins) for _ in own), default=NOTHING)
+            self.known[word] = max([next(margins) for _ in own], default=NOTHING)
 
     def margins(self, texts: list[str | None]) -> list[float]:
         found = []
-        for text in texts:
-            words = words_of(text)
-            new = [w for w in words if w not in self.known]
+        for k in range(0, len(texts), TEXTS):
+            held = [words_of(t) for t in texts[k : k + TEXTS]]
+            words = set().union(*held)
+            new = words.difference(self.known)
             if new:
                 if len(self.known) + len(new) > REMEMBERED:
-                    self.known, new = {}, list(words)
-                self.learn(new)
-            found.append(max(map(self.known.__getitem__, words), default=NOTHING))
+                    self.known, new = {}, words
+                self.learn(list(new))
+            found += [max(map(self.known.__getitem__, own), default=NOTHING) for own in held]
         return found
 
 
@@ -206,7 +218,7 @@ def train_words(marking: list[str], other: list[str]) -> tuple[np.ndarray, float
     a = np.c_[features, np.ones(len(features))]
     step = 1 / (2 * np.linalg.norm(a * np.sqrt(weight)[:, None], 2) ** 2 + 1e-3)
     theta = ahead = np.zeros(a.shape[1])
-    for k in range(600):
+    for k in range(2000):
         gap = np.maximum(0, 1 - y * (a @ ahead))
         gradient = -2 * a.T @ (weight * y * gap) + 1e-3 * np.r_[ahead[:-1], 0]
         before, theta = theta, ahead - step * gradient
