@@ -11,6 +11,10 @@ knows its documents' whole texts. It compares signatures, corrects the estimate
 registers that agree by chance, confirms on the full sets, and returns at most one link
 per document: links inside a group that is already joined are not looked for, since the
 result is the components.
+
+Documents that merely share a passage meet in some band too, and in a large corpus such
+chance meetings would chain everything into one cluster. So members of a band are first
+compared by short sketches of their signatures, and only close ones are joined.
 """
 
 from __future__ import annotations
@@ -37,6 +41,11 @@ BLOCK_DOCS, BLOCK_SHINGLES = 2048, 2_000_000
 # Standard errors by which an estimate may fall short before a pair is not confirmed.
 SLACK = 5.0
 REMEMBERED = 300_000
+# Registers in a sketch, a byte each, and classes of one band in a task.
+SKETCH = 96
+CHUNK = 2048
+# Up to so many in a band all pairs are compared at once.
+FEW = 12
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -96,6 +105,35 @@ def band_keys(registers: np.ndarray) -> list[int]:
     return keys
 
 
+def sketch(registers: np.ndarray) -> np.ndarray:
+    """Some of the registers in a byte each; 0 stays 0."""
+    r = registers[:SKETCH].astype(np.uint32)
+    return np.where(r > 0, (r * np.uint32(40503) >> np.uint32(7)) % np.uint32(255) + np.uint32(1), 0).astype(np.uint8)
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+    """Which rows of sketches may well be of sets as similar as `least` per cent."""
+    used = (a > 0) | (b > 0)
+    both = used.sum(-1)
+    estimate = ((a == b) & used).sum(-1) / np.maximum(both, 1)
+    target = least / 100
+    return estimate >= target - SLACK * np.sqrt(target * (1 - target) / np.maximum(both, 1))
+
+
+def join_alike(keys: np.ndarray, sketches: np.ndarray, n_left: int, least: int) -> list[tuple[int, int]]:
+    """A spanning set of the alike pairs of one band's classes, or across two chunks of them."""
+    group, joined = np.arange(len(keys)), []
+    across = n_left < len(keys)
+    for i in range(n_left):
+        others = np.arange(n_left, len(keys)) if across else np.arange(i + 1, len(keys))
+        others = others[group[others] != group[i]]
+        for j in others[alike(sketches[others], sketches[i], least)]:
+            if group[j] != group[i]:
+                joined.append((int(keys[i]), int(keys[j])))
+                group[group == group[j]] = group[i]
+    return joined
+
+
 def chance(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
     """How often a register of two unrelated sets agrees.
 
@@ -193,31 +231,23 @@ def _placed(docs: DataFrame, words: int, least: int) -> DataFrame:
             made = []
             for key, text in zip(batch["key"], batch["text"]):
                 s = shingler.set_of(text)
-                digest = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
-                made.append((key, len(s), digest, signature(s).tobytes() if len(s) else None))
-            yield pd.DataFrame(made, columns=["key", "n_shingles", "digest", "registers"])
+                if len(s):
+                    registers = signature(s)
+                    made.append((key, len(s), xxhash.xxh3_128_digest(s.tobytes()), sketch(registers).tobytes(), band_keys(registers)))
+                else:
+                    made.append((key, 0, None, None, None))
+            yield pd.DataFrame(made, columns=["key", "n_shingles", "digest", "sketch", "bands"])
 
     signed = staged(
-        docs.mapInPandas(sign, "key long, n_shingles long, digest binary, registers binary"), "signed"
+        docs.mapInPandas(sign, "key long, n_shingles long, digest binary, sketch binary, bands array<long>"), "signed"
     )
 
-    # One class for each set. The registers follow from the set, so any of a class will do.
+    # One class for each set. What else follows from the set, so any row's will do.
     classes = signed.where(F.col("n_shingles") > 0).groupBy("digest").agg(
-        F.min("key").alias("rep"),
-        F.first("n_shingles").alias("n_shingles"),
-        F.first("registers").alias("registers"),
+        F.min("key").alias("rep"), *[F.first(c).alias(c) for c in ("n_shingles", "sketch", "bands")]
     )
     classes = staged(classes, "classes")
-
-    @F.pandas_udf("array<long>")
-    def bands_of(registers: pd.Series) -> pd.Series:
-        return pd.Series([band_keys(np.frombuffer(r, np.uint16)) for r in registers])
-
-    banded = classes.select("rep", F.explode(bands_of("registers")).alias("band"))
-    first = banded.groupBy("band").agg(F.min("rep").alias("lo"), F.count("*").alias("n")).where("n > 1")
-    star = banded.join(first.drop("n"), "band").where("rep <> lo").select(F.col("rep").alias("hi"), "lo").distinct()
-    clusters = connected_components(star)  # node, root; nodes with a candidate only
-
+    clusters = connected_components(_alike(classes, least))  # node, root; nodes with a candidate only
     links = _confirmed(docs, classes, clusters, words, least)
     components = connected_components(links)
 
@@ -227,6 +257,59 @@ def _placed(docs: DataFrame, words: int, least: int) -> DataFrame:
     return found.select("key", "n_shingles", F.coalesce("root", "node").alias("root"))
 
 
+def _alike(classes: DataFrame, least: int) -> DataFrame:
+    """Pairs (hi, lo) of classes that share a band and whose sketches are alike, or a chain of such."""
+    banded = classes.select("rep", F.explode("bands").alias("band"))
+    shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    chunks = F.ceil(F.col("n") / CHUNK)
+    member = banded.join(shared.select("band", chunks.alias("chunks")), "band").join(classes.select("rep", "sketch"), "rep")
+    member = member.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")))
+    meets = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
+        lambda k: F.struct(F.least("chunk", k).alias("i"), F.greatest("chunk", k).alias("j")),
+    )
+    tasks = (
+        member.select("band", "rep", "sketch", "chunk", F.explode(meets).alias("task"))
+        .select("band", "task.i", "task.j", (F.col("chunk") > F.col("task.i")).alias("on_right"), "rep", "sketch")
+        .repartition("band", "i", "j")
+        .sortWithinPartitions("band", "i", "j", "on_right", "rep")
+    )
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            task = batch[["band", "i", "j"]].to_numpy()
+            starts = np.flatnonzero(np.r_[True, (task[1:] != task[:-1]).any(1)])
+            # The last task may go on in the next batch.
+            rest = batch.iloc[starts[-1] :]
+            yield pairs(batch, starts)
+        if rest is not None and len(rest):
+            yield pairs(rest.reset_index(drop=True), np.array([0, len(rest)]))
+
+    def pairs(batch: pd.DataFrame, bounds: np.ndarray) -> pd.DataFrame:
+        """The alike pairs of whole tasks, each from one bound to the next."""
+        keys = batch["rep"].to_numpy()
+        sketches = np.frombuffer(b"".join(batch["sketch"]), np.uint8).reshape(len(batch), SKETCH)
+        right, same = batch["on_right"].to_numpy(), (batch["i"] == batch["j"]).to_numpy()
+        found = []
+        sizes = np.diff(bounds)
+        few = same[bounds[:-1]] & (sizes <= FEW)
+        for m in range(2, FEW + 1):
+            at = bounds[:-1][few & (sizes == m)]
+            a, b = np.triu_indices(m, 1)
+            left, other = (at[:, None] + a).ravel(), (at[:, None] + b).ravel()
+            near = alike(sketches[left], sketches[other], least)
+            found += zip(keys[left[near]].tolist(), keys[other[near]].tolist())
+        for at, size in zip(bounds[:-1][~few], sizes[~few]):
+            if size > 1:
+                own = slice(at, at + size)
+                found += join_alike(keys[own], sketches[own], int(size - right[own].sum()), least)
+        return pd.DataFrame(found, columns=["hi", "lo"], dtype="int64")
+
+    return tasks.mapInPandas(compare, "hi long, lo long")
+
+
 def _confirmed(docs: DataFrame, classes: DataFrame, clusters: DataFrame, words: int, least: int) -> DataFrame:
     """Links between candidate classes, confirmed on the sets of their whole texts."""
     members = clusters.join(classes.select(F.col("rep").alias("node"), "digest", "n_shingles"), "node")
