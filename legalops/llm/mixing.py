@@ -36,8 +36,8 @@ def sainte_lague(df: DataFrame, within: list[str], order: list[str], votes: str,
     tries = F.ceil(F.col("_share") * (F.abs("_short") + F.count("*").over(group))) + 2
     df = df.withColumn("_tries", F.when(F.col("_short") != 0, tries).otherwise(0))
 
-    tried = df.where("_tries > 0").select(*within, *order, votes, "_near", "_short", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_tries"))).alias("k"))
-    seat = F.when(F.col("_short") > 0, F.col("_near") + F.col("k")).otherwise(F.col("_near") - F.col("k") + 1)
+    tried = df.where("_tries > 0").select(*within, *order, votes, "_near", "_short", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_tries"))).alias("_k"))
+    seat = F.when(F.col("_short") > 0, F.col("_near") + F.col("_k")).otherwise(F.col("_near") - F.col("_k") + 1)
     tried = tried.withColumn("_seat", seat).where("_seat >= 1")
     quotient = F.col(votes) / (2 * F.col("_seat") - 1)
     # To add: the highest first. To take away: the lowest first.
