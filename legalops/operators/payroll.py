@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from legalops.functions.dates import advance_date, day, month_sequence, salary_date
 from legalops.model import ADVANCE_AMOUNT, PAYMENT_TYPES
-from legalops.sources.tables import Tables, in_date_range
+from legalops.sources.tables import Tables, in_date_range, replace_months
 
 
 class PayrollRun(NamedTuple):
@@ -68,6 +68,14 @@ def payroll_run(t: Tables, kind: str, as_of: dt.date, payment_month: dt.date | N
     return PayrollRun(rows, total)
 
 
+def write_payroll_run(run: PayrollRun, root: str) -> None:
+    """Store a run's rows; written again, the same run replaces itself and nothing else.
+
+    A month's rows of a kind lie in a folder of their own, and a run fills one such.
+    """
+    replace_months(run.rows, root, "outgoing_pay_document")
+
+
 def payroll_schedule(employee: DataFrame, as_of: dt.date, result: Column | None = None) -> DataFrame:
     """Advance and salary rows for each month an employee has worked up to `as_of`.
 

@@ -157,8 +157,20 @@ def sort_out(looked_up: DataFrame, line_columns: list[str]) -> PriceCheck:
     )
 
 
-def price_contract_lines(lines: DataFrame, t: Tables) -> DataFrame:
-    """Lines without a price, priced from their agreement's list; unpriced ones drop out."""
-    looked_up = look_up_prices(lines, t).where(F.col("list_price").isNotNull())
+class PricedLines(NamedTuple):
+    priced: DataFrame
+    unpriced: DataFrame
+
+
+def price_contract_lines(lines: DataFrame, t: Tables) -> PricedLines:
+    """Lines without a price, priced from their agreement's list.
+
+    unpriced: the lines that no list prices, with the client type looked up.
+    """
+    looked_up = look_up_prices(lines, t)
+    found = F.col("list_price").isNotNull()
     columns = [c for c in lines.columns if c != "price"]
-    return looked_up.select(*columns, F.col("list_price").alias("price"))
+    return PricedLines(
+        looked_up.where(found).select(*columns, F.col("list_price").alias("price")),
+        looked_up.where(~found).select(*columns, "client_type"),
+    )

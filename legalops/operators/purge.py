@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from legalops.model import CASCADE, RESTRICT, SET_NULL, TABLES, ForeignKey
+from legalops.model import CASCADE, RESTRICT, SET_NULL, TABLES
 from legalops.sources.tables import Tables
 
 
@@ -17,12 +17,10 @@ class Purge(NamedTuple):
     effects: DataFrame
 
 
-def _parents_as(child_columns: tuple[str, ...], gone: DataFrame, fk: ForeignKey) -> DataFrame:
-    return gone.select(*[F.col(p).alias(c) for p, c in zip(fk.parent_columns, child_columns)])
-
-
-def _hit(child: DataFrame, gone: DataFrame, fk: ForeignKey) -> DataFrame:
-    return child.join(_parents_as(fk.columns, gone, fk), list(fk.columns), "left_semi")
+def _flagged(rows: DataFrame, gone: DataFrame, columns: tuple[str, ...], keys: tuple[str, ...], flag: str) -> DataFrame:
+    """The rows with a flag on those whose `columns` are among the distinct keys of `gone`."""
+    hit = gone.select(*[F.col(k).alias(c) for k, c in zip(keys, columns)]).distinct()
+    return rows.join(hit.withColumn(flag, F.lit(True)), list(columns), "left")
 
 
 def _parents_first() -> list[str]:
@@ -47,8 +45,8 @@ def cascade_purge(t: Tables, root: str, doomed: DataFrame) -> Purge:
     reference block the delete. `effects` counts them (table_name, action, rows),
     action being removed, emptied or blocking. Write the tables only if nothing blocks.
     """
-    key = list(TABLES[root].primary_key)
-    gone: dict[str, DataFrame] = {root: t[root].join(doomed.select(*key), key, "left_semi")}
+    key = TABLES[root].primary_key
+    gone: dict[str, DataFrame] = {root: doomed}
     after: dict[str, DataFrame] = {}
     effects: list[DataFrame] = []
 
@@ -62,34 +60,33 @@ def cascade_purge(t: Tables, root: str, doomed: DataFrame) -> Purge:
     for name in _parents_first():
         if name not in t:
             continue
-        table = TABLES[name]
-        reached = [fk for fk in table.foreign_keys if fk.parent in gone]
-        pk = list(table.primary_key)
-
-        cascading = [_hit(t[name], gone[fk.parent], fk) for fk in reached if fk.on_delete == CASCADE]
+        reached = [fk for fk in TABLES[name].foreign_keys if fk.parent in gone]
+        if not reached and name != root:
+            after[name] = t[name]
+            continue
+        columns = t[name].columns
+        rows, flags = t[name], {CASCADE: [], SET_NULL: [], RESTRICT: []}
+        for i, fk in enumerate(reached):
+            rows = _flagged(rows, gone[fk.parent], fk.columns, fk.parent_columns, f"_hit{i}")
+            flags[fk.on_delete].append((f"_hit{i}", fk))
         if name == root:
-            cascading.append(gone[root])
-        kept = t[name]
-        if cascading:
-            gone[name] = cascading[0]
-            if len(cascading) > 1:
-                gone[name] = reduce(DataFrame.unionByName, cascading).dropDuplicates(pk)
-            kept = kept.join(gone[name].select(*pk), pk, "left_anti").select(*t[name].columns)
+            rows = _flagged(rows, doomed, key, key, "_doomed")
+            flags[CASCADE].append(("_doomed", None))
+
+        kept = rows
+        if flags[CASCADE]:
+            removed = F.coalesce(*[F.col(flag) for flag, _ in flags[CASCADE]], F.lit(False))
+            gone[name] = rows.where(removed).select(*columns)
+            kept = rows.where(~removed)
             record(name, "removed", gone[name])
-
-        for fk in reached:
-            if fk.on_delete == SET_NULL:
-                record(name, "emptied", _hit(kept, gone[fk.parent], fk))
-                flag = _parents_as(fk.columns, gone[fk.parent], fk).withColumn("_gone", F.lit(True))
-                flagged = kept.join(flag, list(fk.columns), "left")
-                kept = flagged.select(
-                    *[
-                        F.when(F.col("_gone").isNull(), F.col(c)).alias(c) if c in fk.columns else F.col(c)
-                        for c in t[name].columns
-                    ]
-                )
-            elif fk.on_delete == RESTRICT:
-                record(name, "blocking", _hit(kept, gone[fk.parent], fk))
-        after[name] = kept
+        for flag, _ in flags[SET_NULL]:
+            record(name, "emptied", kept.where(F.col(flag)))
+        if flags[RESTRICT]:
+            # A row that two references hold back blocks once.
+            record(name, "blocking", kept.where(F.coalesce(*[F.col(flag) for flag, _ in flags[RESTRICT]])))
+        emptied = {c: flag for flag, fk in flags[SET_NULL] for c in fk.columns}
+        after[name] = kept.select(
+            *[F.when(F.col(emptied[c]).isNull(), F.col(c)).alias(c) if c in emptied else F.col(c) for c in columns]
+        )
     counted = reduce(DataFrame.unionByName, effects).groupBy("table_name", "action")
     return Purge(after, counted.agg(F.sum("rows").alias("rows")))

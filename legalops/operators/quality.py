@@ -21,7 +21,14 @@ from legalops.sources.tables import Tables
 RuleName = tuple[str, str]
 
 
+def _key_code(columns: Sequence[str]) -> str:
+    """SQL for a text that only equal keys share: each part with its length, NULL as a dash."""
+    parts = (f"coalesce(concat(length(CAST({c} AS STRING)), ':', CAST({c} AS STRING)), '-')" for c in columns)
+    return f"concat({', '.join(parts)})"
+
+
 def _key_text(columns: Sequence[str]) -> str:
+    """SQL for a key as the findings show it."""
     parts = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in columns)
     return f"concat_ws('|', {parts})"
 
@@ -109,14 +116,16 @@ def audit_keys(t: Tables) -> DataFrame:
     for name, table in TABLES.items():
         if name not in t:
             continue
-        keys = [(f"primary key ({', '.join(table.primary_key)})", _key_text(table.primary_key))]
-        keys += [(f"unique ({c})", f"CAST({c} AS STRING)") for c in table.unique]
-        parts.append(
-            _unfold(t[name], (f"struct({len(rules) + i} AS i, {key} AS key)" for i, (_, key) in enumerate(keys)))
+        keys = [(f"primary key ({', '.join(table.primary_key)})", _key_code(table.primary_key), table.primary_key)]
+        keys += [(f"unique ({c})", f"CASE WHEN {c} IS NOT NULL THEN {_key_code([c])} END", [c]) for c in table.unique]
+        structs = (
+            f"struct({len(rules) + i} AS i, {code} AS code, {_key_text(columns)} AS key)"
+            for i, (_, code, columns) in enumerate(keys)
         )
-        rules += [(name, rule) for rule, _ in keys]
-    present = _union(parts).where(F.col("key").isNotNull())
-    counted = present.groupBy("i", "key").agg(F.count("*").alias("rows"))
+        parts.append(_unfold(t[name], structs))
+        rules += [(name, rule) for rule, _, _ in keys]
+    present = _union(parts).where(F.col("code").isNotNull())
+    counted = present.groupBy("i", "code").agg(F.first("key").alias("key"), F.count("*").alias("rows"))
     return _findings(counted.where(F.col("rows") > 1), rules)
 
 
@@ -134,16 +143,18 @@ def audit_orphans(t: Tables) -> DataFrame:
                 continue
             i = len(rules)
             all_present = " AND ".join(f"{c} IS NOT NULL" for c in fk.columns)
-            value = f"CASE WHEN {all_present} THEN {_key_text(fk.columns)} END"
-            structs[name].append(f"struct({i} AS i, {value} AS key, FALSE AS is_parent)")
-            structs[fk.parent].append(f"struct({i} AS i, {_key_text(fk.parent_columns)} AS key, TRUE AS is_parent)")
+            value = f"CASE WHEN {all_present} THEN {_key_code(fk.columns)} END"
+            structs[name].append(f"struct({i} AS i, {value} AS code, {_key_text(fk.columns)} AS key, FALSE AS is_parent)")
+            structs[fk.parent].append(
+                f"struct({i} AS i, {_key_code(fk.parent_columns)} AS code, {_key_text(fk.parent_columns)} AS key, TRUE AS is_parent)"
+            )
             rules.append((name, f"({', '.join(fk.columns)}) references {fk.parent}"))
     parts = [_unfold(t[name], own) for name, own in structs.items() if own]
     grouped = (
         _union(parts)
-        .where(F.col("key").isNotNull())
-        .groupBy("i", "key")
-        .agg(F.count(F.when(~F.col("is_parent"), 1)).alias("rows"), F.max("is_parent").alias("has_parent"))
+        .where(F.col("code").isNotNull())
+        .groupBy("i", "code")
+        .agg(F.first("key").alias("key"), F.count(F.when(~F.col("is_parent"), 1)).alias("rows"), F.max("is_parent").alias("has_parent"))
     )
     return _findings(grouped.where(~F.col("has_parent")), rules)
 

@@ -86,6 +86,20 @@ def _purge(t: StarTables, table: str, doomed: DataFrame) -> DataFrame:
     return purge.cascade_purge(t, table, doomed).effects
 
 
+def _after_purge(t: StarTables) -> DataFrame:
+    withdrawn = t["service"].where(F.col("service_description") == "ECONOMY")
+    return purge.cascade_purge(t, "service", withdrawn).tables["contract_service"]
+
+
+def _stored_runs(t: StarTables) -> DataFrame:
+    """Payroll rows written kind by kind, each twice over, and read back."""
+    root = shared_folder(t.spark, "payroll")
+    for kind in ("ADVANCE", "PAYMENT", "ADVANCE", "PAYMENT"):
+        run = payroll.payroll_run(t, kind, FREE_DAY, FREE_DAY.replace(month=10, day=1))
+        payroll.write_payroll_run(run, root)
+    return tables.read_table(t.spark, root, "outgoing_pay_document").drop(tables.MONTH)
+
+
 def _insert_ignore(t: StarTables) -> DataFrame:
     seen = t["income_pay_document"].select("account_no", "bik")
     return tables.insert_ignore(t.staff_accounts(), seen, ["account_no", "bik"])
@@ -139,7 +153,10 @@ def queries() -> dict[str, Query]:
         "check_prices_rejected": on(lambda t: _check(t).rejected),
         "check_prices_changes": on(lambda t: _check(t).changes),
         "price_contract_lines": on(
-            lambda t: pricing.price_contract_lines(t.lines().select(*t.LINE), t)
+            lambda t: pricing.price_contract_lines(t.lines().select(*t.LINE), t).priced
+        ),
+        "unpriced_contract_lines": on(
+            lambda t: pricing.price_contract_lines(t.lines().select(*t.LINE), t).unpriced
         ),
         "bill_documents": on(lambda t: _bills(t).payment_document),
         "bill_bundles": on(lambda t: _bills(t).payment_bundle),
@@ -160,6 +177,13 @@ def queries() -> dict[str, Query]:
         "cascade_purge": on(
             lambda t: _purge(t, "service", t["service"].where(F.col("service_description") == "ECONOMY"))
         ),
+        "contract_service_after_purge": on(_after_purge),
+        "payroll_runs_stored": on(_stored_runs),
+        "stream_prices_changes": on(lambda t: _stream_prices(t, "changes")),
+        "fork_price_list_header": on(
+            lambda t: pricing.fork_price_list(t, LAST_LIST, 12.5, LAST_LIST + dt.timedelta(days=1)).price_list
+        ),
+        "bill_links": on(lambda t: _bills(t).income_payment_bundle),
         "cascade_purge_clients": on(
             lambda t: _purge(t, "client", t["client"].where(F.col("client_type") == "ENTREPRENEUR"))
         ),

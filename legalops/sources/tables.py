@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from legalops.functions.dates import day, month_start
-from legalops.model import MONTH_PARTITIONS, TABLES
+from legalops.model import KIND_PARTITIONS, MONTH_PARTITIONS, TABLES
 
 Tables = Mapping[str, DataFrame]
 
@@ -27,7 +27,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     schema = T.StructType(list(TABLES[name].schema.fields))
     if name in MONTH_PARTITIONS:
         schema = schema.add(MONTH, T.DateType())
-    return spark.read.schema(schema).parquet(f"{root}/{name}")
+    # Folder columns come last in a scan.
+    return spark.read.schema(schema).parquet(f"{root}/{name}").select(*schema.names)
 
 
 def read_tables(spark: SparkSession, root: str, names: Sequence[str] = tuple(TABLES)) -> dict[str, DataFrame]:
@@ -45,7 +46,7 @@ def _laid_out(df: DataFrame, name: str) -> DataFrame:
 def _write(df: DataFrame, root: str, name: str, mode: str, options: dict[str, str]) -> None:
     writer = _laid_out(df, name).write.mode(mode).options(**options)
     if name in MONTH_PARTITIONS:
-        writer = writer.partitionBy(MONTH)
+        writer = writer.partitionBy(MONTH, *KIND_PARTITIONS.get(name, ()))
     writer.parquet(f"{root}/{name}")
 
 
@@ -66,7 +67,7 @@ def reload_tables(t: Tables, root: str) -> None:
 
 
 def replace_months(df: DataFrame, root: str, name: str) -> None:
-    """Overwrite just the month folders that `df` has rows for."""
+    """Overwrite just the month folders (and kinds in them) that `df` has rows for."""
     if name not in MONTH_PARTITIONS:
         raise ValueError(f"{name} is not stored by month")
     _write(df, root, name, "overwrite", {"partitionOverwriteMode": "dynamic"})

@@ -117,7 +117,7 @@ price_list AS (
 markup AS (
   SELECT * FROM (VALUES {markup}) AS m(client_type, factor)
 ),
-price_list_service AS (
+price_list_service AS MATERIALIZED (
   SELECT id_service, creation_date,
          CAST(floor(price * inflation_rate * (CAST(1.0 AS DOUBLE) + nds) * factor) AS BIGINT) + extra_charge AS price,
          client_type
@@ -143,7 +143,7 @@ assignment_agreement AS (
   FROM (SELECT *, CAST(o_orderdate AS DATE) + CAST(n * 7 AS INTEGER) AS created
         FROM numbers JOIN orders ON o_orderkey = l_orderkey)
 ),
-priced AS (
+priced AS MATERIALIZED (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS id_service,
          CAST(l_linenumber AS BIGINT) AS assignment_agreement_no, l_orderkey AS cooperation_agreement_no,
          a.id_client, l_returnflag, coalesce(p.price, s.price) AS price
@@ -170,7 +170,7 @@ looked_up AS (
   LEFT JOIN price_list_service p ON p.id_service = l.id_service AND p.client_type = c.client_type
     AND p.creation_date = a.creation_price_list_date
 ),
-payment_document AS (
+payment_document AS MATERIALIZED (
   SELECT cooperation_agreement_no * 10 + assignment_agreement_no AS id_payment_document,
          CAST(NULL AS BIGINT) AS id_payment_bundle, assignment_agreement_no, cooperation_agreement_no, id_client,
          CAST(sum(price) AS BIGINT) AS amount
@@ -221,82 +221,70 @@ MONTHS = ["january", "february", "march", "april", "may", "june", "july", "augus
 
 
 def _client_statistics() -> str:
+    # Per client one aggregate over its lines, one over its agreements, one over its payments.
     return _query(
         """
-SELECT n.name, n.id_client, n.created_at, coalesce(g.agreements, 0) AS agreements,
-       coalesce(s.services, 0) AS services, round(coalesce(s.average, 0), 0) AS avg_services_per_agreement,
-       g.last_agreement_date, g.last_completion_date, p.name_service AS top_service, a.accounts
-FROM names n LEFT JOIN stats g USING (id_client) LEFT JOIN services s USING (id_client)
-LEFT JOIN popular p USING (id_client) LEFT JOIN accounts a USING (id_client)
+SELECT n.name, n.id_client, n.created_at, coalesce(a.signed, 0) AS agreements, coalesce(l.lines, 0) AS services,
+       round(coalesce(coalesce(l.lines, 0) / nullif(coalesce(a.signed, 0) + coalesce(e.bare, 0), 0), 0), 0)
+         AS avg_services_per_agreement,
+       a.last_signed AS last_agreement_date, a.last_done AS last_completion_date, l.favourite AS top_service,
+       list_aggregate(list_sort(list_distinct(m.used)), 'string_agg', ',') AS accounts
+FROM names n
+LEFT JOIN signed_by_client a ON a.id_client = n.id_client
+LEFT JOIN lines_by_client l ON l.id_client = n.id_client
+LEFT JOIN bare_by_client e ON e.id_client = n.id_client
+LEFT JOIN (SELECT id_client, list(account_no) AS used FROM client_payments GROUP BY id_client) m
+  ON m.id_client = n.id_client
 """,
-        """agreements AS (
-  SELECT c.id_client, c.cooperation_agreement_no, a.assignment_agreement_no, a.created_at, a.completion_date
-  FROM cooperation_agreement c LEFT JOIN assignment_agreement a USING (id_client, cooperation_agreement_no)
-), stats AS (
-  SELECT id_client,
-         count(DISTINCT CASE WHEN assignment_agreement_no IS NOT NULL
-               THEN (cooperation_agreement_no, assignment_agreement_no) END) AS agreements,
-         max(created_at) AS last_agreement_date, max(completion_date) AS last_completion_date
-  FROM agreements GROUP BY id_client
-), per_agreement AS (
-  SELECT g.id_client, g.cooperation_agreement_no, g.assignment_agreement_no, count(s.id_service) AS n
-  FROM agreements g LEFT JOIN contract_service s
-    USING (id_client, cooperation_agreement_no, assignment_agreement_no)
-  GROUP BY ALL
-), services AS (
-  SELECT id_client, CAST(sum(n) AS BIGINT) AS services, avg(n) AS average FROM per_agreement GROUP BY id_client
-), popular AS (
-  SELECT id_client, name_service FROM (
-    SELECT g.id_client, v.name_service,
-           row_number() OVER (PARTITION BY g.id_client ORDER BY count(*) DESC, v.name_service) AS rn
-    FROM agreements g JOIN contract_service s USING (id_client, cooperation_agreement_no, assignment_agreement_no)
-    JOIN service v USING (id_service) GROUP BY g.id_client, v.name_service) WHERE rn = 1
-), accounts AS (
-  SELECT id_client, string_agg(DISTINCT account_no, ',' ORDER BY account_no) AS accounts
-  FROM client_payments GROUP BY id_client
+        """signed_by_client AS (
+  SELECT id_client, count(*) AS signed, max(created_at) AS last_signed, max(completion_date) AS last_done
+  FROM assignment_agreement GROUP BY id_client
+), bare_by_client AS (
+  SELECT id_client, count(*) AS bare FROM cooperation_agreement c
+  WHERE NOT EXISTS (FROM assignment_agreement x
+    WHERE x.id_client = c.id_client AND x.cooperation_agreement_no = c.cooperation_agreement_no)
+  GROUP BY id_client
+), lines_by_client AS (
+  SELECT id_client, CAST(sum(uses) AS BIGINT) AS lines,
+         arg_min(name_service, {'rank': -uses, 'name': name_service}) AS favourite
+  FROM (SELECT id_client, id_service, count(*) AS uses FROM contract_service GROUP BY ALL) JOIN service USING (id_service)
+  GROUP BY id_client
 )""",
     )
 
 
 def _manager_monthly() -> str:
-    columns = ",\n".join(
-        f"CAST(sum(CASE WHEN m = {i} THEN amount ELSE 0 END) AS BIGINT) AS {name}_amount,\n"
-        f"CAST(sum(CASE WHEN m = {i} THEN relative ELSE 0 END) AS BIGINT) AS {name}_relative"
-        for i, name in enumerate(MONTHS, start=1)
-    )
+    # A manager's year as a map from month to count; the month before is the largest smaller key.
+    def column(i: int, name: str) -> str:
+        now = f"CAST(coalesce(year_of[{i}], 0) AS BIGINT)"
+        before = f"CAST(year_of[list_max(list_filter(map_keys(year_of), lambda k: k < {i}))] AS BIGINT)"
+        change = f"CASE WHEN year_of[{i}] IS NULL THEN 0 ELSE coalesce(({now} - {before}) // nullif({before}, 0) * 100, 0) END"
+        return f"CAST({now} AS BIGINT) AS {name}_amount, CAST({change} AS BIGINT) AS {name}_relative"
+
+    columns = ",\n".join(column(i, name) for i, name in enumerate(MONTHS, start=1))
     return _query(
-        f"SELECT manager_number, {columns} FROM change GROUP BY manager_number",
-        """counts AS (
-  SELECT manager_number, date_trunc('month', start_date) AS month_start, count(cooperation_agreement_no) AS amount
-  FROM cooperation_agreement WHERE start_date >= DATE '2000-01-01' AND start_date < DATE '2001-01-01' GROUP BY ALL
-), change AS (
-  SELECT manager_number, month(month_start) AS m, amount,
-         coalesce((amount - lag(amount) OVER w) // nullif(lag(amount) OVER w, 0) * 100, 0) AS relative
-  FROM counts WINDOW w AS (PARTITION BY manager_number ORDER BY month_start)
+        f"SELECT manager_number, {columns} FROM years",
+        """years AS (
+  SELECT manager_number, histogram(month(start_date)) AS year_of
+  FROM cooperation_agreement WHERE year(start_date) = 2000 GROUP BY manager_number
 )""",
     )
 
 
 def _manager_monthly_calendar() -> str:
+    months = [f"count(c.cooperation_agreement_no) FILTER (m = {i}) AS n{i}" for i in range(13)]
     columns = ",\n".join(
-        f"max(CASE WHEN i = {i} THEN amount END) AS {name}_amount,\n"
-        f"max(CASE WHEN i = {i} THEN relative END) AS {name}_relative"
+        f"n{i} AS {name}_amount, (n{i} - n{i - 1}) * CAST(100.0 AS DOUBLE) / nullif(n{i - 1}, 0) AS {name}_relative"
         for i, name in enumerate(MONTHS, start=1)
     )
     return _query(
-        f"SELECT employee_number, fio, {columns} FROM change GROUP BY employee_number, fio",
-        """spine AS (
-  SELECT employee_number, fio, i, CAST(DATE '1999-12-01' + i * INTERVAL 1 MONTH AS DATE) AS month_start
-  FROM employee, (SELECT unnest(generate_series(0, 12)) AS i)
-), counts AS (
-  SELECT manager_number, CAST(date_trunc('month', start_date) AS DATE) AS month_start, count(*) AS amount
-  FROM cooperation_agreement GROUP BY ALL
-), filled AS (
-  SELECT s.*, coalesce(c.amount, 0) AS amount
-  FROM spine s LEFT JOIN counts c ON c.manager_number = s.employee_number AND c.month_start = s.month_start
-), change AS (
-  SELECT *, (amount - lag(amount) OVER w) * CAST(100.0 AS DOUBLE) / nullif(lag(amount) OVER w, 0) AS relative
-  FROM filled WINDOW w AS (PARTITION BY employee_number ORDER BY i)
+        f"SELECT employee_number, fio, {columns} FROM counted",
+        f"""counted AS (
+  SELECT employee_number, fio, {", ".join(months)}
+  FROM employee LEFT JOIN (
+    SELECT *, date_diff('month', DATE '1999-12-01', start_date) AS m FROM cooperation_agreement) c
+    ON c.manager_number = employee_number
+  GROUP BY employee_number, fio
 )""",
     )
 
@@ -304,28 +292,24 @@ def _manager_monthly_calendar() -> str:
 def _debtors() -> str:
     return _query(
         """
-SELECT n.name, n.id_client, coalesce(g.agreements, 0) AS agreements, c.charged, coalesce(p.paid, 0) AS paid,
-       g.last_agreement_date, p.last_payment_date, p.last_payment_account, c.charged - coalesce(p.paid, 0) AS debt
-FROM names n JOIN charged c USING (id_client) LEFT JOIN paid p USING (id_client) LEFT JOIN g USING (id_client)
-WHERE c.charged - coalesce(p.paid, 0) > 0
+SELECT name, id_client, coalesce(signed, 0) AS agreements, charged, coalesce(paid, 0) AS paid,
+       last_agreement_date, newest.payment_date AS last_payment_date, newest.account_no AS last_payment_account,
+       charged - coalesce(paid, 0) AS debt
+FROM (SELECT id_client, CAST(sum(price) AS BIGINT) AS charged FROM contract_service GROUP BY ALL)
+LEFT JOIN money USING (id_client) JOIN names USING (id_client)
+LEFT JOIN (SELECT id_client, count(*) AS signed, max(created_at) AS last_agreement_date
+           FROM assignment_agreement GROUP BY ALL) USING (id_client)
+WHERE charged > coalesce(paid, 0)
 """,
-        """charged AS (
-  SELECT id_client, CAST(sum(price) AS BIGINT) AS charged FROM contract_service GROUP BY id_client
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY id_client ORDER BY payment_date DESC, id_income_pay_document DESC) AS rn
-  FROM client_payments
-), paid AS (
-  SELECT id_client, CAST(sum(amount) AS BIGINT) AS paid, max(payment_date) AS last_payment_date,
-         max(CASE WHEN rn = 1 THEN account_no END) AS last_payment_account
-  FROM ranked GROUP BY id_client
-), g AS (
-  SELECT id_client, count(*) AS agreements, max(created_at) AS last_agreement_date
-  FROM assignment_agreement GROUP BY id_client
+        """money AS (
+  SELECT id_client, CAST(sum(amount) AS BIGINT) AS paid,
+         max({'payment_date': payment_date, 'id': id_income_pay_document, 'account_no': account_no}) AS newest
+  FROM client_payments GROUP BY id_client
 )""",
     )
 
 
-USAGE = """usage AS (
+USAGE = """usage AS MATERIALIZED (
   SELECT id_service, count(*) AS agreements, round(avg(n), 0) AS avg_uses FROM (
     SELECT id_service, count(*) AS n FROM contract_service
     GROUP BY id_service, assignment_agreement_no, cooperation_agreement_no, id_client) GROUP BY id_service
@@ -348,13 +332,13 @@ GROUP BY name_service, agreements, avg_uses""",
 
 def _payroll_year(owed: str) -> str:
     return _query(f"""
-SELECT employee_number, fio, CAST(sum(CASE WHEN payment_type = 'ADVANCE' THEN 1 ELSE 0 END) AS BIGINT) AS advances,
-       CAST(sum(CASE WHEN payment_type = 'PAYMENT' THEN 1 ELSE 0 END) AS BIGINT) AS salaries,
-       CAST(sum(CASE WHEN result = TRUE THEN amount ELSE 0 END) AS BIGINT) AS paid,
-       CAST(sum(CASE WHEN {owed} THEN amount ELSE 0 END) AS BIGINT) AS owed,
-       min(CASE WHEN {owed} THEN payment_date END) AS oldest_unpaid_date
+SELECT employee_number, any_value(fio) AS fio, count(*) FILTER (payment_type = 'ADVANCE') AS advances,
+       count(*) FILTER (payment_type = 'PAYMENT') AS salaries,
+       CAST(coalesce(sum(amount) FILTER (result), 0) AS BIGINT) AS paid,
+       CAST(coalesce(sum(amount) FILTER ({owed}), 0) AS BIGINT) AS owed,
+       min(payment_date) FILTER ({owed}) AS oldest_unpaid_date
 FROM outgoing_pay_document JOIN employee USING (employee_number)
-WHERE payment_date >= DATE '2001-01-01' AND payment_date < {AS_OF} GROUP BY employee_number, fio""")
+WHERE year(payment_date) = 2001 AND payment_date < {AS_OF} GROUP BY employee_number""")
 
 
 def _payroll_run(kind: str, pay_date: str, amount: str) -> str:
@@ -417,7 +401,7 @@ ARRIVALS = """events AS (
   SELECT *, paid_in + least(0, min(owed_to - paid_in) OVER (PARTITION BY id_client, cooperation_agreement_no
            ORDER BY day, kind, id ROWS UNBOUNDED PRECEDING)) AS paid_to
   FROM sums
-), placed AS (
+), placed AS MATERIALIZED (
   SELECT id_client, cooperation_agreement_no, kind, id, amount,
          CASE WHEN kind = 'DOCUMENT' THEN owed_to - amount ELSE coalesce(lag(paid_to) OVER w, 0) END AS s,
          CASE WHEN kind = 'DOCUMENT' THEN owed_to ELSE paid_to END AS e
@@ -426,6 +410,10 @@ ARRIVALS = """events AS (
 )"""
 
 
+SIDES = """placed_documents AS MATERIALIZED (SELECT * FROM placed WHERE kind = 'DOCUMENT' AND e > s),
+placed_payments AS MATERIALIZED (SELECT * FROM placed WHERE kind = 'PAYMENT' AND e > s)"""
+
+
 # --- Audits: built from the model's own list of rules ---------------------------
 
 
@@ -444,10 +432,12 @@ def _finding(table: str, rule: str, source: str, fails: str, rows: str, key: str
 def _audit_keys() -> str:
     parts = []
     for name, table in TABLES.items():
-        rules = [(f"primary key ({', '.join(table.primary_key)})", _text(table.primary_key))]
-        rules += [(f"unique ({c})", c) for c in table.unique]
-        for rule, key in rules:
-            source = f"(SELECT {key} AS k, count(*) AS n FROM {name} WHERE {key} IS NOT NULL GROUP BY 1)"
+        rules = [(f"primary key ({', '.join(table.primary_key)})", table.primary_key)]
+        rules += [(f"unique ({c})", (c,)) for c in table.unique]
+        for rule, columns in rules:
+            listed = ", ".join(columns)
+            present = f"WHERE {listed} IS NOT NULL " if rule.startswith("unique") else ""
+            source = f"(SELECT {_text(columns)} AS k, count(*) AS n FROM {name} {present}GROUP BY {listed})"
             parts.append(_finding(name, rule, source, "n > 1", "n", "k"))
     return _query("\nUNION ALL ".join(parts))
 
@@ -526,7 +516,7 @@ def oracle_sql() -> dict[str, str]:
     # picks a join order that pairs all clients with all prices of their type.
     accepted = "FROM looked_up QUALIFY list_price IS NOT NULL AND count(*) OVER (PARTITION BY id) > 0"
     line = "id, id_service, assignment_agreement_no, cooperation_agreement_no, id_client"
-    withdrawn = "id_service IN (SELECT id_service FROM service WHERE service_description = 'ECONOMY')"
+    withdrawn = "(id_service IN (SELECT id_service FROM service WHERE service_description = 'ECONOMY'))"
     left = "(SELECT employee_number FROM employee WHERE fire_date IS NOT NULL)"
     idle = "(SELECT id_client FROM client WHERE client_type = 'ENTREPRENEUR')"
     return {
@@ -543,10 +533,13 @@ FROM service JOIN usage USING (id_service) JOIN (
         ),
         "service_popularity_wide": _service_popularity_wide(),
         "service_popularity_current": _query(
-            f"""SELECT name_service, agreements, avg_uses, client_type, p.price AS current_price
-FROM service JOIN usage USING (id_service) JOIN price_list_service p USING (id_service)
-WHERE p.creation_date = (SELECT max(creation_date) FROM price_list WHERE creation_date <= {AS_OF})""",
+            """SELECT name_service, agreements, avg_uses, client_type, p.price AS current_price
+FROM usage JOIN service USING (id_service) JOIN in_force p USING (id_service)""",
             USAGE,
+            f"""in_force AS MATERIALIZED (
+  SELECT * FROM price_list_service
+  WHERE creation_date = (SELECT max(creation_date) FROM price_list WHERE creation_date <= {AS_OF})
+)""",
         ),
         "payroll_year": _payroll_year("result = FALSE"),
         "payroll_year_null_owed": _payroll_year("result IS DISTINCT FROM TRUE"),
@@ -580,6 +573,24 @@ FROM price_list_service WHERE creation_date = DATE '2001-04-01'"""
             "AND price IS DISTINCT FROM list_price"
         ),
         "price_contract_lines": _query(f"SELECT {line}, list_price AS price {accepted}"),
+        "unpriced_contract_lines": _query(
+            f"SELECT {line}, client_type FROM looked_up WHERE list_price IS NULL"
+        ),
+        "bill_links": _query(
+            "SELECT id_payment_bundle AS id_income_pay_document, id_payment_bundle FROM bill_bundles", BILLS
+        ),
+        "fork_price_list_header": _query(
+            """SELECT * REPLACE (DATE '2001-04-02' AS creation_date) FROM price_list
+WHERE creation_date = DATE '2001-04-01'"""
+        ),
+        "payroll_runs_stored": _payroll_run("ADVANCE", "2001-09-15", "15000")
+        + "\nUNION ALL SELECT DATE '2001-09-30', account_no, bik, employee_number, "
+        "CAST(greatest(salary - 15000, 0) AS BIGINT), 'PAYMENT', NULL FROM employee WHERE fire_date IS NULL",
+        "contract_service_after_purge": _query(f"SELECT * FROM contract_service WHERE NOT {withdrawn}"),
+        "stream_prices_changes": _query(
+            f"SELECT {line}, price AS old_price, list_price AS new_price {accepted} "
+            "AND price IS DISTINCT FROM list_price"
+        ),
         "bill_documents": _query("SELECT * FROM bill_documents", BILLS),
         "bill_bundles": _query("SELECT * FROM bill_bundles", BILLS),
         "bill_incomes": _query(
@@ -612,16 +623,18 @@ WHERE total_amount - coalesce(used, 0) > 0""",
         "arrival_allocations": _query(
             """SELECT id_client, cooperation_agreement_no, d.id AS id_payment_document, p.id AS id_payment_bundle,
 CAST(least(d.e, p.e) - greatest(d.s, p.s) AS BIGINT) AS allocated
-FROM placed d JOIN placed p USING (id_client, cooperation_agreement_no)
-WHERE d.kind = 'DOCUMENT' AND p.kind = 'PAYMENT' AND least(d.e, p.e) > greatest(d.s, p.s)""",
+FROM placed_documents d JOIN placed_payments p USING (id_client, cooperation_agreement_no)
+WHERE least(d.e, p.e) > greatest(d.s, p.s)""",
             ARRIVALS,
+            SIDES,
         ),
         "stream_allocations": _query(
             """SELECT id_client, cooperation_agreement_no, d.id AS id_payment_document, p.id AS id_payment_bundle,
 CAST(least(d.e, p.e) - greatest(d.s, p.s) AS BIGINT) AS allocated
-FROM placed d JOIN placed p USING (id_client, cooperation_agreement_no)
-WHERE d.kind = 'DOCUMENT' AND p.kind = 'PAYMENT' AND least(d.e, p.e) > greatest(d.s, p.s)""",
+FROM placed_documents d JOIN placed_payments p USING (id_client, cooperation_agreement_no)
+WHERE least(d.e, p.e) > greatest(d.s, p.s)""",
             ARRIVALS,
+            SIDES,
         ),
         "arrival_leftovers": _query(
             """SELECT id_client, cooperation_agreement_no, id AS id_payment_bundle,
@@ -656,8 +669,7 @@ CAST(amount - (e - s) AS BIGINT) AS leftover FROM placed WHERE kind = 'PAYMENT'
                 (
                     "cooperation_agreement",
                     "blocking",
-                    f"(SELECT * FROM cooperation_agreement WHERE manager_number IN {left} "
-                    f"UNION ALL SELECT * FROM cooperation_agreement WHERE lawyer_number IN {left})",
+                    f"cooperation_agreement WHERE manager_number IN {left} OR lawyer_number IN {left}",
                 ),
             )
         ),

@@ -94,7 +94,10 @@ def test_check_contract_prices(spark, tables):
 
 def test_price_contract_lines(spark, tables):
     lines = spark.createDataFrame(LINES, LINE).drop("price")
-    assert rows(pricing.price_contract_lines(lines, priced(tables)), "id", "price") == [(1, 25), (2, 25), (3, 45)]
+    done = pricing.price_contract_lines(lines, priced(tables))
+    assert rows(done.priced, "id", "price") == [(1, 25), (2, 25), (3, 45)]
+    # No line is lost: what no list prices comes back too.
+    assert done.priced.count() + done.unpriced.count() == lines.count()
 
 
 def test_arriving_lines_are_checked_like_a_batch(spark, tables, tmp_path):

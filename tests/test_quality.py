@@ -139,3 +139,34 @@ def test_purge_leaves_tables_it_does_not_reach(tables):
     done = purge.cascade_purge(t, "service", t["service"])
     assert set(done.tables) == set(TABLES)
     assert done.tables["client"] is t["client"]
+
+
+def test_purge_by_a_repeated_key_removes_only_lines_of_the_service(tables):
+    line = "id id_service assignment_agreement_no cooperation_agreement_no id_client price"
+    t = tables(
+        service=("id_service name_service price", [(1, "a", 1), (1, "a", 1), (2, "b", 1)]),
+        contract_service=(line, [(7, 1, 1, 1, 1, 5), (7, 2, 1, 1, 1, 5), (7, 1, 1, 1, 1, 5), (8, None, 1, 1, 1, 5)]),
+    )
+    done = purge.cascade_purge(t, "service", t["service"].where("id_service = 1"))
+    assert rows(done.tables["contract_service"], "id", "id_service") == [(7, 2), (8, None)]
+    removed = {r["table_name"]: r["rows"] for r in done.effects.where("action = 'removed'").collect()}
+    assert removed["contract_service"] == 2 and removed["service"] == 2
+
+
+def test_a_row_held_back_by_two_references_blocks_once(tables):
+    t = tables(
+        employee=("employee_number fio", [(1, "a")]),
+        cooperation_agreement=(
+            "id_client cooperation_agreement_no manager_number lawyer_number", [(1, 1, 1, 1), (2, 2, 1, None), (3, 3, None, None)]
+        ),
+    )
+    done = purge.cascade_purge(t, "employee", t["employee"])
+    blocking = {r["table_name"]: r["rows"] for r in done.effects.where("action = 'blocking'").collect()}
+    assert blocking == {"cooperation_agreement": 2}
+
+
+def test_keys_that_only_look_alike_stay_apart(tables):
+    t = tables(bank_account=("account_no bik", [("a|b", "c"), ("a", "b|c"), (None, "x"), ("", "x"), ("d", "e"), ("d", "e")]))
+    found = {(r["table_name"], r["rule"]): r for r in quality.audit_keys(t).collect()}
+    keys = found["bank_account", "primary key (account_no, bik)"]
+    assert (keys["failing_rows"], keys["sample_key"]) == (2, "d|e")

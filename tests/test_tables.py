@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from legalops.model import TABLES
+from legalops.operators import payroll
 from legalops.plans import reports
 from legalops.sources import tables as source
 from legalops.sources.star import StarTables
@@ -35,6 +36,17 @@ def test_reload_append_and_replace_months(tables, spark, tmp_path):
     assert rows(source.read_table(spark, root, name), "month", "amount") == [(D(2001, 1, 1), 7), (D(2001, 2, 1), 3)]
 
 
+def test_writing_one_kind_again_keeps_the_other(tables, spark, tmp_path):
+    root, name = str(tmp_path), "outgoing_pay_document"
+    advance = paid(tables, (D(2001, 8, 20), "a", "x", 1, 5, "ADVANCE", None))
+    salary = paid(tables, (D(2001, 8, 31), "a", "x", 1, 7, "PAYMENT", None))
+    for run in (advance, salary, advance, salary):
+        payroll.write_payroll_run(payroll.PayrollRun(run, run), root)
+    stored = source.read_table(spark, root, name)
+    assert rows(stored, "payment_type", "amount") == [("ADVANCE", 5), ("PAYMENT", 7)]
+    assert stored.columns == PAID.split() + ["month"]
+
+
 def test_a_date_range_reads_only_its_months(tables, spark, tmp_path):
     root, name = str(tmp_path), "outgoing_pay_document"
     months = [(D(2001, m, 5), "a", "x", 1, m, "ADVANCE", None) for m in range(1, 13)]
