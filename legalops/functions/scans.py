@@ -1,23 +1,24 @@
 """Running aggregates whose groups may be larger than a task can hold.
 
-A plain window sorts each group in one task. `running_by_block` cuts a group into
-blocks by the leading bits of its order column, scans each block on its own, and
-carries in what the earlier blocks add up to. The order column must be a
-non-negative long with few repeats inside a group (an id, or a position on a
-line), so the length of a block is bounded by its width and not by the data.
+A plain window sorts each group in one task. Here rows are range-partitioned by group
+and order, so that all partitions are of like size and a large group is cut into blocks
+by its number of rows, whatever its order values are. Each block is scanned on its own,
+and what the earlier blocks of its group come to is carried in. A group of one block
+has nothing to carry. There is one path for groups of every size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Block widths in bits: 2^22 order values to a block, 2^21 blocks to a super-block
-# and at most 2^20 super-blocks to a group.
-BLOCK_BITS = (22, 43)
+from legalops.session import shared_folder
+from legalops.sources.tables import stage
+
+BLOCK = "_block"
 
 
 @dataclass(frozen=True)
@@ -45,83 +46,47 @@ class Running:
         return F.greatest(carried, own)
 
 
-Scan = Callable[..., DataFrame]
+def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None) -> DataFrame:
+    """The rows with the number of their block, written out so that a block stays as it is.
+
+    Blocks are the partitions of a sampled range partitioning by keys and order: their
+    numbers rise along each group. `blocks` sets how many there are, by default as many
+    as the session's shuffle partitions.
+    """
+    count = [blocks] if blocks else []
+    ranged = df.repartitionByRange(*count, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
+    return stage(ranged, shared_folder(df.sparkSession, "blocks"))
 
 
-def running_by_group(
+def running(
     df: DataFrame,
     keys: Sequence[str],
-    order: str,
+    order: Sequence[str],
     aggregates: Sequence[Running],
-    ties: Sequence[Column] = (),
+    blocks: int | None = None,
 ) -> DataFrame:
-    """Add running aggregates over `keys`, in the order of `order` and then `ties`, with
-    a plain window: for groups that are known to fit a task."""
-    window = Window.partitionBy(*keys).orderBy(F.col(order), *ties)
-    return df.select(
-        "*", *[a.aggregate(a.value).over(window.rowsBetween(*a.frame)).alias(a.out) for a in aggregates]
+    """Add running aggregates over `keys`, in the order of `order`."""
+    held = in_blocks(
+        df.select("*", *[a.value.alias(f"_value_{a.out}") for a in aggregates]), keys, order, blocks
     )
+    return scan_blocks(held, keys, order, aggregates).select(*df.columns, *[a.out for a in aggregates])
 
 
-def running_by_block(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    aggregates: Sequence[Running],
-    ties: Sequence[Column] = (),
-    block_bits: Sequence[int] = BLOCK_BITS,
+def scan_blocks(
+    held: DataFrame, keys: Sequence[str], order: Sequence[str], aggregates: Sequence[Running]
 ) -> DataFrame:
-    """The same for groups of any size, in blocks of the `order` column.
-
-    Rows that repeat an `order` value share a block, so `ties` settles them there.
-    """
-    keys = list(keys)
-    blocks = [f"_block{i}" for i in range(len(block_bits))]
-    rows = df.select("*", *[a.value.alias(f"_value_{a.out}") for a in aggregates])
-    for name, bits in zip(blocks, block_bits):
-        rows = rows.withColumn(name, F.shiftright(F.col(order), bits))
-
-    totals = rows.groupBy(*keys, *blocks).agg(
+    """Running aggregates of `_value_` columns over rows that have their block."""
+    totals = held.groupBy(*keys, BLOCK).agg(
         *[a.aggregate(F.col(f"_value_{a.out}")).alias(f"_value_{a.out}") for a in aggregates]
     )
-    carried = _carry_in(totals, keys, blocks, aggregates)
-
-    inside = Window.partitionBy(*keys, blocks[0]).orderBy(F.col(order), *ties)
-    joined = _join_carried(rows, carried, [*keys, blocks[0]])
+    # A group has at most one row per partition here.
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.select(
+        *keys, BLOCK, *[a.aggregate(F.col(f"_value_{a.out}")).over(before).alias(f"_carry_{a.out}") for a in aggregates]
+    )
+    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    joined = held.join(carried, [*keys, BLOCK])
     for a in aggregates:
         own = a.aggregate(F.col(f"_value_{a.out}")).over(inside.rowsBetween(*a.frame))
         joined = joined.withColumn(a.out, a.combine(F.col(f"_carry_{a.out}"), own))
-    return joined.select(*df.columns, *[a.out for a in aggregates])
-
-
-def _carry_in(
-    totals: DataFrame, keys: list[str], blocks: list[str], aggregates: Sequence[Running]
-) -> DataFrame:
-    """For each block, what all blocks before it in the group come to."""
-    block, wider = blocks[0], blocks[1:]
-    before = (
-        Window.partitionBy(*keys, *wider[:1])
-        .orderBy(block)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = totals
-    if wider:
-        outer_totals = totals.groupBy(*keys, *wider).agg(
-            *[a.aggregate(F.col(f"_value_{a.out}")).alias(f"_value_{a.out}") for a in aggregates]
-        )
-        outer = _carry_in(outer_totals, keys, wider, aggregates)
-        outer = outer.select(
-            *keys, wider[0], *[F.col(f"_carry_{a.out}").alias(f"_outer_{a.out}") for a in aggregates]
-        )
-        carried = _join_carried(totals, outer, [*keys, wider[0]])
-    for a in aggregates:
-        own = a.aggregate(F.col(f"_value_{a.out}")).over(before)
-        if wider:
-            own = a.combine(F.col(f"_outer_{a.out}"), own)
-        carried = carried.withColumn(f"_carry_{a.out}", own)
-    return carried.select(*keys, block, *[f"_carry_{a.out}" for a in aggregates])
-
-
-def _join_carried(rows: DataFrame, carried: DataFrame, on: list[str]) -> DataFrame:
-    # Every row's block is in `carried`, so an inner join keeps all rows.
-    return rows.join(carried, on)
+    return joined

@@ -9,25 +9,20 @@ payment sees only the documents already there and drops what it has over, so it
 reaches no farther along the line than they do. `operators.arrivals` places such
 events, and `match_positions` pairs them all the same.
 
-Agreements of ordinary size are ordered in one task each. One with more rows than
-that allows is scanned in blocks instead (`functions.scans`), with the same result.
+An agreement is scanned in blocks of rows (`functions.scans`), so it may be of any size.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legalops.functions.scans import Running, Scan, running_by_block, running_by_group
+from legalops.functions.scans import Running, running
 
 AGREEMENT = ["id_client", "cooperation_agreement_no"]
 
-# Documents or payments of one agreement that a single task may sort.
-LARGE_AGREEMENT = 1 << 20
-
 
 class Allocation(NamedTuple):
     allocations: DataFrame
@@ -35,9 +30,9 @@ class Allocation(NamedTuple):
     leftovers: DataFrame
 
 
-def place(rows: DataFrame, id_column: str, amount: str, scan: Scan = running_by_block) -> DataFrame:
+def place(rows: DataFrame, id_column: str, amount: str, blocks: int | None = None) -> DataFrame:
     """Lay an agreement's rows end to end by id: adds where each starts and ends."""
-    placed = scan(rows, AGREEMENT, id_column, [Running("ends_at", F.col(amount))])
+    placed = running(rows, AGREEMENT, [id_column], [Running("ends_at", F.col(amount))], blocks)
     return placed.withColumn("starts_at", F.col("ends_at") - F.col(amount))
 
 
@@ -48,7 +43,7 @@ def _stretches(placed: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-def match_positions(documents: DataFrame, payments: DataFrame, scan: Scan = running_by_block) -> DataFrame:
+def match_positions(documents: DataFrame, payments: DataFrame, blocks: int | None = None) -> DataFrame:
     """Amounts by which placed documents and payments overlap.
 
     Both have (agreement, id, starts_at, ends_at). An overlap starts where its
@@ -67,12 +62,12 @@ def match_positions(documents: DataFrame, payments: DataFrame, scan: Scan = runn
     )
     # Payments sort first on a shared start: the document there sees the payment,
     # and the payment sees earlier documents only, so the pair comes out once.
-    met = scan(
+    met = running(
         starts,
         AGREEMENT,
-        "starts_at",
+        ["starts_at", "side"],
         [Running("doc", F.col("document"), "max"), Running("pay", F.col("payment"), "max")],
-        ties=[F.col("side")],
+        blocks,
     )
     amount = F.least("doc.ends_at", "pay.ends_at") - F.col("starts_at")
     return (
@@ -93,9 +88,20 @@ def _beyond_line_end() -> Column:
     return F.greatest(F.col("ends_at") - start, F.lit(0))
 
 
-def _allocate(documents: DataFrame, payments: DataFrame, scan: Scan) -> Allocation:
-    owed = place(documents, "id_payment_document", "amount", scan)
-    paid = place(payments, "id_payment_bundle", "total_amount", scan)
+def allocate_payments(documents: DataFrame, bundles: DataFrame, blocks: int | None = None) -> Allocation:
+    """Settle documents by payments, oldest id first on both sides.
+
+    allocations: which payment settled how much of which document. documents_after:
+    all documents with what is still owed. leftovers: what a payment had over.
+    """
+    payments = bundles.select(
+        "id_client",
+        F.col("parent_cooperation_agreement_no").alias("cooperation_agreement_no"),
+        "id_payment_bundle",
+        "total_amount",
+    )
+    owed = place(documents, "id_payment_document", "amount", blocks)
+    paid = place(payments, "id_payment_bundle", "total_amount", blocks)
 
     # What is settled ends where the shorter of the two lines ends.
     owed_to = documents.groupBy(*AGREEMENT).agg(F.sum("amount").alias("line_end"))
@@ -106,47 +112,8 @@ def _allocate(documents: DataFrame, payments: DataFrame, scan: Scan) -> Allocati
     )
     return Allocation(
         match_positions(
-            _stretches(owed, "id_payment_document"), _stretches(paid, "id_payment_bundle"), scan
+            _stretches(owed, "id_payment_document"), _stretches(paid, "id_payment_bundle"), blocks
         ),
         after.select(*documents.columns),
         over.where(F.col("leftover") > 0),
     )
-
-
-Frames = tuple[DataFrame, ...]
-
-
-def split_large(frames: Frames, large: int) -> list[tuple[Frames, Scan]]:
-    """The frames' rows of ordinary and of large agreements, each with its scan.
-
-    An agreement is large if it has more than `large` rows in one of the frames.
-    """
-    counts = [
-        frame.groupBy(*AGREEMENT).count().where(F.col("count") > large).select(*AGREEMENT)
-        for frame in frames
-    ]
-    # At most one row in `large` is the key of a large agreement, so these keys stay
-    # small enough to broadcast: some 100,000 of them for 10^11 rows.
-    keys = F.broadcast(reduce(DataFrame.unionByName, counts).distinct())
-    return [
-        (tuple(frame.join(keys, AGREEMENT, how) for frame in frames), scan)
-        for how, scan in (("left_anti", running_by_group), ("left_semi", running_by_block))
-    ]
-
-
-def allocate_payments(documents: DataFrame, bundles: DataFrame, large: int = LARGE_AGREEMENT) -> Allocation:
-    """Settle documents by payments, oldest id first on both sides.
-
-    allocations: which payment settled how much of which document. documents_after:
-    all documents with what is still owed. leftovers: what a payment had over.
-    """
-    payments = bundles.select(
-        "id_client",
-        F.col("parent_cooperation_agreement_no").alias("cooperation_agreement_no"),
-        "id_payment_bundle",
-        "total_amount",
-    )
-    split = split_large((documents, payments), large)
-    ordinary, blocked = (_allocate(*frames, scan) for frames, scan in split)
-    allocations, after, over = (a.unionByName(b) for a, b in zip(ordinary, blocked))
-    return Allocation(allocations, after.select(*documents.columns), over)

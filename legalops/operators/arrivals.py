@@ -1,7 +1,7 @@
 """Allocation of payments that arrive among the documents they pay, from a log of events.
 
 Events are (agreement, kind, id, amount, arrival); arrival rises with the order of
-arrival in an agreement and seldom repeats, ids settle repeats. Placed, an event has
+arrival in an agreement, ids settle repeats. Placed, an event has
 the stretch of the agreement's line it covers (see `operators.allocation`) and, for
 a payment, what it had over. `legalops.streaming.allocation` writes the same rows
 for events as they arrive; here a whole log is placed at once.
@@ -9,11 +9,11 @@ for events as they arrive; here a whole log is placed at once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from legalops.functions.scans import Running, Scan
-from legalops.operators.allocation import AGREEMENT, LARGE_AGREEMENT, match_positions, split_large
+from legalops.functions.scans import BLOCK, in_blocks
+from legalops.operators.allocation import AGREEMENT, match_positions
 
 DOCUMENT, PAYMENT = "DOCUMENT", "PAYMENT"
 
@@ -24,53 +24,77 @@ PLACED_SCHEMA = (
 )
 
 
-def _place(events: DataFrame, scan: Scan) -> DataFrame:
+def place_events(events: DataFrame, blocks: int | None = None) -> DataFrame:
+    """Place a log of documents and payments on their agreements' lines.
+
+    One pass over blocks gives what is owed and paid so far and how far payments were
+    ahead at most. A block's most is counted from its own start, so it moves by what the
+    blocks before it add up to.
+    """
     is_document = F.col("kind") == DOCUMENT
-    ties = [F.col("id")]
-    sums = scan(
-        events,
+    order = ["arrival", "id"]
+    held = in_blocks(
+        events.select(
+            "*",
+            F.when(is_document, F.col("amount")).otherwise(0).alias("_owed"),
+            F.when(is_document, 0).otherwise(F.col("amount")).alias("_paid"),
+        ),
         AGREEMENT,
-        "arrival",
-        [
-            Running("owed_to", F.when(is_document, F.col("amount")).otherwise(0)),
-            Running("paid_in", F.when(is_document, 0).otherwise(F.col("amount"))),
-        ],
-        ties,
+        order,
+        blocks,
+    )
+    inside = Window.partitionBy(*AGREEMENT, BLOCK).orderBy(*order)
+    so_far, earlier = (inside.rowsBetween(Window.unboundedPreceding, last) for last in (0, -1))
+    local = held.withColumn("_owed_to", F.sum("_owed").over(so_far)).withColumn("_paid_in", F.sum("_paid").over(so_far))
+    local = local.withColumn("_ahead", F.col("_paid_in") - F.col("_owed_to"))
+    local = local.withColumn("_most", F.max("_ahead").over(earlier))
+
+    totals = local.groupBy(*AGREEMENT, BLOCK).agg(
+        F.sum("_owed").alias("_owed"), F.sum("_paid").alias("_paid"), F.max("_ahead").alias("_most")
+    )
+    # An agreement has at most one row per partition from here on.
+    before = Window.partitionBy(*AGREEMENT).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.withColumn("_owed_before", F.coalesce(F.sum("_owed").over(before), F.lit(0)))
+    totals = totals.withColumn("_paid_before", F.coalesce(F.sum("_paid").over(before), F.lit(0)))
+    most = F.col("_paid_before") - F.col("_owed_before") + F.col("_most")
+    carried = totals.withColumn("_reached", most).select(
+        *AGREEMENT, BLOCK, "_owed_before", "_paid_before", F.max("_reached").over(before).alias("_most_before")
+    )
+
+    rows = local.join(carried, [*AGREEMENT, BLOCK])
+    base = F.col("_paid_before") - F.col("_owed_before")
+    rows = rows.select(
+        *AGREEMENT,
+        "kind",
+        "id",
+        "amount",
+        (F.col("_owed_before") + F.col("_owed_to")).alias("owed_to"),
+        (F.col("_paid_before") + F.col("_paid_in")).alias("paid_in"),
+        # What has been dropped in all is the most that payments were ever ahead.
+        F.greatest(F.lit(0), F.col("_most_before"), base + F.col("_most")).alias("dropped_before"),
     )
-    # What has been dropped in all is the most that payments were ever ahead.
-    ahead = F.col("paid_in") - F.col("owed_to")
-    placed = scan(sums, AGREEMENT, "arrival", [Running("ahead_before", ahead, "max", inclusive=False)], ties)
-    dropped_before = F.greatest(F.col("ahead_before"), F.lit(0))
-    dropped = F.greatest(dropped_before, ahead)
-    return placed.select(
+    dropped = F.greatest(F.col("dropped_before"), F.col("paid_in") - F.col("owed_to"))
+    return rows.select(
         *AGREEMENT,
         "kind",
         "id",
         F.when(is_document, F.col("owed_to") - F.col("amount"))
-        .otherwise(F.col("paid_in") - F.col("amount") - dropped_before)
+        .otherwise(F.col("paid_in") - F.col("amount") - F.col("dropped_before"))
         .alias("starts_at"),
         F.when(is_document, F.col("owed_to")).otherwise(F.col("paid_in") - dropped).alias("ends_at"),
-        F.when(is_document, 0).otherwise(dropped - dropped_before).cast("long").alias("leftover"),
+        F.when(is_document, 0).otherwise(dropped - F.col("dropped_before")).cast("long").alias("leftover"),
     )
 
 
-def place_events(events: DataFrame, large: int = LARGE_AGREEMENT) -> DataFrame:
-    """Place a log of documents and payments on their agreements' lines."""
-    ordinary, blocked = (_place(*frames, scan) for frames, scan in split_large((events,), large))
-    return ordinary.unionByName(blocked)
-
-
 def _side(placed: DataFrame, kind: str) -> DataFrame:
     return placed.where((F.col("kind") == kind) & (F.col("ends_at") > F.col("starts_at"))).select(
         *AGREEMENT, "id", "starts_at", "ends_at"
     )
 
 
-def allocations(placed: DataFrame, large: int = LARGE_AGREEMENT) -> DataFrame:
+def allocations(placed: DataFrame, blocks: int | None = None) -> DataFrame:
     """Which payment settled how much of which document."""
-    sides = (_side(placed, DOCUMENT), _side(placed, PAYMENT))
-    ordinary, blocked = (match_positions(*frames, scan) for frames, scan in split_large(sides, large))
-    return ordinary.unionByName(blocked)
+    return match_positions(_side(placed, DOCUMENT), _side(placed, PAYMENT), blocks)
 
 
 def leftovers(placed: DataFrame) -> DataFrame:

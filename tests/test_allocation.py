@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from legalops.functions.scans import Running, running_by_block, running_by_group
+from legalops.functions.scans import BLOCK, Running, in_blocks, running
 from legalops.operators import arrivals
 from legalops.operators.allocation import allocate_payments
 from legalops.streaming import allocation as streaming
@@ -83,12 +84,12 @@ def check(result, documents, expected):
     assert given + total["open"] == total["owed"]
 
 
-# With `large` 3 most agreements go through the blocks.
-@pytest.mark.parametrize("large", [1 << 20, 3])
-def test_batch_matches_a_loop(spark, large):
+# With 23 blocks many agreements lie in more than one.
+@pytest.mark.parametrize("blocks", [1, 23])
+def test_batch_matches_a_loop(spark, blocks):
     events = random_events(11, agreements=60, documents_first=True)
     documents, bundles = frames(spark, events)
-    check(allocate_payments(documents, bundles, large), documents, settle(events))
+    check(allocate_payments(documents, bundles, blocks), documents, settle(events))
 
 
 def test_cases(spark):
@@ -123,19 +124,37 @@ def test_blocks_equal_windows(spark):
         Running("top", F.col("v"), "max"),
         Running("top_before", F.col("v"), "max", inclusive=False),
     ]
-    plain = rows(running_by_group(numbers, ["k"], "o", aggregates))
-    for bits in ((22, 43), (50, 55), (59,)):
-        assert rows(running_by_block(numbers, ["k"], "o", aggregates, block_bits=bits)) == plain
+    window = Window.partitionBy("k").orderBy("o")
+    plain = rows(
+        numbers.select(
+            "*", *[a.aggregate(a.value).over(window.rowsBetween(*a.frame)).alias(a.out) for a in aggregates]
+        )
+    )
+    for blocks in (1, 2, 13):
+        assert rows(running(numbers, ["k"], ["o"], aggregates, blocks)) == plain
+
+
+def test_a_hot_agreement_on_few_days_is_many_blocks(spark):
+    rng = random.Random(5)
+    kinds = [rng.choice(["DOCUMENT", "PAYMENT"]) for _ in range(4000)]
+    events = [(kind, (1, 1), n, rng.randint(0, 50)) for n, kind in enumerate(kinds)]
+    data = [(a[0], a[1], kind, n, amount, n // 1500) for kind, a, n, amount in events]
+    log = spark.createDataFrame(data, arrivals.EVENT_SCHEMA)
+    assert in_blocks(log, ["id_client"], ["arrival", "id"], 8).select(BLOCK).distinct().count() >= 6
+    placed = arrivals.place_events(log, 8)
+    allocated, _, leftovers = settle(events)
+    assert sorted(rows(arrivals.allocations(placed, 8))) == sorted(allocated)
+    assert sorted(rows(arrivals.leftovers(placed))) == sorted(leftovers)
 
 
-@pytest.mark.parametrize("large", [1 << 20, 3])
-def test_log_of_mixed_arrivals_matches_a_loop(spark, large):
+@pytest.mark.parametrize("blocks", [1, 23])
+def test_log_of_mixed_arrivals_matches_a_loop(spark, blocks):
     events = random_events(17, agreements=60, documents_first=False)
     data = [(a[0], a[1], kind, n, amount, n) for kind, a, n, amount in events]
-    placed = arrivals.place_events(spark.createDataFrame(data, arrivals.EVENT_SCHEMA), large)
+    placed = arrivals.place_events(spark.createDataFrame(data, arrivals.EVENT_SCHEMA), blocks)
     allocated, _, leftovers = settle(events)
     assert leftovers, "the case must drop money"
-    assert sorted(rows(arrivals.allocations(placed, large))) == sorted(allocated)
+    assert sorted(rows(arrivals.allocations(placed, blocks))) == sorted(allocated)
     assert sorted(rows(arrivals.leftovers(placed))) == sorted(leftovers)
 
 
