@@ -19,13 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legalops.llm.common import ship, with_fields
-from legalops.llm.pretokens import Splitter, Vocabulary, load
+from legalops.llm.pretokens import LONG_CHUNK, Splitter, Vocabulary, load
 
 ship(__name__)
 
-# Encoded pre-tokens and tested pairs kept by one task; beyond it they are started afresh.
-REMEMBERED = 200_000
-TESTED = 1_000_000
+# Encoded chunks and tested pairs kept by one worker; beyond it they are started afresh.
+REMEMBERED = 250_000
+TESTED = 1_500_000
+# Ids lie below this, so that a pair of them is one number.
+IDS = 1 << 20
+NOTHING, NOT_REACHED = -1, -2
+NEVER = float("inf")
 
 
 class Encoder:
@@ -36,10 +40,11 @@ class Encoder:
         self.rank = {}
         self.halves = {}
         for r, (a, b, t) in enumerate(zip(left, right, merged)):
-            self.rank[a, b] = r
+            self.rank[a * IDS + b] = r
             self.halves.setdefault(t, (a, b, r))
             self.bytes_of[t] = self.bytes_of[a] + self.bytes_of[b]
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.edges: tuple[dict, dict] = ({}, {})
+        self.apart: dict[int, bool] = {}
         # A token whose halves would not have met encodes to something else and never occurs.
         self.automaton = ahocorasick.Automaton()
         self.whole = {}
@@ -49,25 +54,29 @@ class Encoder:
                 self.whole[text] = t
         self.automaton.make_automaton()
         self.special_bytes = {i: s.encode() for s, i in v["special"].items()}
-        self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.known = Known(self)
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The token and its parts along one edge, each with the rank at which it is merged away."""
-        edge, until = [(token, float("inf"))], None
-        while token in self.halves:
-            until = self.halves[token][2]
-            token = self.halves[token][side]
-            edge.append((token, until))
+        edge = self.edges[side].get(token)
+        if edge is None:
+            at, edge = token, [(token, NEVER)]
+            while at in self.halves:
+                until = self.halves[at][2]
+                at = self.halves[at][side]
+                edge.append((at, until))
+            self.edges[side][token] = edge
         return edge
 
     def _meets(self, a: int, b: int) -> float:
         """The lowest rank at which something of a would merge with something of b."""
-        met = float("inf")
+        met, rank, lefts = NEVER, self.rank.get, self._edge(b, 0)
         for x, x_until in self._edge(a, 1):
-            for y, y_until in self._edge(b, 0):
-                r = self.rank.get((x, y))
+            x *= IDS
+            for y, y_until in lefts:
+                r = rank(x + y)
                 # Of equal ranks the left place merges first.
-                if r is not None and r < x_until and r <= y_until and r < met:
+                if r is not None and r < met and r < x_until and r <= y_until:
                     met = r
         return met
 
@@ -75,60 +84,64 @@ class Encoder:
         a, b, r = self.halves[token]
         return self._meets(a, b) == r
 
-    def stay_apart(self, a: int, b: int) -> bool:
-        known = self.apart.get((a, b))
-        if known is None:
-            if len(self.apart) >= TESTED:
-                self.apart.clear()
-            known = self.apart[a, b] = self._meets(a, b) == float("inf")
-        return known
+    def _stay_apart(self, a: int, b: int) -> bool:
+        if len(self.apart) >= TESTED:
+            self.apart.clear()
+        apart = self.apart[a * IDS + b] = self._meets(a, b) == NEVER
+        return apart
 
     def ids(self, word: bytes) -> list[int]:
         if word in self.whole:  # the whole word as its own last token
             return [self.whole[word]]
-        last: list[int] = [-1] * (len(word) + 1)
+        tested = self.apart.get
+        last = [NOT_REACHED] * (len(word) + 1)
+        came_from = [0] * (len(word) + 1)
+        last[0] = NOTHING
         for end, (token, size) in self.automaton.iter(word.decode("latin-1")):
             end += 1
-            if last[end] < 0:
-                start = end - size
-                if start == 0 or last[start] >= 0 and self.stay_apart(last[start], token):
-                    last[end] = token
+            if last[end] == NOT_REACHED:
+                before = last[end - size]
+                if before == NOT_REACHED:
+                    continue
+                if before != NOTHING:
+                    apart = tested(before * IDS + token)
+                    if apart is None:
+                        apart = self._stay_apart(before, token)
+                    if not apart:
+                        continue
+                last[end] = token
+                came_from[end] = end - size
         found, at = [], len(word)
         while at:
             found.append(last[at])
-            at -= len(self.bytes_of[last[at]])
-        return found[::-1]
-
-    def word(self, word: str) -> tuple[int, str, bytes]:
-        """How many ids, the ids as text, and what they decode to."""
-        entry = self.known.get(word)
-        if entry is None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            ids = self.ids(word.encode())
-            entry = self.known[word] = (len(ids), ",".join(map(str, ids)), self.decode(ids))
-        return entry
+            at = came_from[at]
+        found.reverse()
+        return found
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.special_bytes.get(i) or self.bytes_of[i] for i in ids])
 
+    def chunk_ids(self, chunk: str) -> list[int]:
+        return [i for word in self.splitter.words(chunk) for i in self.ids(word.encode())]
+
     def text(self, text: str) -> tuple[list[int], str]:
         """The ids of a text and the text they decode to."""
         ids: list[int] = []
-        for special, words in self.splitter.parts(text):
-            for w in words:
-                ids += self.ids(w.encode())
+        for special, chunks in self.splitter.parts(text):
+            for chunk in chunks:
+                ids += self.chunk_ids(chunk)
             if special is not None:
                 ids.append(special)
         return ids, self.decode(ids).decode("utf-8", "replace")
 
     def digests(self, text: str) -> tuple[int, str, str]:
         n, ids, decoded = 0, [], []
-        for special, words in self.splitter.parts(text):
-            for count, listed, back in map(self.word, words):
-                n += count
-                ids.append(listed)
-                decoded.append(back)
+        for special, chunks in self.splitter.parts(text):
+            if chunks:
+                counts, listed, back = zip(*map(self.known.__getitem__, chunks))
+                n += sum(counts)
+                ids.append(",".join(listed))
+                decoded.extend(back)
             if special is not None:
                 n += 1
                 ids.append(str(special))
@@ -137,6 +150,41 @@ class Encoder:
         return n, sha256(",".join(ids).encode()).hexdigest(), sha256(back).hexdigest()
 
 
+class Known(dict):
+    """Of each chunk: how many ids, the ids as text, and what they decode to.
+
+    When REMEMBERED chunks have come, they become the older ones and the older ones go;
+    an older one that comes again is kept on.
+    """
+
+    def __init__(self, encoder: Encoder) -> None:
+        super().__init__()
+        self.encoder = encoder
+        self.older: dict[str, tuple[int, str, bytes]] = {}
+
+    def __missing__(self, chunk: str) -> tuple[int, str, bytes]:
+        entry = self.older.get(chunk) or self._encode(chunk)
+        if len(chunk) <= LONG_CHUNK:
+            if len(self) >= REMEMBERED:
+                self.older = self.copy()
+                self.clear()
+            self[chunk] = entry
+        return entry
+
+    def _encode(self, chunk: str) -> tuple[int, str, bytes]:
+        words = self.encoder.splitter.words(chunk)
+        if len(words) > 1:  # a pre-token is a chunk, too
+            counts, listed, back = zip(*[self[word] for word in words])
+            return sum(counts), ",".join(listed), b"".join(back)
+        ids = self.encoder.ids(chunk.encode())
+        return len(ids), ",".join(map(str, ids)), self.encoder.decode(ids)
+
+
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    """The encoder of a vocabulary, built once in a worker: the tasks it runs share what was sent."""
+    return vocabulary.get("encoder") or vocabulary.setdefault("encoder", Encoder(vocabulary))
+
+
 def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Add `ids` (array of int) and `decoded` (the text the ids give) to every row.
 
@@ -147,7 +195,7 @@ def encode(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf("ids array<int>, decoded string")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shipped.value)
+        encoder = _encoder(shipped.value)
         for texts in batches:
             rows = [encoder.text(t or "") for t in texts]
             yield pd.DataFrame({"ids": [np.array(i, np.int32) for i, _ in rows], "decoded": [d for _, d in rows]})
@@ -159,15 +207,15 @@ def encode_digests(df: DataFrame, path: str, text_col: str = "text") -> DataFram
     """As `encode`, but add n_tokens, ids_sha256 and decoded_sha256.
 
     The ids are hashed as decimal numbers joined by commas, the decoded text as UTF-8.
-    Only digests leave the task, and each distinct pre-token is encoded and decoded once
-    while it is remembered.
+    Only digests leave the task, and each distinct chunk (white space and what follows it)
+    is encoded and decoded once while it is remembered.
     """
     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
     shipped = df.sparkSession.sparkContext.broadcast(load(path))
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shipped.value)
+        encoder = _encoder(shipped.value)
         for texts in batches:
             yield pd.DataFrame([encoder.digests(t or "") for t in texts], columns=names)
 

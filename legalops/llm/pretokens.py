@@ -25,6 +25,14 @@ ship(__name__)
 # Fixed value: the split of the byte-level vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# White space with the run of other characters after it. No pre-token reaches from one
+# such chunk into the next, so a chunk that was split before need not be split again.
+# Python counts four control characters as white space that the split does not.
+CHUNK = r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+"
+
+# Chunks longer than this are not remembered.
+LONG_CHUNK = 100
+
 
 # Letters and numbers that Unicode 16 added, which the split takes for such
 # though `unicodedata` does not know them yet.
@@ -86,25 +94,27 @@ def load(path: str) -> Vocabulary:
 
 
 class Splitter:
-    """Cuts texts into special strings and pre-tokens."""
+    """Cuts texts into special strings, chunks and pre-tokens."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.special = vocabulary["special"]
         self.split = regex.compile(SPLIT)
+        self.chunks = re.compile(CHUNK).findall
         self.unknown = re.compile(vocabulary["unknown"])
         longest_first = sorted(self.special, key=len, reverse=True)
         self.marks = re.compile("|".join(map(re.escape, longest_first))) if longest_first else None
 
     def parts(self, text: str) -> Iterator[tuple[int | None, list[str]]]:
-        """Runs of pre-tokens, each with the special id that follows it."""
+        """Runs of chunks, each with the special id that follows it."""
         at = 0
         for m in self.marks.finditer(text) if self.marks else ():
-            yield self.special[m.group()], self.words(text[at : m.start()])
+            yield self.special[m.group()], self.chunks(text[at : m.start()])
             at = m.end()
-        yield None, self.words(text[at:] if at else text)
-
-    def words(self, text: str) -> list[str]:
-        if self.unknown.search(text):
-            plain = self.unknown.sub("§", text)  # neither letter nor number nor space
-            return [text[m.start() : m.end()] for m in self.split.finditer(plain)]
-        return self.split.findall(text)
+        yield None, self.chunks(text[at:] if at else text)
+
+    def words(self, chunk: str) -> list[str]:
+        """The pre-tokens of a chunk."""
+        if self.unknown.search(chunk):
+            plain = self.unknown.sub("§", chunk)  # neither letter nor number nor space
+            return [chunk[m.start() : m.end()] for m in self.split.finditer(plain)]
+        return self.split.findall(chunk)

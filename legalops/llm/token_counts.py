@@ -1,6 +1,6 @@
 """Token counts by rank-synchronous merging of ragged arrays.
 
-The distinct new pre-tokens of a batch lie end to end in one numpy array. In each round
+The distinct new pre-tokens of a group of texts lie end to end in one numpy array. In each round
 every pre-token finds its lowest-rank pair and merges all places where that pair
 occurs; a pre-token without a pair is done and leaves the array. What is left of it is
 its number of tokens. A merge only makes pairs of higher rank, so merging a pair's
@@ -9,7 +9,7 @@ places together gives what merging them one by one gives.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legalops.llm.common import ship, with_fields
-from legalops.llm.pretokens import Splitter, Vocabulary, load
+from legalops.llm.pretokens import LONG_CHUNK, Splitter, Vocabulary, load
 
 ship(__name__)
 
 NEVER = np.int64(1) << 40
-# Counts kept by one task; beyond it the memory is started afresh.
+# Counts kept by one worker; beyond it the memory is started afresh.
 REMEMBERED = 400_000
+# Texts are counted together up to about so many characters.
+GROUP = 1 << 20
 
 
 class Merger:
@@ -77,34 +79,68 @@ class Merger:
         return counts
 
 
+class Counter:
+    """Counts texts; the counts of chunks are kept from one group of texts to the next."""
+
+    def __init__(self, v: Vocabulary) -> None:
+        self.splitter, self.merger = Splitter(v), Merger(v)
+        self.known: dict[str, int] = {}
+
+    def texts(self, texts: Iterable[str]) -> Iterator[int]:
+        """The number of tokens of each text, in groups of some GROUP characters."""
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> list[int]:
+        runs = []
+        for text in texts:
+            marks, chunks = 0, []
+            for special, run in self.splitter.parts(text):
+                marks += special is not None
+                chunks += run
+            runs.append((marks, chunks))
+        present = set().union(*(chunks for _, chunks in runs))
+        if len(self.known) + len(present) > REMEMBERED:
+            self.known.clear()
+        new = present.difference(self.known)
+        self.known.update(self._counts(new))
+        counted = [marks + sum(map(self.known.__getitem__, chunks)) for marks, chunks in runs]
+        for chunk in new:
+            if len(chunk) > LONG_CHUNK:
+                del self.known[chunk]
+        return counted
+
+    def _counts(self, chunks: set[str]) -> dict[str, int]:
+        words = {c: self.splitter.words(c) for c in chunks}
+        distinct = list({w for run in words.values() for w in run})
+        counts = dict(zip(distinct, self.merger.count([w.encode() for w in distinct]).tolist()))
+        return {c: sum(map(counts.__getitem__, run)) for c, run in words.items()}
+
+
 def count_tokens(df: DataFrame, path: str, text_col: str = "text", limit: int = 1024) -> DataFrame:
     """Add n_bytes, n_tokens and over_limit (n_tokens > limit) to every row.
 
     A null text counts as empty: 0 bytes, 0 tokens. An empty table gives an empty table.
     Repeated rows are counted each. Columns of the three names are replaced, others stay.
-    Memory in a task: the texts of one batch and at most REMEMBERED counts.
+    Memory in a task: the texts of one batch, the chunks of one group of them, and at most
+    REMEMBERED counts.
     """
     shipped = df.sparkSession.sparkContext.broadcast(load(path))  # fixed size
 
     @F.pandas_udf("n_bytes long, n_tokens long")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        splitter, merger = Splitter(shipped.value), Merger(shipped.value)
-        known: dict[str, int] = {}
+        counter = shipped.value.get("counter") or shipped.value.setdefault("counter", Counter(shipped.value))
         for texts in batches:
-            rows = []
-            for text in texts:
-                text = text or ""
-                marks, words = 0, []
-                for special, run in splitter.parts(text):
-                    marks += special is not None
-                    words += run
-                new = [w for w in set(words) if w not in known]
-                if new:
-                    if len(known) + len(new) > REMEMBERED:
-                        known, new = {}, list(set(words))
-                    known.update(zip(new, merger.count([w.encode() for w in new]).tolist()))
-                rows.append((len(text.encode()), marks + sum(map(known.__getitem__, words))))
-            yield pd.DataFrame(rows, columns=["n_bytes", "n_tokens"])
+            whole = [text or "" for text in texts]
+            sizes = [len(text.encode()) for text in whole]
+            yield pd.DataFrame({"n_bytes": sizes, "n_tokens": list(counter.texts(whole))}, dtype=np.int64)
 
     made = with_fields(df, counted(F.col(text_col)), ["n_bytes", "n_tokens"])
     return made.withColumn("over_limit", F.col("n_tokens") > limit)
