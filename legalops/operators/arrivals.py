@@ -18,15 +18,20 @@ from legalops.operators.allocation import AGREEMENT, match_positions
 DOCUMENT, PAYMENT = "DOCUMENT", "PAYMENT"
 
 EVENT_SCHEMA = "id_client long, cooperation_agreement_no long, kind string, id long, amount long, arrival long"
+# An agreement's state between events: how far its documents and its payments reach.
+STATE = ("owed_before", "paid_before")
 PLACED_SCHEMA = (
     "id_client long, cooperation_agreement_no long, kind string, id long,"
     "starts_at long, ends_at long, leftover long"
 )
 
 
-def place_events(events: DataFrame, blocks: int | None = None) -> DataFrame:
+def place_events(events: DataFrame, blocks: int | None = None, before: DataFrame | None = None) -> DataFrame:
     """Place a log of documents and payments on their agreements' lines.
 
+    `before` has the agreement and STATE, one row per agreement: where its lines end
+    before these events. Without a row they start at 0.
+
     One pass over blocks gives what is owed and paid so far and how far payments were
     ahead at most. A block's most is counted from its own start, so it moves by what the
     blocks before it add up to.
@@ -53,12 +58,17 @@ def place_events(events: DataFrame, blocks: int | None = None) -> DataFrame:
         F.sum("_owed").alias("_owed"), F.sum("_paid").alias("_paid"), F.max("_ahead").alias("_most")
     )
     # An agreement has at most one row per partition from here on.
-    before = Window.partitionBy(*AGREEMENT).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_owed_before", F.coalesce(F.sum("_owed").over(before), F.lit(0)))
-    totals = totals.withColumn("_paid_before", F.coalesce(F.sum("_paid").over(before), F.lit(0)))
+    in_order = Window.partitionBy(*AGREEMENT).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    if before is None:
+        totals = totals.select("*", *[F.lit(0).cast("long").alias(c) for c in STATE])
+    else:
+        totals = totals.join(before.select(*AGREEMENT, *STATE), AGREEMENT, "left").fillna(0, list(STATE))
+    for side in ("owed", "paid"):
+        earlier_blocks = F.coalesce(F.sum(f"_{side}").over(in_order), F.lit(0))
+        totals = totals.withColumn(f"_{side}_before", F.col(f"{side}_before") + earlier_blocks)
     most = F.col("_paid_before") - F.col("_owed_before") + F.col("_most")
     carried = totals.withColumn("_reached", most).select(
-        *AGREEMENT, BLOCK, "_owed_before", "_paid_before", F.max("_reached").over(before).alias("_most_before")
+        *AGREEMENT, BLOCK, "_owed_before", "_paid_before", F.max("_reached").over(in_order).alias("_most_before")
     )
 
     rows = local.join(carried, [*AGREEMENT, BLOCK])

@@ -2,66 +2,103 @@
 
 An agreement's state is two numbers: how far its documents reach on the line (see
 `operators.allocation`) and how far its payments do, the second never beyond the
-first. Placing an event needs no other event. `operators.arrivals` pairs the placed
-ones in a batch job, whenever it is asked, and places long histories in bulk.
+first. A batch is placed with built-in functions by the scan of `operators.arrivals`,
+started from the state of the batch's agreements. What a batch changed is written under
+its number, beside the events it placed; a batch that runs again reads states of earlier
+batches only, so it writes the same rows.
+
+State rows are appended, one per agreement and batch. Every COMPACT_EVERY batches the
+latest state of every agreement is written anew, so that a batch reads one full state
+and at most that many changes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from legalops.operators.allocation import AGREEMENT
-from legalops.operators.arrivals import DOCUMENT, PLACED_SCHEMA
-from legalops.streaming.sink import append
-
-STATE_SCHEMA = "owed_to long, paid_to long"
-
-
-def _place_arrivals(
-    key: tuple[int, int], batches: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    owed_before, paid_before = state.get if state.exists else (0, 0)
-    parts = list(batches)
-    events = parts[0] if len(parts) == 1 else pd.concat(parts)
-    order = np.lexsort((events["id"].to_numpy(), events["arrival"].to_numpy()))
-    number, kind, amount = (events[c].to_numpy()[order] for c in ("id", "kind", "amount"))
-    is_document = kind == DOCUMENT
-
-    owed_to = owed_before + np.cumsum(np.where(is_document, amount, 0))
-    paid_in = np.cumsum(np.where(is_document, 0, amount))
-    # Payments reach as far as their sum would, less what has been dropped so far.
-    paid_to = paid_in + np.minimum(paid_before, np.minimum.accumulate(owed_to - paid_in))
-    paid_from = np.concatenate(([paid_before], paid_to[:-1]))
-    starts_at = np.where(is_document, owed_to - amount, paid_from)
-    ends_at = np.where(is_document, owed_to, paid_to)
-
-    state.update((int(owed_to[-1]), int(paid_to[-1])))
-    yield pd.DataFrame(
-        {
-            "id_client": key[0],
-            "cooperation_agreement_no": key[1],
-            "kind": kind,
-            "id": number,
-            "starts_at": starts_at,
-            "ends_at": ends_at,
-            "leftover": np.where(is_document, 0, amount - (ends_at - starts_at)),
-        }
-    )
+from legalops.operators.arrivals import DOCUMENT, PLACED_SCHEMA, STATE, place_events
+from legalops.sources.tables import stage
+from legalops.streaming.sink import BATCH, start, write_batch
+
+STATE_SCHEMA = "id_client long, cooperation_agreement_no long, owed_before long, paid_before long"
+COMPACT_EVERY = 16
+
+
+def _folder(root: str, kind: str, batch_id: int) -> str:
+    return f"{root}/{kind}/{BATCH}={batch_id}"
+
+
+def _latest(changes: DataFrame) -> DataFrame:
+    """The state that the last batch of each agreement left."""
+    last = F.max_by(F.struct(*STATE), BATCH).alias("state")
+    return changes.groupBy(*AGREEMENT).agg(last, F.max(BATCH).alias(BATCH)).select(*AGREEMENT, BATCH, "state.*")
+
 
+def _read(spark: SparkSession, root: str, kind: str, first: int, after: int) -> DataFrame | None:
+    """State rows of the batches first <= number < after; None where there are none."""
+    folders = [_folder(root, kind, n) for n in range(first, after)]
+    if not folders:
+        return None
+    return spark.read.schema(f"{STATE_SCHEMA}, {BATCH} long").option("basePath", f"{root}/{kind}").parquet(*folders)
 
-def place_arrivals(events: DataFrame) -> DataFrame:
-    """Place a stream of documents and payments on their agreements' lines."""
-    return events.groupBy(*AGREEMENT).applyInPandasWithState(
-        _place_arrivals, PLACED_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+
+def state_before(spark: SparkSession, root: str, batch_id: int, of: DataFrame | None = None) -> DataFrame | None:
+    """The state of agreements that had events before this batch: of those in `of`, or of all.
+
+    None where no batch came before.
+    """
+    full_at = max(batch_id - 1, 0) // COMPACT_EVERY * COMPACT_EVERY
+    parts = [_read(spark, root, "full", full_at, full_at + 1) if full_at else None]
+    parts.append(_read(spark, root, "changes", full_at, batch_id))
+    found = [p for p in parts if p is not None]
+    if not found:
+        return None
+    changes = reduce(DataFrame.unionByName, found)
+    if of is not None:
+        changes = changes.join(of.select(*AGREEMENT).distinct(), AGREEMENT, "left_semi")
+    return _latest(changes)
+
+
+def _changed(placed: DataFrame, before: DataFrame | None) -> DataFrame:
+    """The state that a batch leaves for each of its agreements.
+
+    Both lines only grow, so each ends where its last row does.
+    """
+    is_document = F.col("kind") == DOCUMENT
+    ends = placed.groupBy(*AGREEMENT).agg(
+        F.max(F.when(is_document, F.col("ends_at"))).alias("_owed"),
+        F.max(F.when(~is_document, F.col("ends_at"))).alias("_paid"),
+    )
+    if before is not None:
+        ends = ends.join(before.select(*AGREEMENT, *STATE), AGREEMENT, "left")
+    else:
+        ends = ends.select("*", *[F.lit(0).cast("long").alias(c) for c in STATE])
+    return ends.select(
+        *AGREEMENT,
+        *[F.coalesce(made, kept, F.lit(0)).cast("long").alias(kept) for made, kept in zip(("_owed", "_paid"), STATE)],
     )
 
 
 def record_arrivals(events: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Append the placed events to the log in `out`."""
-    return append(place_arrivals(events), out, checkpoint, once)
+    """Append the placed events to the log in `out`; the agreements' state is kept beside it."""
+    state = f"{out}-state"
+
+    def place(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = state_before(spark, state, batch_id, of=batch)
+        if before is not None:
+            before = stage(before, f"{state}/before")
+        write_batch(place_events(batch, before=before), out, batch_id)
+        placed = spark.read.schema(PLACED_SCHEMA).parquet(f"{out}/{BATCH}={batch_id}")
+        stage(_changed(placed, before), _folder(state, "changes", batch_id))
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            earlier = state_before(spark, state, batch_id)
+            whole = _latest(earlier.unionByName(_read(spark, state, "changes", batch_id, batch_id + 1)))
+            stage(whole.drop(BATCH), _folder(state, "full", batch_id))
+
+    return start(events, place, checkpoint, once)

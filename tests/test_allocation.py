@@ -189,3 +189,18 @@ def test_stream_matches_a_loop_when_arrivals_mix(spark, tmp_path):
     log = run_stream(spark, tmp_path, events, batches=rng.randint(3, 4))
     assert sorted(rows(arrivals.allocations(log))) == sorted(allocated)
     assert sorted(rows(arrivals.leftovers(log))) == sorted(leftovers)
+
+
+def test_stream_state_is_written_anew_every_few_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streaming, "COMPACT_EVERY", 2)
+    events = random_events(17, agreements=12, documents_first=False)
+    allocated, _, leftovers = settle(events)
+    log = run_stream(spark, tmp_path, events, batches=6)
+    assert sorted(rows(arrivals.allocations(log))) == sorted(allocated)
+    assert sorted(rows(arrivals.leftovers(log))) == sorted(leftovers)
+    assert (tmp_path / "log-state/full/batch_id=4").exists()
+    last = streaming.state_before(spark, str(tmp_path / "log-state"), 6)
+    owed = {}
+    for kind, agreement, _, amount in events:
+        owed[agreement] = owed.get(agreement, 0) + (amount if kind == "DOCUMENT" else 0)
+    assert {(r.id_client, r.cooperation_agreement_no): r.owed_before for r in last.collect()} == owed
