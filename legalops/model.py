@@ -308,9 +308,13 @@ TABLES: dict[str, Table] = {table.name: table for table in _ALL}
 
 ASSIGNMENT_KEY = TABLES["assignment_agreement"].primary_key
 
-# Tables that grow by date are stored in month folders, so a year's report or a
-# payroll run's month check reads only the folders it needs.
-MONTH_PARTITIONS = {"income_pay_document": "payment_date", "outgoing_pay_document": "payment_date"}
+# Tables that grow by date are stored in month folders, so a year's report, a payroll
+# run's month check or a price list's reader reads only the folders it needs.
+MONTH_PARTITIONS = {
+    "income_pay_document": "payment_date",
+    "outgoing_pay_document": "payment_date",
+    "price_list_service": "creation_date",
+}
 
 # Columns by which such a table's months are stored apart, so that writing one kind's
 # month again leaves the other kind's rows alone.

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from legalops.functions.dates import day, in_previous_year, month_start
 from legalops.model import ASSIGNMENT_KEY, CLIENT_TYPES
 from legalops.operators.names import client_names, client_payments
-from legalops.sources.tables import Tables, in_date_range
+from legalops.sources.tables import MONTH, Tables, in_date_range
 
 MONTHS = [calendar.month_name[m].lower() for m in range(1, 13)]
 
@@ -268,17 +268,12 @@ def service_popularity_wide(t: Tables) -> DataFrame:
 
 def service_popularity_current(t: Tables, as_of: dt.date) -> DataFrame:
     """The same with the prices of the list in force at `as_of`."""
-    # One row: the latest list date. Its join prunes the price scan at run time.
-    in_force = (
-        t["price_list"]
-        .where(F.col("creation_date") <= day(as_of))
-        .agg(F.max("creation_date").alias("creation_date"))
-    )
-    prices = (
-        t["price_list_service"]
-        .join(F.broadcast(in_force), "creation_date")
-        .select("id_service", "client_type", F.col("price").alias("current_price"))
-    )
+    # One value, so that the scan of a stored table reads that list's folder only.
+    in_force = t["price_list"].where(F.col("creation_date") <= day(as_of)).agg(F.max("creation_date")).scalar()
+    prices = t["price_list_service"].where(F.col("creation_date") == in_force)
+    if MONTH in prices.columns:
+        prices = prices.where(F.col(MONTH) == month_start(in_force))
+    prices = prices.select("id_service", "client_type", F.col("price").alias("current_price"))
     return _with_usage(t, prices, ["client_type", "current_price"], ["client_type"])
 
 

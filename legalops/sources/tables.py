@@ -8,6 +8,7 @@ append, or an overwrite of whole month folders, which makes a repeat harmless.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,21 +44,44 @@ def _laid_out(df: DataFrame, name: str) -> DataFrame:
     return df.select(*columns)
 
 
-def _write(df: DataFrame, root: str, name: str, mode: str, options: dict[str, str]) -> None:
+def _write(df: DataFrame, folder: str, name: str, mode: str, options: dict[str, str]) -> None:
     writer = _laid_out(df, name).write.mode(mode).options(**options)
     if name in MONTH_PARTITIONS:
         writer = writer.partitionBy(MONTH, *KIND_PARTITIONS.get(name, ()))
-    writer.parquet(f"{root}/{name}")
+    writer.parquet(folder)
 
 
 def append_rows(df: DataFrame, root: str, name: str) -> None:
     """Add rows to a table in bulk."""
-    _write(df, root, name, "append", {})
+    _write(df, f"{root}/{name}", name, "append", {})
 
 
 def reload_table(df: DataFrame, root: str, name: str) -> None:
-    """Empty a table and load it again. `df` must not read from the same folder."""
-    _write(df, root, name, "overwrite", {"partitionOverwriteMode": "static"})
+    """Empty a table and load it again.
+
+    The rows are written beside the table and then take its place, so `df` may read the
+    table itself, and a load that fails leaves it as it was.
+    """
+    load = uuid.uuid4().hex
+    fresh, gone = f"{root}/_{name}-new-{load}", f"{root}/_{name}-old-{load}"
+    _write(df, fresh, name, "overwrite", {"partitionOverwriteMode": "static"})
+    _swap(df.sparkSession, f"{root}/{name}", fresh, gone)
+
+
+def _swap(spark: SparkSession, folder: str, fresh: str, gone: str) -> None:
+    """Put the fresh folder in the place of a folder, which is deleted where there is one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = files.exists(path(folder))
+    if old and not files.rename(path(folder), path(gone)):
+        raise OSError(f"cannot move {folder}")
+    if not files.rename(path(fresh), path(folder)):
+        if old:
+            files.rename(path(gone), path(folder))
+        raise OSError(f"cannot move {fresh} to {folder}")
+    spark.catalog.refreshByPath(folder)
+    if old:
+        files.delete(path(gone), True)
 
 
 def reload_tables(t: Tables, root: str) -> None:
@@ -70,7 +94,7 @@ def replace_months(df: DataFrame, root: str, name: str) -> None:
     """Overwrite just the month folders (and kinds in them) that `df` has rows for."""
     if name not in MONTH_PARTITIONS:
         raise ValueError(f"{name} is not stored by month")
-    _write(df, root, name, "overwrite", {"partitionOverwriteMode": "dynamic"})
+    _write(df, f"{root}/{name}", name, "overwrite", {"partitionOverwriteMode": "dynamic"})
 
 
 def in_date_range(df: DataFrame, column: str, first: dt.date, after: dt.date) -> DataFrame:

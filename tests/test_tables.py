@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from legalops.model import TABLES
@@ -36,6 +38,28 @@ def test_reload_append_and_replace_months(tables, spark, tmp_path):
     assert rows(source.read_table(spark, root, name), "month", "amount") == [(D(2001, 1, 1), 7), (D(2001, 2, 1), 3)]
 
 
+def test_reload_from_the_table_itself_and_a_failed_load(tables, spark, tmp_path):
+    root, name = str(tmp_path), "outgoing_pay_document"
+    source.reload_table(paid(tables, *[(D(2001, m, 5), "a", "x", 1, m, "ADVANCE", None) for m in (1, 2, 3)]), root, name)
+    source.reload_table(source.read_table(spark, root, name).where("amount > 1"), root, name)
+    assert rows(source.read_table(spark, root, name), "amount") == [(2,), (3,)]
+    assert os.listdir(root) == [name]
+
+    broken = source.read_table(spark, root, name).withColumn("amount", F.raise_error(F.lit("broken")).cast("long"))
+    with pytest.raises(Exception, match="broken"):
+        source.reload_table(broken, root, name)
+    assert rows(source.read_table(spark, root, name), "amount") == [(2,), (3,)]
+
+
+def test_current_prices_read_one_list(spark, tmp_path):
+    views = StarTables(spark, "/root/testdata/sf0.001")
+    source.reload_tables(views, str(tmp_path))
+    stored = source.read_tables(spark, str(tmp_path))
+    report = reports.service_popularity_current(stored, D(2001, 6, 30))
+    assert rows(report) == rows(reports.service_popularity_current(views, D(2001, 6, 30)))
+    assert "PartitionFilters: [isnotnull(month" in report._jdf.queryExecution().executedPlan().toString()
+
+
 def test_writing_one_kind_again_keeps_the_other(tables, spark, tmp_path):
     root, name = str(tmp_path), "outgoing_pay_document"
     advance = paid(tables, (D(2001, 8, 20), "a", "x", 1, 5, "ADVANCE", None))
