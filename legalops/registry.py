@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections import ChainMap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,11 +34,6 @@ def _on_tables(build: Callable[[StarTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(StarTables(spark, sf_dir))
 
 
-def _counting(t: StarTables) -> ChainMap:
-    """The tables with contract lines left unpriced, for jobs that use no price of theirs."""
-    return ChainMap({"contract_service": t.lines()}, t)
-
-
 def _run(t: StarTables, kind: str) -> payroll.PayrollRun:
     return payroll.payroll_run(t, kind, FREE_DAY)
 
@@ -100,6 +94,26 @@ def _stored_runs(t: StarTables) -> DataFrame:
     return tables.read_table(t.spark, root, "outgoing_pay_document").drop(tables.MONTH)
 
 
+def _append_bundles(t: StarTables) -> str:
+    """Payments written to a new root, those of nothing after the others."""
+    root, bundles = shared_folder(t.spark, "bundles"), t["payment_bundle"]
+    for part in ("total_amount > 0", "total_amount <= 0"):
+        tables.append_rows(bundles.where(part), root, "payment_bundle")
+    return root
+
+
+def _appended_bundles(t: StarTables) -> DataFrame:
+    return tables.read_table(t.spark, _append_bundles(t), "payment_bundle")
+
+
+def _reloaded_bundles(t: StarTables) -> DataFrame:
+    """The stored payments, loaded again from themselves without those of nothing."""
+    root = _append_bundles(t)
+    kept = tables.read_table(t.spark, root, "payment_bundle").where("total_amount > 0")
+    tables.reload_table(kept, root, "payment_bundle")
+    return tables.read_table(t.spark, root, "payment_bundle")
+
+
 def _insert_ignore(t: StarTables) -> DataFrame:
     seen = t["income_pay_document"].select("account_no", "bik")
     return tables.insert_ignore(t.staff_accounts(), seen, ["account_no", "bik"])
@@ -137,13 +151,13 @@ def _stream_placed(t: StarTables) -> DataFrame:
 def queries() -> dict[str, Query]:
     on = _on_tables
     return {
-        "client_statistics": on(lambda t: reports.client_statistics(_counting(t))),
+        "client_statistics": on(reports.client_statistics),
         "manager_monthly": on(lambda t: reports.manager_monthly(t, AS_OF)),
         "manager_monthly_calendar": on(lambda t: reports.manager_monthly_calendar(t, AS_OF)),
         "debtors": on(reports.debtors),
-        "service_popularity": on(lambda t: reports.service_popularity(_counting(t))),
-        "service_popularity_wide": on(lambda t: reports.service_popularity_wide(_counting(t))),
-        "service_popularity_current": on(lambda t: reports.service_popularity_current(_counting(t), AS_OF)),
+        "service_popularity": on(reports.service_popularity),
+        "service_popularity_wide": on(reports.service_popularity_wide),
+        "service_popularity_current": on(lambda t: reports.service_popularity_current(t, AS_OF)),
         "payroll_year": on(lambda t: reports.payroll_year(t, AS_OF)),
         "payroll_year_null_owed": on(lambda t: reports.payroll_year(t, AS_OF, null_is_owed=True)),
         "payroll_run_advance": on(lambda t: _run(t, "ADVANCE").rows),
@@ -173,9 +187,9 @@ def queries() -> dict[str, Query]:
         "arrival_allocations": on(lambda t: arrivals.allocations(_placed(t))),
         "arrival_leftovers": on(lambda t: arrivals.leftovers(arrivals.place_events(_staged_events(t)))),
         "stream_allocations": on(lambda t: arrivals.allocations(_stream_placed(t))),
-        "audit_keys": on(lambda t: quality.audit_keys(_counting(t))),
+        "audit_keys": on(quality.audit_keys),
         "audit_nulls": on(quality.audit_nulls),
-        "audit_orphans": on(lambda t: quality.audit_orphans(_counting(t))),
+        "audit_orphans": on(quality.audit_orphans),
         "audit_checks": on(quality.audit_checks),
         "audit_identifiers": on(quality.audit_identifiers),
         "cascade_purge": on(
@@ -183,6 +197,8 @@ def queries() -> dict[str, Query]:
         ),
         "contract_service_after_purge": on(_after_purge),
         "payroll_runs_stored": on(_stored_runs),
+        "bundles_appended": on(_appended_bundles),
+        "bundles_reloaded": on(_reloaded_bundles),
         "stream_prices_changes": on(lambda t: _stream_prices(t, "changes")),
         "fork_price_list_header": on(
             lambda t: pricing.fork_price_list(t, LAST_LIST, 12.5, LAST_LIST + dt.timedelta(days=1)).price_list

@@ -137,7 +137,8 @@ class StarTables(Mapping):
                 F.col("c_name").alias("company_name"),
                 _digits(F.col("c_custkey"), 10).alias("inn"),
                 self._registration(13, OGRN_DIVISOR).alias("ogrn"),
-                F.concat(F.lit("Representative of "), "c_name").alias("representative"),
+                # Those deep in the red name nobody; the null audit finds them.
+                F.when(F.col("c_acctbal") >= -500, F.concat(F.lit("Representative of "), "c_name")).alias("representative"),
             )
         )
         suppliers = self.source("supplier").select(
@@ -180,17 +181,19 @@ class StarTables(Mapping):
         key, balance = F.col("s_suppkey"), F.col("s_acctbal")
         hired = F.date_add(day("1994-01-01"), (key * 37 % 2500).cast("int"))
         low_paid = (balance >= 0) & (balance < 1000)
+        # Job 5 does not exist and U is no gender: the orphan and check audits find them.
+        gender = F.when(balance >= 9000, "U").when(key % 2 == 0, "M").otherwise("F")
         return self.source("supplier").select(
             key.alias("employee_number"),
             F.col("s_name").alias("fio"),
-            (key % 5).cast("int").alias("id_job_position"),
+            (key % 6).cast("int").alias("id_job_position"),
             F.concat(F.lit("407"), _digits(key, 17)).alias("account_no"),
             bik_of(F.col("s_nationkey")).alias("bik"),
             F.date_sub(hired, 9131).alias("birth_date"),
             hired.alias("hire_date"),
             F.when(balance < 0, F.date_add(hired, 400)).alias("fire_date"),
             F.when(low_paid, F.lit(12000)).otherwise(50000 + key * 7919 % 130001).cast("long").alias("salary"),
-            F.when(key % 2 == 0, "M").otherwise("F").alias("gender"),
+            gender.alias("gender"),
         )
 
     def _outgoing_pay_document(self) -> DataFrame:
@@ -248,7 +251,8 @@ class StarTables(Mapping):
             F.col("o_custkey").alias("id_client"),
             F.col("o_orderdate").cast("date").alias("start_date"),
         )
-        return orders.join(lines, "cooperation_agreement_no")
+        # A line without an order stays, for the audits to find.
+        return lines.join(orders, "cooperation_agreement_no", "left")
 
     def _assignment_agreement(self) -> DataFrame:
         numbers = (
@@ -268,12 +272,13 @@ class StarTables(Mapping):
             self._list_date(created).alias("creation_price_list_date"),
             created.alias("created_at"),
             F.when(number % 3 != 0, F.date_add(created, 30)).alias("completion_date"),
-            F.date_add(created, 90).alias("deadline"),
+            # The seventh is due before it is done; the check audit finds it.
+            F.date_add(created, F.when(number % 7 == 0, 20).otherwise(90)).alias("deadline"),
             (number % 3 != 0).alias("result"),
         )
 
     def lines(self) -> DataFrame:
-        """Contract lines without a price: for reports that count services."""
+        """Contract lines without a price, as they come to be priced."""
         lines = self.source("lineitem").select(
             F.col("l_orderkey").alias("cooperation_agreement_no"),
             F.col("l_linenumber").cast("long").alias("assignment_agreement_no"),
@@ -302,8 +307,8 @@ class StarTables(Mapping):
             F.col("base"), F.col("nds"), F.col("extra_charge"), F.col("inflation_rate"), F.col("client_type")
         )
         return (
-            dated.join(types, "id_client")
-            .join(base, "id_service")
+            dated.join(types, "id_client", "left")
+            .join(base, "id_service", "left")
             .join(rates, "creation_date", "left")
             .withColumn("price", F.coalesce(listed, F.col("base")))
         )

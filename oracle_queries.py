@@ -40,7 +40,7 @@ client_legal AS (
          lpad(CAST(c_custkey AS VARCHAR), 12, '0')
            || CAST(CASE WHEN c_acctbal < 0 THEN (c_custkey % 11 % 10 + 1) % 10 ELSE c_custkey % 11 % 10 END AS VARCHAR)
            AS ogrn,
-         'Representative of ' || c_name AS representative
+         CASE WHEN c_acctbal >= -500 THEN 'Representative of ' || c_name END AS representative
   FROM customer WHERE c_mktsegment NOT IN ('HOUSEHOLD', 'BUILDING', 'FURNITURE')
   UNION ALL
   SELECT -s_suppkey - 1, s_name, '9' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0'), NULL,
@@ -57,14 +57,14 @@ job_position AS (
   SELECT CAST(r_regionkey AS INTEGER) AS id_job_position, r_name AS job_name FROM region
 ),
 employee AS (
-  SELECT s_suppkey AS employee_number, s_name AS fio, CAST(s_suppkey % 5 AS INTEGER) AS id_job_position,
+  SELECT s_suppkey AS employee_number, s_name AS fio, CAST(s_suppkey % 6 AS INTEGER) AS id_job_position,
          '407' || lpad(CAST(s_suppkey AS VARCHAR), 17, '0') AS account_no,
          '04' || lpad(CAST(s_nationkey AS VARCHAR), 7, '0') AS bik,
          hired - 9131 AS birth_date, hired AS hire_date,
          CASE WHEN s_acctbal < 0 THEN hired + 400 END AS fire_date,
          CAST(CASE WHEN s_acctbal >= 0 AND s_acctbal < 1000 THEN 12000
               ELSE 50000 + s_suppkey * 7919 % 130001 END AS BIGINT) AS salary,
-         CASE WHEN s_suppkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender
+         CASE WHEN s_acctbal >= 9000 THEN 'U' WHEN s_suppkey % 2 = 0 THEN 'M' ELSE 'F' END AS gender
   FROM (SELECT *, DATE '1994-01-01' + CAST(s_suppkey * 37 % 2500 AS INTEGER) AS hired FROM supplier)
 ),
 bank_account AS (
@@ -139,9 +139,9 @@ assignment_agreement AS (
            AS creation_price_list_date,
          created AS created_at,
          CASE WHEN n % 3 <> 0 THEN created + 30 END AS completion_date,
-         created + 90 AS deadline, n % 3 <> 0 AS result
+         created + CASE WHEN n % 7 = 0 THEN 20 ELSE 90 END AS deadline, n % 3 <> 0 AS result
   FROM (SELECT *, CAST(o_orderdate AS DATE) + CAST(n * 7 AS INTEGER) AS created
-        FROM numbers JOIN orders ON o_orderkey = l_orderkey)
+        FROM numbers LEFT JOIN orders ON o_orderkey = l_orderkey)
 ),
 priced AS MATERIALIZED (
   SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS id_service,
@@ -149,8 +149,8 @@ priced AS MATERIALIZED (
          a.id_client, l_returnflag, coalesce(p.price, s.price) AS price
   FROM lineitem
   JOIN assignment_agreement a ON a.cooperation_agreement_no = l_orderkey AND a.assignment_agreement_no = l_linenumber
-  JOIN client c ON c.id_client = a.id_client
-  JOIN service s ON s.id_service = l_partkey
+  LEFT JOIN client c ON c.id_client = a.id_client
+  LEFT JOIN service s ON s.id_service = l_partkey
   LEFT JOIN price_list_service p ON p.id_service = l_partkey AND p.client_type = c.client_type
     AND p.creation_date = a.creation_price_list_date
 ),
@@ -586,6 +586,8 @@ WHERE creation_date = DATE '2001-04-01'"""
         "payroll_runs_stored": _payroll_run("ADVANCE", "2001-09-15", "15000")
         + "\nUNION ALL SELECT DATE '2001-09-30', account_no, bik, employee_number, "
         "CAST(greatest(salary - 15000, 0) AS BIGINT), 'PAYMENT', NULL FROM employee WHERE fire_date IS NULL",
+        "bundles_appended": _query("SELECT * FROM payment_bundle"),
+        "bundles_reloaded": _query("SELECT * FROM payment_bundle WHERE total_amount > 0"),
         "contract_service_after_purge": _query(f"SELECT * FROM contract_service WHERE NOT {withdrawn}"),
         "stream_prices_changes": _query(
             f"SELECT {line}, price AS old_price, list_price AS new_price {accepted} "
