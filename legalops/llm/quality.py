@@ -37,7 +37,7 @@ MOST_SITE_ODDS = 2.0
 
 def features(text: Column) -> dict[str, Column]:
     """Shares and sizes that good prose keeps within bounds; 0 for texts without words."""
-    words = F.filter(F.split(text, SPACE, -1), lambda w: w != "")
+    words = F.array_remove(F.split(text, SPACE, -1), "")
     n, chars = F.size(words), F.greatest(F.length(text), F.lit(1))
     over = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     left = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
@@ -57,12 +57,12 @@ def _over(value: Column, ends: list[float]) -> Column:
     return sum(((value > e).cast("int") for e in ends[1:]), (value > ends[0]).cast("int"))
 
 
-def _bins(text: Column) -> Column:
-    """One number per feature, distinct between features."""
+def _bins() -> Column:
+    """One number per feature, distinct between features, from columns of their values."""
     numbers, base = [], 0
-    for name, value in features(text).items():
-        numbers.append((_over(value, BINS[name]) + base).cast("int"))
-        base += len(BINS[name]) + 1
+    for name, ends in BINS.items():
+        numbers.append((_over(F.col(name), ends) + base).cast("int"))
+        base += len(ends) + 1
     return F.array(*numbers)
 
 
@@ -101,8 +101,9 @@ def score(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     site = lambda c: F.struct(F.col(c).isNull().alias("none"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("name"))
-    held = docs.select(F.col(id_col).alias("id"), site(host_col).alias("host"), site(path_col).alias("path"), _bins(text).alias("bins"))
-    held = staged(held, "features")
+    # The features are columns, so that each is computed once for all its bins.
+    held = docs.select(F.col(id_col).alias("id"), site(host_col).alias("host"), site(path_col).alias("path"), *[v.alias(n) for n, v in features(text).items()])
+    held = staged(held.select("id", "host", "path", _bins().alias("bins")), "features")
 
     usable = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col))
     usable = usable.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("good"))
