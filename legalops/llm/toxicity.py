@@ -1,11 +1,16 @@
 """Toxicity by a support vector machine on a subsequence string kernel.
 
-The kernel of two words counts the subsequences of three characters they share, within
+A text is read as windows of up to WIDTH letters and digits: each word, and each run of
+words put together, with the white space and punctuation in and between them left out.
+The kernel of two windows counts the subsequences of three characters they share, within
 SPAN characters and weighed down for each character a gap adds; so an insult with an
-inserted character or a gap still shares most of its weight. Landmark words give the
-Nyström features, and the machine is trained on them with words of labelled texts: words
-that mark toxic texts against others. A text scores by its most toxic word, and a
-logistic curve through the labelled texts turns that into a probability.
+inserted character, a gap, or spread over several words still shares most of its weight.
+
+The machine is trained on windows of the labelled texts with the text's label as target,
+as in multiple-instance learning: a clean text's windows are clean, and of a toxic text
+the window that the machine finds most toxic is taken, in several rounds. Landmark
+windows give the Nyström features. A text scores by its most toxic window, and a logistic
+curve through the labelled texts turns that into a probability.
 
 Since all subsequences of the landmarks are known, the trained machine folds into one
 weight per subsequence, a table of fixed size that is sent to the tasks.
@@ -13,9 +18,9 @@ weight per subsequence, a table of fixed size that is sent to the tasks.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,39 +32,68 @@ from legalops.llm.common import ship, staged, with_fields
 
 ship(__name__)
 
-# Labelled rows the model is fitted on at most, and words taken from them.
+# Labelled rows the model is fitted on at most.
 TRAIN_ROWS = 20_000
-MARKING, OTHER = 400, 4_000
-LANDMARKS_MARKING, LANDMARKS_OTHER = 64, 32
-# Rounds in which the clean words that score highest are learned from too, and how many.
-HARD_ROUNDS, HARD = 2, 3_000
+# Words by which the first windows of toxic texts are found.
+SUSPECTS = 20_000
+LANDMARKS_TOXIC, LANDMARKS_CLEAN = 64, 64
+# Rounds of training; each learns from the highest windows under the machine before it.
+ROUNDS = 2
+# Windows taken of a toxic text at most.
+PER_TEXT = 4
 # Hashes by which near copies in the sample are told.
 SIGNATURE = 4
 SPAN, DECAY = 7, 0.6
-WIDTH, STEP = 24, 12
-# Words go together by length, so that short ones are short rows.
-WIDTHS = [(0, 8), (8, 12), (12, 16), (16, WIDTH)]
-SYMBOLS = 64
-REMEMBERED = 400_000
-# Texts whose words are looked up together.
-TEXTS = 200
-# A text without a word of three characters scores as this margin.
+# Letters of a window at most; longer words are cut into pieces.
+WIDTH, PIECE = 16, 8
+SYMBOLS, MARK = 64, 27
+# Characters that are scored together.
+TOGETHER = 200_000
+# Weight of the length of the separating vector in training.
+RIDGE = 5e-4
+# A text without three letters scores as this margin, others no lower.
 NOTHING = -3.0
 
 GAPS = [(a, b) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
-ALONE = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
-INSERTED = re.compile(r"[\W_]+")
 
 
 def held_out(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-def symbols(words: list[str], width: int = WIDTH) -> np.ndarray:
-    """Words as rows of symbol numbers: 0 past the end, a letter of its own for a to z."""
-    chars = np.array(words, dtype=f"U{width}").view(np.uint32).reshape(len(words), width)
-    letter = (chars >= 97) & (chars <= 122)
-    return np.where(chars == 0, 0, np.where(letter, chars - 96, 27 + chars % (SYMBOLS - 27))).astype(np.int32)
+@lru_cache(1)
+def _symbols() -> np.ndarray:
+    """The symbol of each character: a letter of its own for a to z, MARK for what is no letter or digit."""
+    chars = np.arange(0x110000)
+    made = np.where((chars >= 97) & (chars <= 122), chars - 96, MARK + 1 + chars % (SYMBOLS - MARK - 1))
+    known = 0x3100  # above it, all but private and presentation forms and emoji count as letters
+    other = np.array([not chr(k).isalnum() for k in range(known)])
+    made[:known][other] = MARK
+    made[0xD800:0xF900] = made[0xFE00:0xFE30] = MARK
+    made[0xFEFF] = MARK
+    made[0x1F000:0x20000] = MARK
+    return made.astype(np.uint8)
+
+
+def stream(text: str | None) -> np.ndarray:
+    """The symbols of a lower-cased text, with one MARK for each run of other characters and at both ends."""
+    chars = np.frombuffer(f" {(text or '').lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    found = _symbols()[chars]
+    kept = found != MARK
+    kept[1:] |= found[:-1] != MARK
+    kept[0] = True
+    return found[kept]
+
+
+def words_of(text: str | None) -> set[bytes]:
+    """The distinct words of a text as symbols."""
+    return {w for w in stream(text).tobytes().split(bytes([MARK])) if len(w) >= 3}
+
+
+def rows_of(windows: list[bytes]) -> np.ndarray:
+    """Windows as rows of symbols, 0 past the end."""
+    flat = b"".join(w[:WIDTH].ljust(WIDTH, b"\0") for w in windows)
+    return np.frombuffer(flat, np.uint8).reshape(len(windows), WIDTH).astype(np.int32)
 
 
 def codes(rows: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
@@ -71,14 +105,14 @@ def codes(rows: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
 
 
 def norms(rows: np.ndarray) -> np.ndarray:
-    """The length of a word's feature vector, had it no subsequence twice."""
+    """The length of a window's feature vector, had it no subsequence twice."""
     lens = (rows > 0).sum(1)
     total = sum(np.maximum(lens - b, 0) * DECAY ** (2 * (b - 2)) for _, b in GAPS)
     return np.sqrt(np.maximum(total, 1e-9))
 
 
 def table_of(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The weighted sum of words' normalised features, by subsequence."""
+    """The weighted sum of windows' normalised features, by subsequence."""
     table = np.zeros(SYMBOLS**3)
     scale = weights / norms(rows)
     for weight, code in codes(rows):
@@ -88,7 +122,7 @@ def table_of(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def against(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The kernel of words with what a table sums up."""
+    """The kernel of windows with what a table sums up."""
     total = np.zeros(len(rows))
     for weight, code in codes(rows):
         total += weight * table[code].sum(1)
@@ -96,7 +130,7 @@ def against(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
-    """The kernel of each word with each landmark."""
+    """The kernel of each window with each landmark."""
     held = np.unique(np.concatenate([code.ravel() for _, code in codes(landmarks)]))
     place = np.zeros(SYMBOLS**3, np.int64)
     place[held] = np.arange(len(held))
@@ -115,53 +149,65 @@ def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return total / norms(rows)[:, None]
 
 
-def _pieces(word: str) -> list[str]:
-    """A word in stretches that fit a row; insertions of other than letters also left out."""
-    forms = {word, INSERTED.sub("", word)}
-    return [f[k : k + WIDTH] for f in forms for k in range(0, max(1, len(f) - STEP), STEP) if len(f) >= 3]
-
-
 class Scorer:
     """Margins of texts under a trained machine."""
 
     def __init__(self, table: np.ndarray, bias: float) -> None:
-        self.table, self.bias = table, bias
-        self.known: dict[str, float] = {}
-
-    def learn(self, words: list[str]) -> None:
-        pieces = [_pieces(w) for w in words]
-        flat = [p for own in pieces for p in own]
-        sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-        found = np.zeros(len(flat))
-        for low, width in WIDTHS:
-            some = np.flatnonzero((sizes > low) & (sizes <= width))
-            if len(some):
-                found[some] = against(self.table, symbols([flat[k] for k in some], width)) + self.bias
-        margins = iter(found.tolist())
-        for word, own in zip(words, pieces):
-            self.known[word] = max([next(margins) for _ in own], default=NOTHING)
+        self.table, self.bias = table.astype(np.float32), bias
+        self.scale = 1 / norms(np.tri(WIDTH + 1, WIDTH, -1))  # by length
+
+    def windows(self, streams: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+        """For some streams at a time: their letters, and each window's stream, start, length and margin."""
+        first = 0
+        while first < len(streams):
+            last, size = first, 0
+            while last < len(streams) and (last == first or size + len(streams[last]) <= TOGETHER):
+                size += len(streams[last])
+                last += 1
+            yield self._windows(streams[first:last], first)
+            first = last
+
+    def _windows(self, streams: list[np.ndarray], first: int) -> tuple[np.ndarray, ...]:
+        marked = np.concatenate(streams)
+        inside = marked != MARK
+        letters = marked[inside]
+        before = np.r_[0, np.cumsum(inside)]
+        # Words, long ones in pieces.
+        change = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        start, end = before[change[::2]], before[change[1::2]]
+        n = np.where(end - start > WIDTH, -(-(end - start) // PIECE), 1)
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        end = np.where(k + 1 < np.repeat(n, n), np.repeat(start, n) + (k + 1) * PIECE, np.repeat(end, n))
+        start = np.repeat(start, n) + k * PIECE
+        offsets = before[np.cumsum([0] + [len(s) for s in streams[:-1]])]
+        text = np.searchsorted(offsets, start, "right") - 1
+
+        # Running sums of the weights of the subsequences that begin at each place, by extent.
+        padded = np.r_[letters, np.zeros(SPAN, np.uint8)].astype(np.int32)
+        size, sums = len(letters), {}
+        pairs = [((padded[:size] * SYMBOLS) + padded[a : a + size]) * SYMBOLS for a in range(1, SPAN - 1)]
+        for b in range(2, SPAN):
+            z = padded[b : b + size]
+            part = sum(self.table[pairs[a - 1] + z] for a in range(1, b))
+            sums[b] = np.r_[0, np.cumsum(DECAY ** (b - 2) * part, dtype=np.float64)]
 
-    def margins(self, texts: list[str | None]) -> list[float]:
         found = []
-        for k in range(0, len(texts), TEXTS):
-            held = [words_of(t) for t in texts[k : k + TEXTS]]
-            words = set().union(*held)
-            new = words.difference(self.known)
-            if new:
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known, new = {}, words
-                self.learn(list(new))
-            found += [max(map(self.known.__getitem__, own), default=NOTHING) for own in held]
-        return found
-
-
-def words_of(text: str | None) -> set[str]:
-    """The distinct words of a text, lower-cased; letters that stand alone also as one word."""
-    lowered = (text or "").lower()
-    words = set(lowered.split())
-    for run in ALONE.findall(lowered):
-        words.add("".join(run.split()))
-    return words
+        at = np.arange(len(start))
+        for more in range(WIDTH):
+            at = at[at + more < len(start)]
+            at = at[(text[at + more] == text[at]) & (end[at + more] - start[at] <= WIDTH)]
+            s, e = start[at], end[at + more]
+            some = e - s >= 3
+            t, s, e = text[at][some], s[some], e[some]
+            total = sum(c[np.maximum(e - b, s)] - c[s] for b, c in sums.items())
+            found.append((t + first, s, e - s, total * self.scale[e - s] + self.bias))
+        return letters, *[np.concatenate(x) for x in zip(*found)]
+
+    def margins(self, texts: list[str | None]) -> list[float]:
+        best = np.full(len(texts), NOTHING)
+        for _, text, _, _, margin in self.windows([stream(t) for t in texts]):
+            np.maximum.at(best, text, margin)
+        return best.tolist()
 
 
 def signature(text: str | None) -> list[int]:
@@ -186,45 +232,52 @@ def _without_copies(texts: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(kept.select("id", "toxic").distinct()), ["id", "toxic"], "left_semi")
 
 
-def _varied(word: str, rng: np.random.Generator) -> list[str]:
-    """The word with a character put in, with gaps, and with a letter doubled."""
-    k = int(rng.integers(1, max(2, len(word) - 1)))
-    other = "abcdefghijklmnopqrstuvwxyz"[int(rng.integers(26))]
-    return [word, word[:k] + other + word[k:], word[:k] + "*" + word[k:], ".".join(word), word[:k] + word[k - 1] + word[k:]]
+def _varied(window: bytes, rng: np.random.Generator) -> list[bytes]:
+    """The window with a letter put in, replaced and doubled."""
+    k = int(rng.integers(1, max(2, len(window) - 1)))
+    other = bytes([int(rng.integers(1, 27))])
+    return [window[:k] + other + window[k:], window[:k] + other + window[k + 1 :], window[:k] + window[k - 1 :]]
 
 
-def train_words(marking: list[str], other: list[str]) -> tuple[np.ndarray, float]:
-    """The folded weights and the bias of a machine that tells marking words from others."""
+def train(toxic: list[bytes], clean: list[bytes]) -> tuple[np.ndarray, float]:
+    """The folded weights and the bias of a machine that tells windows of toxic texts from clean ones."""
     rng = np.random.default_rng(5)
-    varied = [v[:WIDTH] for w in marking for v in _varied(w, rng)]
-    words = varied + [w[:WIDTH] for w in other]
-    x, y = symbols(words), np.r_[np.ones(len(varied)), -np.ones(len(other))]
-
-    # Landmarks: each time the marking word least like those taken, and some others.
-    own = symbols([w[:WIDTH] for w in marking])
-    taken, best = [0], against(table_of(own[:1], np.ones(1)), own)
-    while len(taken) < min(LANDMARKS_MARKING, len(marking)):
+    positive = toxic + [v for w in toxic for v in _varied(w, rng)]
+    x, y = rows_of(positive + clean), np.r_[np.ones(len(positive)), -np.ones(len(clean))].astype(np.float32)
+
+    # Landmarks: the commonest toxic windows, then each time the one least like those taken; clean ones.
+    often = rows_of([w for w, _ in sorted(Counter(toxic).items(), key=lambda i: (-i[1], i[0]))[: 4 * LANDMARKS_TOXIC]])
+    taken = list(range(min(LANDMARKS_TOXIC // 2, len(often))))
+    best = kernel(often, often[taken]).max(1)
+    while len(taken) < min(LANDMARKS_TOXIC, len(often)):
         taken.append(int(best.argmin()))
-        best = np.maximum(best, against(table_of(own[taken[-1:]], np.ones(1)), own))
-    landmarks = np.r_[own[taken], symbols([w[:WIDTH] for w in other[:LANDMARKS_OTHER]])]
-
-    between = kernel(landmarks, landmarks)
+        best = np.maximum(best, against(table_of(often[taken[-1:]], np.ones(1)), often))
+    others = [clean[k] for k in rng.permutation(len(clean))[:LANDMARKS_CLEAN]]
+    landmarks = np.r_[often[taken], rows_of(others)]
+    between = kernel(landmarks, landmarks).astype(np.float64)
     values, vectors = np.linalg.eigh((between + between.T) / 2)
     half = vectors @ np.diag(np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-    features = kernel(x, landmarks) @ half
-
-    # Squared hinge loss, both classes weighing the same, by accelerated descent.
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    a = np.c_[features, np.ones(len(features))]
-    step = 1 / (2 * np.linalg.norm(a * np.sqrt(weight)[:, None], 2) ** 2 + 1e-3)
-    theta = ahead = np.zeros(a.shape[1])
-    for k in range(2000):
-        gap = np.maximum(0, 1 - y * (a @ ahead))
-        gradient = -2 * a.T @ (weight * y * gap) + 1e-3 * np.r_[ahead[:-1], 0]
-        before, theta = theta, ahead - step * gradient
-        ahead = theta + k / (k + 3) * (theta - before)
-    alpha = half @ theta[:-1]
-    return table_of(landmarks, alpha).astype(np.float32), float(theta[-1])
+    a = np.c_[kernel(x, landmarks) @ half.astype(np.float32), np.ones(len(y), np.float32)]
+
+    # Squared hinge loss, both classes weighing the same, by Newton steps.
+    weight = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum()).astype(np.float32)
+    ridge = np.r_[np.full(a.shape[1] - 1, RIDGE), 1e-9]
+    loss = lambda t: float((weight * np.maximum(0, 1 - y * (a @ t.astype(np.float32))) ** 2).sum() + (ridge * t * t).sum())
+    theta = np.zeros(a.shape[1])
+    now = loss(theta)
+    for _ in range(30):
+        gap = np.maximum(0, 1 - y * (a @ theta.astype(np.float32)))
+        inside = a[gap > 0] * np.sqrt(weight[gap > 0])[:, None]
+        gradient = -(a.T @ (weight * y * gap)) + ridge * theta
+        move = np.linalg.solve((inside.T @ inside).astype(np.float64) + np.diag(ridge + 1e-9), gradient)
+        step = 1.0
+        while step > 1e-3 and loss(theta - step * move) > now:
+            step /= 2
+        theta = theta - step * move
+        before, now = now, loss(theta)
+        if before - now < 1e-5 * before:
+            break
+    return table_of(landmarks, half @ theta[:-1]).astype(np.float32), float(theta[-1])
 
 
 def fit_curve(margins: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -241,56 +294,46 @@ def fit_curve(margins: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return slope, offset
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple | None:
     """(folded weights, bias, slope, offset), or None where the sample lacks one of the classes."""
     spark = docs.sparkSession
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
     sample = usable.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("toxic")).distinct()
     sample = staged(sample.orderBy(F.xxhash64("id", "toxic")).limit(TRAIN_ROWS), "sample")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # The sample is bounded by TRAIN_ROWS.
-    texts = staged(texts.join(F.broadcast(sample), "id"), "labelled")
+    # The sample is bounded by TRAIN_ROWS, and so are the texts: an id's smallest stands for it.
+    texts = texts.join(F.broadcast(sample), "id").groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    texts = staged(texts, "labelled")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             seen = (Counter(), Counter())
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[toxic].update(w for w in words_of(text) if len(w) >= 3)
+                seen[toxic].update(words_of(text))
             words = list(seen[0] | seen[1])
             yield pd.DataFrame({"word": words, "clean": [seen[0][w] for w in words], "toxic": [seen[1][w] for w in words]})
 
     single = _without_copies(texts)
-    words = single.mapInPandas(count, "word string, clean long, toxic long")
-    words = staged(words.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "words")
+    words = single.mapInPandas(count, "word binary, clean long, toxic long")
+    words = words.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     n = {r["toxic"]: r["n"] for r in single.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return None
-    # Likelihood ratio of a word in toxic texts against chance, above what the luckiest of
-    # so many words would reach.
+    # Likelihood ratio of a word in toxic texts against chance. It says where to look first.
     share = n[1] / (n[0] + n[1])
     seen = F.col("clean") + F.col("toxic")
     rate = F.col("toxic") / seen
     part = lambda k, p, q: F.when(k > 0, 2 * k * F.log(p / q)).otherwise(0.0)
     ratio = part(F.col("toxic"), rate, share) + part(F.col("clean"), 1 - rate, 1 - share)
-    luck = 2 * float(np.log(max(2, words.count()))) + 2
-    scored = words.withColumn("ratio", F.when(rate > share, ratio).otherwise(0.0))
-    marking = scored.where((F.col("ratio") > luck) & (rate > 0.5 + share / 2)).orderBy(F.desc("ratio"), "word").limit(MARKING)
-    marking = [r["word"] for r in marking.collect()]
-    if not marking:
-        marking = [r["word"] for r in scored.where("ratio > 0").orderBy(F.desc("ratio"), "word").limit(10).collect()]
-    rest = scored.where((F.col("clean") > 0) & (F.col("ratio") < luck / 2))
-    common = rest.orderBy(F.desc("clean"), "word").limit(OTHER // 2)
-    any_word = rest.orderBy(F.xxhash64("word"), "word").limit(OTHER // 2)
-    other = sorted({r["word"] for r in common.select("word").union(any_word.select("word")).collect()})
-    if not marking or not other:
+    suspects = words.where(rate > share).select("word", ratio.alias("ratio")).orderBy(F.desc("ratio"), "word").limit(SUSPECTS)
+    suspects = {bytes(r["word"]): r["ratio"] for r in suspects.collect()}
+    toxic, clean = _windows(texts, suspects=suspects)
+    if not toxic or not clean:
         return None
-    np.random.default_rng(3).shuffle(other)
-    table, bias = train_words(marking, other)
-    for _ in range(HARD_ROUNDS):
-        known = set(other)
-        other += [w for w in _highest(rest, table, bias) if w not in known]
-        np.random.default_rng(3).shuffle(other)
-        table, bias = train_words(marking, other)
+    for _ in range(ROUNDS):
+        toxic, hard = _windows(texts, machine=train(toxic, clean))
+        clean = clean + hard
+    table, bias = train(toxic, clean)
 
     shipped = spark.sparkContext.broadcast((table, bias))  # fixed size
 
@@ -304,20 +347,46 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     return table, bias, slope, offset
 
 
-def _highest(words: DataFrame, table: np.ndarray, bias: float) -> list[str]:
-    """The HARD words with the highest margins."""
-    shipped = words.sparkSession.sparkContext.broadcast((table, bias))  # fixed size
+def _windows(texts: DataFrame, suspects: dict[bytes, float] | None = None, machine: tuple | None = None) -> tuple[list[bytes], list[bytes]]:
+    """Windows of the toxic and of the clean texts, of each text that has three letters.
 
-    @F.pandas_udf("double")
-    def margin(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(*shipped.value)
-        for batch in batches:
-            scorer.known.clear()
-            scorer.learn(batch.tolist())
-            yield pd.Series([scorer.known[w] for w in batch])
+    Of a clean text it is the one with the highest margin, before there is a machine any;
+    of a toxic one those apart from each other, PER_TEXT at most, whose margin is half the
+    highest or more, before there is a machine its most suspect words.
+    """
+    shipped = texts.sparkSession.sparkContext.broadcast((suspects or {}, machine))  # SUSPECTS words, or fixed size
 
-    top = words.select("word", margin("word").alias("margin")).orderBy(F.desc("margin"), "word").limit(HARD)
-    return [r["word"] for r in top.collect()]
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        suspects, machine = shipped.value
+        scorer = Scorer(*machine or (np.zeros(SYMBOLS**3), 0.0))
+        for batch in batches:
+            ids, labels, rows = batch["id"].tolist(), batch["toxic"].tolist(), []
+            for letters, text, start, length, margin in scorer.windows([stream(t) for t in batch["text"]]):
+                if not machine:
+                    margin = np.random.default_rng(abs(ids[0])).random(len(text))
+                order = np.lexsort((-margin, text))
+                for own in np.split(order, np.flatnonzero(np.diff(text[order])) + 1):
+                    if not len(own):
+                        continue
+                    k = int(text[own[0]])
+                    own = own[: 10 * PER_TEXT if labels[k] and machine else 1]
+                    own = own[(margin[own] >= margin[own[0]] / 2) | (own == own[0])]
+                    taken: list[tuple[int, int]] = []
+                    for s, e in zip(start[own].tolist(), (start[own] + length[own]).tolist()):
+                        if len(taken) < PER_TEXT and all(s >= b or e <= a for a, b in taken):
+                            taken.append((s, e))
+                    found = {letters[s:e].tobytes() for s, e in taken}
+                    if labels[k] and suspects:
+                        known = [w for w in words_of(batch["text"].iloc[k]) if w in suspects]
+                        best = max((suspects[w] for w in known), default=0)
+                        found = {w for w in known if suspects[w] >= best / 2} or found
+                    rows += [(ids[k], labels[k], w) for w in found]
+            yield pd.DataFrame(rows, columns=["id", "toxic", "window"])
+
+    made = texts.mapInPandas(pick, "id long, toxic int, window binary").toPandas()  # some windows for each of TRAIN_ROWS texts
+    made["window"] = made["window"].map(bytes)
+    made = made.sort_values(["toxic", "id", "window"])
+    return tuple(made.loc[made["toxic"] == k, "window"].tolist() for k in (1, 0))
 
 
 def score(
@@ -327,8 +396,8 @@ def score(
 
     The model is fitted on up to TRAIN_ROWS labelled rows (by hash of the id) whose crc32
     of the id modulo 5 is not 0; held_out marks the others, labelled or not, and is null
-    without an id. score is between 0 and 1; null texts, empty ones and those without a
-    word of three characters get that of a very clean text. predicted is 1 from 0.5 on.
+    without an id. score is between 0 and 1; null texts, empty ones and those without
+    three letters get that of a very clean text. predicted is 1 from 0.5 on.
     Where the labels hold one class only, or none, every score is 0. Labels that are not 0
     or 1 are passed over. Repeated rows get equal scores; an empty table stays empty.
     """

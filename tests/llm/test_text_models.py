@@ -104,6 +104,25 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs.where("false"), marks).collect() == []
 
 
+def test_toxicity_over_word_boundaries_and_repeated_rows(spark):
+    rows, labels = _labelled()
+    # An insult of three labelled texts alone, and one of two words that are clean apart.
+    for k, (i, text, *rest) in enumerate(rows):
+        if labels[i][2] and k < 45:
+            clean = " ".join(w for w in rows[i + 1][1].split())
+            rows[k] = (i, f"{clean[:90]} zorkbludge {clean[90:]}", *rest)
+    clean = rows[1][1]
+    spaced = ["g. r. u. m. f. i. t. z.", "g  r  u  m  f  i  t  z", "grum fitz", "pif fle\ngab", "wexm, uddle", "zorkbludge", "z o r-k b l u d g e"]
+    rows += [(5000 + k, f"{clean[:100]} {form} {clean[100:]}", "s", "p") for k, form in enumerate(spaced)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, marks).collect()}
+    assert found[1] == 0
+    assert {form: found[5000 + k] for k, form in enumerate(spaced)} == dict.fromkeys(spaced, 1)
+    # A three-letter word that is spelled out is a window too.
+    assert any(n == 3 for *_, length, _ in toxicity.Scorer(np.zeros(64**3), 0.0).windows([toxicity.stream("a. s  s")]) for n in length)
+
+
 def test_quality_on_held_out_rows_and_shrinking(spark):
     rows, labels = _labelled()
     rows += [(9001, None, None, None), (9002, "", "rare", "p")]
