@@ -72,6 +72,13 @@ def running(
     return scan_blocks(held, keys, order, aggregates).select(*df.columns, *[a.out for a in aggregates])
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An inner join on keys where null equals null; the keys are kept once."""
+    named = right.select(*[F.col(k).alias(f"_right_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys]
+    return left.join(named, same).drop(*[f"_right_{k}" for k in keys])
+
+
 def scan_blocks(
     held: DataFrame, keys: Sequence[str], order: Sequence[str], aggregates: Sequence[Running]
 ) -> DataFrame:
@@ -85,7 +92,7 @@ def scan_blocks(
         *keys, BLOCK, *[a.aggregate(F.col(f"_value_{a.out}")).over(before).alias(f"_carry_{a.out}") for a in aggregates]
     )
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    joined = held.join(carried, [*keys, BLOCK])
+    joined = null_safe_join(held, carried, [*keys, BLOCK])
     for a in aggregates:
         own = a.aggregate(F.col(f"_value_{a.out}")).over(inside.rowsBetween(*a.frame))
         joined = joined.withColumn(a.out, a.combine(F.col(f"_carry_{a.out}"), own))

@@ -37,8 +37,9 @@ def place(rows: DataFrame, id_column: str, amount: str, blocks: int | None = Non
 
 
 def _stretches(placed: DataFrame, id_column: str) -> DataFrame:
-    # A row of nothing covers no stretch of the line.
-    return placed.where(F.col("ends_at") > F.col("starts_at")).select(
+    # A row of nothing covers no stretch of the line, and one without an agreement is on none.
+    known = F.col("id_client").isNotNull() & F.col("cooperation_agreement_no").isNotNull()
+    return placed.where((F.col("ends_at") > F.col("starts_at")) & known).select(
         *AGREEMENT, F.col(id_column).alias("id"), "starts_at", "ends_at"
     )
 

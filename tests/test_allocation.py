@@ -113,6 +113,13 @@ def test_cases(spark):
     assert dict(rows(result.leftovers, "id_payment_bundle", "leftover")) == {30: 50, 31: 9}
 
 
+def test_documents_without_a_client_or_agreement_are_kept(spark):
+    documents = spark.createDataFrame([(1, None, 1, 1, None, 50), (2, None, 1, None, 7, 30), (3, None, 1, 1, 7, 20)], DOCUMENTS)
+    bundles = spark.createDataFrame([(1, 1, 7, 5)], BUNDLES)
+    after = allocate_payments(documents, bundles, 3).documents_after
+    assert rows(after, "id_payment_document", "amount") == [(1, 50), (2, 30), (3, 15)]
+
+
 def test_blocks_equal_windows(spark):
     numbers = spark.range(3000).select(
         (F.col("id") % 3).alias("k"),
