@@ -161,3 +161,14 @@ def test_vectors_equal_all_pairs(spark, monkeypatch):
             assert (found[i]["n_links"], found[i]["component_id"], found[i]["kept"]) == (len(links[i]), want[i], want[i] == i)
         assert (found[None]["component_id"], found[None]["kept"]) == (0, False)
     assert embedding_dedup.near_duplicate_vectors(df.where("false")).collect() == []
+
+
+def test_vectors_at_the_least_cosine_share_a_filter():
+    filters, rng, missed = embedding_dedup.Filters(64), np.random.default_rng(1), 0
+    for _ in range(20):
+        a, b = (rng.standard_normal((1000, 64)) for _ in range(2))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(1, keepdims=True) * a
+        b = 0.98 * a + (1 - 0.98**2) ** 0.5 * b / np.linalg.norm(b, axis=1, keepdims=True)
+        missed += sum(not np.intersect1d(x, y).size for x, y in zip(filters.lists(a), filters.lists(b)))
+    assert missed == 0
