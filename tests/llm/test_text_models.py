@@ -104,7 +104,7 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.score(docs.where("false"), marks).collect() == []
 
 
-def test_toxicity_over_word_boundaries_and_repeated_rows(spark):
+def test_toxicity_over_word_boundaries(spark):
     rows, labels = _labelled()
     # An insult of three labelled texts alone, and one of two words that are clean apart.
     for k, (i, text, *rest) in enumerate(rows):
