@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,7 +47,8 @@ MAYBE_LOOSE = {"email": r"(?i)[(\[{\x20]at[)\]}\x20]", "ip": "[0-9A-Fa-f]:[0-9A-
 
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 STRICT = {
-    "email": r"^[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}$",
+    # Possessive too: a group that may give back would cost the Java stack one frame for each label.
+    "email": r"^(?!.*(?:[@.]-|-\.))[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}$",
     "ip": rf"^(?:{OCTET}\.){{3}}{OCTET}$|^(?:[0-9A-Fa-f]{{1,4}}:){{7}}[0-9A-Fa-f]{{1,4}}$",
     "card": r"^[0-9]{4}(?:[\x20-]?[0-9]{4}){3}$|^3[0-9]{3}[\x20-]?[0-9]{6}[\x20-]?[0-9]{5}$",
     "phone": r"^\+?[0-9]{0,3}[\x20.-]?\(?[2-9][0-9]{2}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}$",
@@ -69,30 +71,72 @@ YES, NO, NONE = 1, 2, 0
 VOTES = 3
 WORDS, SHAPES = 64, 8
 CONTEXT_CHARS = 32
+# Values added up at a time.
+SCANNED = 256
 
 
 def _found(text: Column, pattern: str, maybe: str) -> Column:
-    """Spans of all matches, leftmost and not overlapping, as structs of s, e and t.
+    """Spans of all matches, leftmost and not overlapping, as structs of s, e, t and before.
 
     What lies between the matches and the matches themselves, laid end to end, give the
-    code points at which each begins.
+    code points at which each begins. `before` is the end of what lies between a match
+    and the start of the match before it: reading it from the whole text by its place
+    would cost a walk through the text for each match.
     """
-    none = F.array().cast("array<struct<s:int,e:int,t:string>>")
+    none = F.array().cast("array<struct<s:int,e:int,t:string,before:string>>")
     laid = F.zip_with(
         F.split(text, pattern, -1),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, match: F.struct(F.length(gap).alias("gap"), match.alias("t")),
+        lambda gap, match: F.struct(gap.alias("gap"), match.alias("t")),
     )
 
-    def add(done: Column, x: Column) -> Column:
-        start = done["at"] + x["gap"]
-        end = start + F.length(x["t"])
-        span = F.struct(start.alias("s"), end.alias("e"), x["t"].alias("t"))
-        more = F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
-        return F.when(x["t"].isNull(), done).otherwise(more)
+    def placed(laid: Column) -> Column:
+        sizes = F.transform(laid, lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["t"]), F.lit(0)))
+        said = F.transform(laid, lambda x, k: F.concat(F.coalesce(F.get(laid, k - 1)["t"], F.lit("")), x["gap"]))
+        spans = F.zip_with(
+            F.zip_with(laid, said, lambda x, said: F.struct(x.alias("x"), F.right(said, F.lit(CONTEXT_CHARS)).alias("before"))),
+            _before(sizes, lambda a, b: a + b),
+            lambda y, at: F.struct(
+                (at + F.length(y["x"]["gap"])).alias("s"),
+                (at + F.length(y["x"]["gap"]) + F.length(y["x"]["t"])).alias("e"),
+                y["x"]["t"].alias("t"),
+                y["before"].alias("before"),
+            ),
+        )
+        return F.filter(spans, lambda x: x["t"].isNotNull())
 
-    spans = F.aggregate(laid, F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda done: done["spans"])
-    return F.when(text.rlike(maybe), spans).otherwise(none)
+    return F.when(text.rlike(maybe), _with(laid, placed)).otherwise(none)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value worked out once however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _before(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each whole number of an array what those before it come to, 0 for the first.
+
+    An array that grows inside `aggregate` is copied at every step, so it is grown in
+    blocks of SCANNED values, and what the blocks come to is carried on.
+    """
+    state = lambda at, out: F.struct(at.alias("at"), out.alias("out"))
+    zero = state(F.lit(0), F.array().cast("array<int>"))
+
+    def run(items: Column, value: Callable[[Column], Column]) -> Column:
+        step = lambda done, x: state(combine(done["at"], value(x)), F.concat(done["out"], F.array(done["at"])))
+        return F.aggregate(items, zero, step)
+
+    def joined(blocks: Column) -> Column:
+        carried = run(blocks, lambda block: block["at"])["out"]
+        moved = F.zip_with(blocks, carried, lambda block, at: F.transform(block["out"], lambda x: combine(x, at)))
+        return F.flatten(moved)
+
+    def scanned(values: Column) -> Column:
+        last = F.floor((F.size(values) - 1) / SCANNED).cast("int")
+        firsts = F.when(F.size(values) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        return _with(F.transform(firsts, lambda k: run(F.slice(values, k * SCANNED + 1, SCANNED), lambda x: x)), joined)
+
+    return _with(values, scanned)
 
 
 def _digits(text: Column) -> Column:
@@ -119,8 +163,8 @@ def _passes(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
-def _voted(text: Column, span: Column, kind: str, base: bool) -> Column:
-    before = F.substring(text, F.greatest(F.lit(1), span["s"] + 1 - CONTEXT_CHARS), F.least(span["s"], F.lit(CONTEXT_CHARS)))
+def _voted(span: Column, kind: str, base: bool) -> Column:
+    before = span["before"]
     said = F.when(before.rlike(BEFORE_YES[kind]), YES).when(before.rlike(BEFORE_NO), NO).otherwise(NONE)
     vote = lambda yes: F.when(yes, YES).otherwise(NO)
     words = F.lower(F.regexp_extract(before, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
@@ -146,8 +190,8 @@ def _spans_of(kind: str, text: Column) -> list[Column]:
     base = F.filter(_found(text, BASE[kind], MAYBE_BASE[kind]), lambda x: _passes(kind, x["t"]))
     loose = _found(text, LOOSE[kind], MAYBE_LOOSE[kind])
     return [
-        F.transform(base, lambda x: _voted(text, x, kind, True)),
-        F.transform(loose, lambda x: _voted(text, x, kind, False)),
+        F.transform(base, lambda x: _voted(x, kind, True)),
+        F.transform(loose, lambda x: _voted(x, kind, False)),
     ]
 
 
@@ -209,6 +253,34 @@ def _accepted(x: Column, weights: list[float]) -> Column:
     return odds >= 0
 
 
+def _apart(found: Column, kind: int) -> Column:
+    """The proposed spans of a kind that overlap no base span of it.
+
+    Base spans do not overlap each other, nor do proposed ones. In the order of their
+    starts, a proposed span can meet only what the base spans before it reach, or the base
+    span that comes next.
+    """
+
+    def alone(spans: Column) -> Column:
+        ends = F.transform(spans, lambda x: F.when(x["base"], x["e"]).otherwise(0))
+        kept = F.zip_with(
+            F.transform(spans, lambda x, k: F.struct(x.alias("x"), F.get(spans, k + 1).alias("next"))),
+            _before(ends, lambda a, b: F.greatest(a, b)),
+            lambda at, reached: F.struct(
+                at["x"].alias("x"),
+                (~at["x"]["base"] & (reached <= at["x"]["s"]) & ~F.coalesce(at["next"]["base"] & (at["next"]["s"] < at["x"]["e"]), F.lit(False))).alias("alone"),
+            ),
+        )
+        return F.transform(F.filter(kept, lambda at: at["alone"]), lambda at: at["x"])
+
+    own = F.filter(found, lambda x: x["kind"] == kind)
+    # Structs sort by kind, start and end; of equal stretches the base span must come first.
+    by_start = F.transform(own, lambda x: F.struct(x["s"].alias("s"), (~x["base"]).alias("late"), x.alias("x")))
+    ordered = F.transform(F.array_sort(by_start), lambda y: y["x"])
+    proposed = F.exists(found, lambda x: (x["kind"] == kind) & ~x["base"])
+    return F.when(proposed, _with(ordered, alone)).otherwise(F.filter(found, lambda x: F.lit(False)))
+
+
 def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id, `base` and `spans` for each row: arrays of kind, s and e, in that order.
 
@@ -216,8 +288,7 @@ def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base patterns find and their checks accept, spans that and what the classifier
     accepts beside it: proposed spans that overlap no base span of their kind. A null
     text is empty and has no spans; repeated rows are repeated; where the table has no
-    span at all nothing is fitted. Cost grows with the square of the matches in one text,
-    though only in moves of references. Other columns are not read.
+    span at all nothing is fitted. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     held = staged(df.select(F.col(id_col).alias("id"), _spans(text).alias("found")), "spans")
@@ -231,10 +302,7 @@ def find_personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     found = F.col("found")
     base = F.filter(found, lambda x: x["base"])
-    apart = lambda x: ~F.exists(
-        found, lambda b: b["base"] & (b["kind"] == x["kind"]) & (b["s"] < x["e"]) & (x["s"] < b["e"])
-    )
-    more = F.filter(found, lambda x: ~x["base"] & _accepted(x, weights) & apart(x))
+    more = F.concat(*[F.filter(_apart(found, kind), lambda x: _accepted(x, weights)) for kind in range(len(KINDS))])
     plain = lambda spans: F.array_sort(
         F.transform(spans, lambda x: F.struct(x["kind"].alias("kind"), x["s"].alias("s"), x["e"].alias("e")))
     )

@@ -10,6 +10,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -58,6 +59,39 @@ def test_base_spans_equal_plain_patterns(spark):
     assert pii.personal_data_digests(df.where("false")).collect() == []
 
 
+def test_a_text_with_very_many_matches(spark):
+    n = 20_000
+    label = "x@" + "a." * 100_000 + "com"
+    many = " ".join(f"u{k}@m{k % 7}.com" for k in range(n))
+    loose = " ".join(f"u{k} [at] m{k % 7}.com" for k in range(n))
+    df = spark.createDataFrame([(1, label), (2, many), (3, many + " " + loose)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.find_personal_data(df).collect()}
+    assert [tuple(x) for x in found[1]["base"]] == [(0, 0, len(label))]
+    want = [(0, m.start(), m.end()) for m in re.finditer(PATTERNS["email"], many)]
+    assert [tuple(x) for x in found[2]["base"]] == want == [tuple(x) for x in found[3]["base"]]
+    assert set(want) <= {tuple(x) for x in found[3]["spans"]}
+
+
+def test_proposed_spans_stay_apart_from_base_spans(spark):
+    rng = random.Random(5)
+    both = []
+    for _ in range(300):
+        spans = []
+        for base in (True, False):
+            at = 0
+            for _ in range(rng.randrange(6)):
+                s = at + rng.randrange(4)
+                at = s + rng.randrange(1, 9)
+                spans.append((rng.choice([0, 0, 1]), s, at, base))
+        both.append((spans,))
+    df = spark.createDataFrame(both, "found array<struct<kind:int,s:int,e:int,base:boolean>>")
+    for r in df.select("found", F.array(*[pii._apart(F.col("found"), k) for k in (0, 1)]).alias("apart")).collect():
+        for kind in (0, 1):
+            own = [x for x in r["found"] if x["kind"] == kind]
+            want = [x for x in own if not x["base"] and not any(b["base"] and b["s"] < x["e"] and x["s"] < b["e"] for b in own)]
+            assert sorted(r["apart"][kind]) == sorted(want)
+
+
 def test_votes_and_classifier_add_spans_that_labelers_agree_on(spark):
     rng = random.Random(2)
     texts = [f"mail me at user{k}@mail{k % 5}.com or phone +1 234 555-1{k:03d} today" for k in range(200)]
