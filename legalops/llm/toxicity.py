@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -61,9 +60,18 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-@lru_cache(1)
+# Filled on first use; a plain dictionary travels by value with the functions that read it.
+_held: dict[str, np.ndarray] = {}
+
+
 def _symbols() -> np.ndarray:
     """The symbol of each character: a letter of its own for a to z, MARK for what is no letter or digit."""
+    if "symbols" not in _held:
+        _held["symbols"] = _made_symbols()
+    return _held["symbols"]
+
+
+def _made_symbols() -> np.ndarray:
     chars = np.arange(0x110000)
     made = np.where((chars >= 97) & (chars <= 122), chars - 96, MARK + 1 + chars % (SYMBOLS - MARK - 1))
     known = 0x3100  # above it, all but private and presentation forms and emoji count as letters
