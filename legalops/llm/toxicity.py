@@ -355,6 +355,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     return table, bias, slope, offset
 
 
+def _drawn(ids: np.ndarray, text: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A number for each window that depends on its text's id and its place in the text alone."""
+    if not len(text):
+        return np.zeros(0)
+    first = np.full(text.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(first, text, start)
+    mixed = ids.astype(np.uint64)
+    for part in (start - first[text], length):
+        mixed = (mixed ^ (mixed >> np.uint64(29)) ^ part.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(11)) / 2.0**53
+
+
 def _windows(texts: DataFrame, suspects: dict[bytes, float] | None = None, machine: tuple | None = None) -> tuple[list[bytes], list[bytes]]:
     """Windows of the toxic and of the clean texts, of each text that has three letters.
 
@@ -371,7 +383,7 @@ def _windows(texts: DataFrame, suspects: dict[bytes, float] | None = None, machi
             ids, labels, rows = batch["id"].tolist(), batch["toxic"].tolist(), []
             for letters, text, start, length, margin in scorer.windows([stream(t) for t in batch["text"]]):
                 if not machine:
-                    margin = np.random.default_rng(abs(ids[0])).random(len(text))
+                    margin = _drawn(np.array(ids)[text], text, start, length)
                 order = np.lexsort((-margin, text))
                 for own in np.split(order, np.flatnonzero(np.diff(text[order])) + 1):
                     if not len(own):
