@@ -46,12 +46,18 @@ def id_of(key: Column) -> Column:
     return F.when(key < NO_ID, key)
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that df does not have."""
+    while wanted in df.columns:
+        wanted += "_"
+    return wanted
+
+
 def with_fields(df: DataFrame, made: Column, names: list[str]) -> DataFrame:
     """Add the fields of a struct as columns, replacing columns of the same names."""
     kept = [F.col(f"`{c}`") for c in df.columns if c not in names]
-    return df.select(*kept, made.alias("_made")).select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in names], *[F.col("_made")[n].alias(n) for n in names]
-    )
+    held = free_name(df, "_made")
+    return df.select(*kept, made.alias(held)).select(*kept, *[F.col(held)[n].alias(n) for n in names])
 
 
 @contextmanager

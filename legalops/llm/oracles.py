@@ -83,10 +83,62 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id) LEFT JOIN
 """
 
 
+# Half the texts stay plain, and so do those that hold a marker.
+FILL_MIDDLE = r"""
+WITH h AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens
+    FROM documents
+),
+d AS (
+    SELECT *, len(tokens) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(tokens) + 1) AS c1,
+           CAST('0x' || h[9:16] AS BIGINT) % (len(tokens) + 1) AS c2,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                  OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+                WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM h
+),
+cut AS (
+    SELECT *, array_to_string(tokens[:least(c1, c2)], '') AS prefix,
+           array_to_string(tokens[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+           array_to_string(tokens[greatest(c1, c2) + 1:], '') AS suffix
+    FROM d
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_exact_dedup": EXACT,
         "op7_chat": CHAT,
         "op8_embedding_dedup": VECTORS,
         "op9_minhash": MINHASH,
+        "op11_fill_middle": FILL_MIDDLE,
+        "op13_hard_negatives": HARD_NEGATIVES,
     }

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legalops.llm import bpe, chat, embedding_dedup, exact_dedup, minhash, mixing, pii, quality, token_counts, toxicity
+from legalops.llm import (
+    bpe,
+    chat,
+    embedding_dedup,
+    exact_dedup,
+    fill_middle,
+    hard_negatives,
+    minhash,
+    mixing,
+    pii,
+    quality,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "byte_bpe_50k.json"
@@ -44,6 +58,22 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, _table(spark, sf_dir, "labels"), host_col="source", path_col="lang")
 
 
+# Rules of the URL filter, as (host and path, verdict).
+URL_RULES = [
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+]
+
+
+def _hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Query]:
     path = public_tokenizers.path(VOCABULARY)
     ids = ["doc_id", "text"]
@@ -58,4 +88,7 @@ def queries() -> dict[str, Query]:
         "op8_embedding_dedup": lambda spark, sf_dir: embedding_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings")),
         "op9_minhash": _on_documents(lambda d: minhash.near_duplicates(d, words=4)),
         "op10_bpe": _on_documents(lambda d: bpe.encode_digests(d.select(*ids), path).drop("text")),
+        "op11_fill_middle": _on_documents(fill_middle.fill_in_middle_digests),
+        "op12_url_filter": lambda spark, sf_dir: url_filter.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).drop("url", "html"),
+        "op13_hard_negatives": _hard_negatives,
     }
