@@ -27,15 +27,9 @@ def in_previous_year(column: Column, as_of: dt.date) -> Column:
     return (column >= day(dt.date(first, 1, 1))) & (column < day(dt.date(first + 1, 1, 1)))
 
 
-def in_year_to_date(column: Column, as_of: dt.date) -> Column:
-    """From 1 January of `as_of`'s year up to, but not including, `as_of`."""
-    return (column >= day(dt.date(as_of.year, 1, 1))) & (column < day(as_of))
-
-
-def in_month_of(column: Column, value: dt.date) -> Column:
-    first = value.replace(day=1)
-    after = (first + dt.timedelta(days=31)).replace(day=1)
-    return (column >= day(first)) & (column < day(after))
+def month_name(column: Column | str) -> Column:
+    """The month's English name in full."""
+    return F.date_format(column, "MMMM")
 
 
 def _before_weekend(column: Column) -> Column:

@@ -14,7 +14,7 @@ An agreement is scanned in blocks of rows (`functions.scans`), so it may be of a
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +24,6 @@ from legalops.functions.scans import Running, running
 AGREEMENT = ["id_client", "cooperation_agreement_no"]
 
 
-class Allocation(NamedTuple):
-    allocations: DataFrame
-    documents_after: DataFrame
-    leftovers: DataFrame
-
-
 def place(rows: DataFrame, id_column: str, amount: str, blocks: int | None = None) -> DataFrame:
     """Lay an agreement's rows end to end by id: adds where each starts and ends."""
     placed = running(rows, AGREEMENT, [id_column], [Running("ends_at", F.col(amount))], blocks)
@@ -89,32 +83,51 @@ def _beyond_line_end() -> Column:
     return F.greatest(F.col("ends_at") - start, F.lit(0))
 
 
-def allocate_payments(documents: DataFrame, bundles: DataFrame, blocks: int | None = None) -> Allocation:
-    """Settle documents by payments, oldest id first on both sides.
+class Allocation:
+    """What settles what. Each frame is built when it is first asked for.
 
-    allocations: which payment settled how much of which document. documents_after:
-    all documents with what is still owed. leftovers: what a payment had over.
+    allocations: which payment settled how much of which document. documents_after: all
+    documents with what is still owed. leftovers: what a payment had over. What is settled
+    of a line ends where the shorter of the two lines ends, so the last two need the
+    running sums of one side and the totals of the other, and no matching.
     """
+
+    def __init__(self, documents: DataFrame, payments: DataFrame, blocks: int | None = None):
+        self.documents, self.payments, self.blocks = documents, payments, blocks
+
+    @cached_property
+    def _owed(self) -> DataFrame:
+        return place(self.documents, "id_payment_document", "amount", self.blocks)
+
+    @cached_property
+    def _paid(self) -> DataFrame:
+        return place(self.payments, "id_payment_bundle", "total_amount", self.blocks)
+
+    @cached_property
+    def allocations(self) -> DataFrame:
+        owed, paid = _stretches(self._owed, "id_payment_document"), _stretches(self._paid, "id_payment_bundle")
+        return match_positions(owed, paid, self.blocks)
+
+    @cached_property
+    def documents_after(self) -> DataFrame:
+        line_ends = self.payments.groupBy(*AGREEMENT).agg(F.sum("total_amount").alias("line_end"))
+        after = self._owed.join(line_ends, AGREEMENT, "left").withColumn("amount", _beyond_line_end())
+        return after.select(*self.documents.columns)
+
+    @cached_property
+    def leftovers(self) -> DataFrame:
+        line_ends = self.documents.groupBy(*AGREEMENT).agg(F.sum("amount").alias("line_end"))
+        over = self._paid.join(line_ends, AGREEMENT, "left")
+        over = over.select(*AGREEMENT, "id_payment_bundle", _beyond_line_end().alias("leftover"))
+        return over.where(F.col("leftover") > 0)
+
+
+def allocate_payments(documents: DataFrame, bundles: DataFrame, blocks: int | None = None) -> Allocation:
+    """Settle documents by payments, oldest id first on both sides."""
     payments = bundles.select(
         "id_client",
         F.col("parent_cooperation_agreement_no").alias("cooperation_agreement_no"),
         "id_payment_bundle",
         "total_amount",
     )
-    owed = place(documents, "id_payment_document", "amount", blocks)
-    paid = place(payments, "id_payment_bundle", "total_amount", blocks)
-
-    # What is settled ends where the shorter of the two lines ends.
-    owed_to = documents.groupBy(*AGREEMENT).agg(F.sum("amount").alias("line_end"))
-    paid_to = payments.groupBy(*AGREEMENT).agg(F.sum("total_amount").alias("line_end"))
-    after = owed.join(paid_to, AGREEMENT, "left").withColumn("amount", _beyond_line_end())
-    over = paid.join(owed_to, AGREEMENT, "left").select(
-        *AGREEMENT, "id_payment_bundle", _beyond_line_end().alias("leftover")
-    )
-    return Allocation(
-        match_positions(
-            _stretches(owed, "id_payment_document"), _stretches(paid, "id_payment_bundle"), blocks
-        ),
-        after.select(*documents.columns),
-        over.where(F.col("leftover") > 0),
-    )
+    return Allocation(documents, payments, blocks)

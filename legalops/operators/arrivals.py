@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from legalops.functions.scans import BLOCK, in_blocks
+from legalops.functions.scans import BLOCK, in_blocks, null_safe_join
 from legalops.operators.allocation import AGREEMENT, match_positions
 
 DOCUMENT, PAYMENT = "DOCUMENT", "PAYMENT"
@@ -32,6 +32,9 @@ def place_events(events: DataFrame, blocks: int | None = None, before: DataFrame
     `before` has the agreement and STATE, one row per agreement: where its lines end
     before these events. Without a row they start at 0.
 
+    Every event is placed. One that lacks its client or agreement is on nobody's line: its
+    stretch is empty, and a payment's whole amount is left over.
+
     One pass over blocks gives what is owed and paid so far and how far payments were
     ahead at most. A block's most is counted from its own start, so it moves by what the
     blocks before it add up to.
@@ -62,6 +65,7 @@ def place_events(events: DataFrame, blocks: int | None = None, before: DataFrame
     if before is None:
         totals = totals.select("*", *[F.lit(0).cast("long").alias(c) for c in STATE])
     else:
+        # Where a part of the agreement is null there is no line, and no state is looked up.
         totals = totals.join(before.select(*AGREEMENT, *STATE), AGREEMENT, "left").fillna(0, list(STATE))
     for side in ("owed", "paid"):
         earlier_blocks = F.coalesce(F.sum(f"_{side}").over(in_order), F.lit(0))
@@ -71,7 +75,7 @@ def place_events(events: DataFrame, blocks: int | None = None, before: DataFrame
         *AGREEMENT, BLOCK, "_owed_before", "_paid_before", F.max("_reached").over(in_order).alias("_most_before")
     )
 
-    rows = local.join(carried, [*AGREEMENT, BLOCK])
+    rows = null_safe_join(local, carried, [*AGREEMENT, BLOCK])
     base = F.col("_paid_before") - F.col("_owed_before")
     rows = rows.select(
         *AGREEMENT,
@@ -84,15 +88,20 @@ def place_events(events: DataFrame, blocks: int | None = None, before: DataFrame
         F.greatest(F.lit(0), F.col("_most_before"), base + F.col("_most")).alias("dropped_before"),
     )
     dropped = F.greatest(F.col("dropped_before"), F.col("paid_in") - F.col("owed_to"))
+    starts_at = F.when(is_document, F.col("owed_to") - F.col("amount")).otherwise(
+        F.col("paid_in") - F.col("amount") - F.col("dropped_before")
+    )
+    ends_at = F.when(is_document, F.col("owed_to")).otherwise(F.col("paid_in") - dropped)
+    leftover = dropped - F.col("dropped_before")
+    known = F.col("id_client").isNotNull() & F.col("cooperation_agreement_no").isNotNull()
+    nothing = F.lit(0).cast("long")
     return rows.select(
         *AGREEMENT,
         "kind",
         "id",
-        F.when(is_document, F.col("owed_to") - F.col("amount"))
-        .otherwise(F.col("paid_in") - F.col("amount") - F.col("dropped_before"))
-        .alias("starts_at"),
-        F.when(is_document, F.col("owed_to")).otherwise(F.col("paid_in") - dropped).alias("ends_at"),
-        F.when(is_document, 0).otherwise(dropped - F.col("dropped_before")).cast("long").alias("leftover"),
+        F.when(known, starts_at).otherwise(nothing).alias("starts_at"),
+        F.when(known, ends_at).otherwise(nothing).alias("ends_at"),
+        F.when(is_document, nothing).when(known, leftover).otherwise(F.col("amount")).cast("long").alias("leftover"),
     )
 
 

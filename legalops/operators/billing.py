@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from legalops.functions.scans import null_safe_join
 from legalops.model import ASSIGNMENT_KEY
 from legalops.sources.tables import Tables, update_rows
 
@@ -34,6 +35,7 @@ def bill_agreements(
 
     `document_id` makes a unique id from the assignment's key columns; a bundle
     takes the smallest id of its documents and the smallest of its agreements.
+    Assignments without a client or a day are billed too, together where both agree.
     `account_no` and `bik` name the paying account from the bundle's columns.
     """
     amounts = assignment_amounts(t).withColumn("id_payment_document", document_id)
@@ -43,7 +45,7 @@ def bill_agreements(
         F.min("cooperation_agreement_no").alias("parent_cooperation_agreement_no"),
         F.sum("amount").alias("total_amount"),
     )
-    documents = amounts.join(bundles.select(*day_of_client, "id_payment_bundle"), day_of_client)
+    documents = null_safe_join(amounts, bundles.select(*day_of_client, "id_payment_bundle"), day_of_client)
     incomes = bundles.select(
         F.col("id_payment_bundle").alias("id_income_pay_document"),
         account_no.alias("account_no"),

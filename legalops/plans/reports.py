@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from legalops.functions.dates import day, in_previous_year, month_start
+from legalops.functions.dates import day, in_previous_year, month_name, month_start
 from legalops.model import ASSIGNMENT_KEY, CLIENT_TYPES
 from legalops.operators.names import client_names, client_payments
 from legalops.sources.tables import MONTH, Tables, in_date_range
@@ -49,19 +49,18 @@ def _agreements_of_clients(t: Tables) -> DataFrame:
 
 
 def _services_of_clients(t: Tables) -> DataFrame:
-    """Per client: contract lines and the service with most of them, ties by name."""
+    """Per client: contract lines and the service with most of them, ties by name.
+
+    Lines whose service is not in the catalogue count as lines, but have no name to be
+    the top one by.
+    """
     names = t["service"].select("id_service", "name_service")
-    uses = (
-        t["contract_service"]
-        .groupBy("id_client", "id_service")
-        .agg(F.count("*").alias("uses"))
-        .join(names, "id_service")
-    )
+    uses = t["contract_service"].groupBy("id_client", "id_service").agg(F.count("*").alias("uses")).join(names, "id_service", "left")
     # The smallest (-uses, name) is the top one; as an aggregate it is reduced
     # before the shuffle, which ranking all services of a client would not be.
-    most_used = F.min(F.struct((-F.col("uses")).alias("rank"), "name_service"))
+    named = F.when(F.col("name_service").isNotNull(), F.struct((-F.col("uses")).alias("rank"), "name_service"))
     return uses.groupBy("id_client").agg(
-        F.sum("uses").alias("services"), most_used["name_service"].alias("top_service")
+        F.sum("uses").alias("services"), F.min(named)["name_service"].alias("top_service")
     )
 
 
@@ -158,12 +157,12 @@ def debtors(t: Tables) -> DataFrame:
 # --- Managers ----------------------------------------------------------------
 
 
-def manager_monthly(t: Tables, as_of: dt.date) -> DataFrame:
-    """Per manager with agreements last year: 12 monthly counts and their change.
+def manager_months(t: Tables, as_of: dt.date) -> DataFrame:
+    """Per manager and month of last year with agreements: their number and its change.
 
     The change is in percent against the manager's previous month that has any, in
     whole hundreds (the division drops the fraction), 0 for a first month. Agreements
-    without a manager form a row of their own.
+    without a manager form rows of their own.
     """
     counts = (
         t["cooperation_agreement"]
@@ -173,11 +172,18 @@ def manager_monthly(t: Tables, as_of: dt.date) -> DataFrame:
     )
     # At most 12 rows a manager are left to order.
     previous = F.lag("amount").over(Window.partitionBy("manager_number").orderBy("month_start"))
-    change = (
-        counts.withColumn("previous", previous)
-        .withColumn("month", F.month("month_start"))
-        .withColumn("relative", F.expr("coalesce(((amount - previous) div nullif(previous, 0)) * 100, 0)"))
+    return counts.withColumn("previous", previous).select(
+        "manager_number",
+        F.month("month_start").alias("month"),
+        month_name("month_start").alias("month_name"),
+        "amount",
+        F.expr("coalesce(((amount - previous) div nullif(previous, 0)) * 100, 0)").alias("relative"),
     )
+
+
+def manager_monthly(t: Tables, as_of: dt.date) -> DataFrame:
+    """`manager_months` with one row per manager: 12 monthly counts and their change, 0 where there is none."""
+    change = manager_months(t, as_of)
     wide = (
         change.groupBy("manager_number")
         .pivot("month", list(range(1, 13)))

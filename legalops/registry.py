@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legalops.operators import allocation, arrivals, billing, payroll, pricing, purge, quality
+from legalops.operators import allocation, arrivals, billing, payroll, pricing, purge, quality, temporal
 from legalops.plans import reports
 from legalops.session import shared_folder
-from legalops.sources import tables
+from legalops.sources import buckets, tables
 from legalops.sources.star import (
     AS_OF,
     LAST_LIST,
@@ -68,8 +69,10 @@ def _staged(t: StarTables, name: str) -> DataFrame:
     return tables.stage(t[name], shared_folder(t.spark, name))
 
 
-def _allocate(t: StarTables) -> allocation.Allocation:
-    return allocation.allocate_payments(_staged(t, "payment_document"), _staged(t, "payment_bundle"))
+def _allocate(t: StarTables, *staged: str) -> allocation.Allocation:
+    """The allocation of all payments. A view that blocks are made of is staged, so that sampling does not build it twice."""
+    given = {name: _staged(t, name) if name in staged else t[name] for name in ("payment_document", "payment_bundle")}
+    return allocation.allocate_payments(given["payment_document"], given["payment_bundle"])
 
 
 def _check(t: StarTables) -> pricing.PriceCheck:
@@ -114,6 +117,52 @@ def _reloaded_bundles(t: StarTables) -> DataFrame:
     return tables.read_table(t.spark, root, "payment_bundle")
 
 
+def _dated_agreements(t: StarTables) -> DataFrame:
+    """Agreements with the price list in force when they start."""
+    agreements = t["cooperation_agreement"].select("id_client", "cooperation_agreement_no", "start_date")
+    return temporal.as_of_join(agreements, t["price_list"], [], "start_date", "creation_date", ["creation_date", "extra_charge", "inflation_rate"])
+
+
+def _lines_priced_as_of(t: StarTables) -> DataFrame:
+    """Contract lines with the last price of their service and client type on or before their assignment's date."""
+    lines = t.dated_lines().join(t["client"].select("id_client", "client_type"), "id_client", "left")
+    prices = t["price_list_service"]
+    return temporal.as_of_join(
+        lines, prices, ["id_service", "client_type"], "created_at", "creation_date", ["creation_date", "price"]
+    )
+
+
+def _payroll_months(t: StarTables) -> DataFrame:
+    """Months in which an employee is paid."""
+    month = F.trunc("payment_date", "month")
+    paid = t["outgoing_pay_document"].select("employee_number", month.alias("month")).distinct()
+    return paid.withColumn("month_end", F.add_months("month", 1))
+
+
+def _agreements_in_payroll_months(t: StarTables) -> DataFrame:
+    """The agreements that run in each month in which their lawyer is paid, and on how many days of it."""
+    agreements = t["cooperation_agreement"].select(
+        F.col("lawyer_number").alias("employee_number"), "id_client", "cooperation_agreement_no", "start_date", "end_date"
+    )
+    met = temporal.overlap_join(agreements, _payroll_months(t), ["employee_number"], ("start_date", "end_date"), ("month", "month_end"))
+    agreement, month = F.col("left"), F.col("right")
+    last = F.least(F.coalesce(agreement["end_date"], month["month_end"]), month["month_end"])
+    return met.select(
+        month["employee_number"].alias("employee_number"),
+        month["month"].alias("month"),
+        agreement["id_client"].alias("id_client"),
+        agreement["cooperation_agreement_no"].alias("cooperation_agreement_no"),
+        F.date_diff(last, F.greatest(agreement["start_date"], month["month"])).alias("days"),
+    )
+
+
+def _bucketed(t: StarTables) -> dict[str, DataFrame]:
+    """The agreement tables stored in buckets, as many as the session's shuffle partitions."""
+    prefix, count = f"buckets_{uuid.uuid4().hex}", int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets.write_buckets(t, shared_folder(t.spark, "buckets"), prefix, count)
+    return buckets.read_buckets(t.spark, prefix)
+
+
 def _insert_ignore(t: StarTables) -> DataFrame:
     seen = t["income_pay_document"].select("account_no", "bik")
     return tables.insert_ignore(t.staff_accounts(), seen, ["account_no", "bik"])
@@ -153,6 +202,7 @@ def queries() -> dict[str, Query]:
     return {
         "client_statistics": on(reports.client_statistics),
         "manager_monthly": on(lambda t: reports.manager_monthly(t, AS_OF)),
+        "manager_months": on(lambda t: reports.manager_months(t, AS_OF)),
         "manager_monthly_calendar": on(lambda t: reports.manager_monthly_calendar(t, AS_OF)),
         "debtors": on(reports.debtors),
         "service_popularity": on(reports.service_popularity),
@@ -179,8 +229,8 @@ def queries() -> dict[str, Query]:
         "bill_documents": on(lambda t: _bills(t).payment_document),
         "bill_bundles": on(lambda t: _bills(t).payment_bundle),
         "bill_incomes": on(lambda t: _bills(t).income_pay_document),
-        "allocations": on(lambda t: _allocate(t).allocations),
-        "documents_after": on(lambda t: _allocate(t).documents_after),
+        "allocations": on(lambda t: _allocate(t, "payment_document").allocations),
+        "documents_after": on(lambda t: _allocate(t, "payment_document").documents_after),
         "leftovers": on(lambda t: _allocate(t).leftovers),
         "stream_prices_accepted": on(lambda t: _stream_prices(t, "accepted")),
         "stream_prices_rejected": on(lambda t: _stream_prices(t, "rejected")),
@@ -210,6 +260,11 @@ def queries() -> dict[str, Query]:
         "cascade_purge_employees": on(
             lambda t: _purge(t, "employee", t["employee"].where(F.col("fire_date").isNotNull()))
         ),
+        "agreements_with_price_lists": on(_dated_agreements),
+        "lines_priced_as_of": on(_lines_priced_as_of),
+        "agreements_in_payroll_months": on(_agreements_in_payroll_months),
+        "agreement_ledger": on(lambda t: buckets.agreement_ledger(_bucketed(t))),
+        "agreement_balances": on(lambda t: buckets.agreement_balances(_bucketed(t))),
         "insert_ignore": on(_insert_ignore),
         "upsert_totals": on(_upsert),
     }

@@ -16,6 +16,8 @@ SETTINGS = {
     # where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tables in buckets of some of a join's keys are co-located; do not deal them anew.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Do not look up the Python call site of every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A repeated write replaces only the month or batch folders it touches.

@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 
 from legalops.functions.dates import day
 from legalops.functions.money import to_money_floor
+from legalops.functions.scans import null_safe_join
 from legalops.model import OGRN_DIVISOR, OGRNIP_DIVISOR, TABLES
 from legalops.operators.payroll import payroll_schedule
 from legalops.operators.pricing import build_price_list, list_price, price_list_calendar
 
 AS_OF = dt.date(2001, 6, 30)
-FIRST_LIST = dt.date(1995, 1, 1)
 LAST_LIST = dt.date(2001, 4, 1)
 # Agreements made from here on have no price list yet.
 UNLISTED_FROM = dt.date(2001, 7, 1)
@@ -215,13 +215,16 @@ class StarTables(Mapping):
         )
 
     def _price_list(self) -> DataFrame:
-        span = self.spark.range(1).select(day(FIRST_LIST).alias("start"), day(LAST_LIST).alias("end"))
-        return price_list_calendar(span)
+        # One list a quarter, from the first order's on, as long as agreements get one.
+        ordered = F.col("o_orderdate").cast("date")
+        span = self.source("orders").agg(
+            F.trunc(F.min(ordered), "quarter").alias("start"),
+            F.least(F.trunc(F.max(ordered), "quarter"), day(LAST_LIST)).alias("end"),
+        )
+        return price_list_calendar(span.where("start <= end"))
 
     def _price_list_service(self) -> DataFrame:
-        # Spark sizes an unfolded array by its source, `part`. Keep it from taking
-        # this table for small enough to broadcast.
-        return build_price_list(self["service"], self["price_list"]).hint("merge")
+        return build_price_list(self["service"], self["price_list"])
 
     # --- agreements ---
 
@@ -296,6 +299,11 @@ class StarTables(Mapping):
             "l_returnflag",
         )
 
+    def dated_lines(self) -> DataFrame:
+        """Contract lines without a price, with the date of their assignment."""
+        created = self._created(F.col("start_date"), F.col("assignment_agreement_no"))
+        return self.lines().select(*self.LINE, created.alias("created_at"))
+
     def _priced(self) -> DataFrame:
         """Contract lines at list price, at base price where there is no list yet."""
         created = self._created(F.col("start_date"), F.col("assignment_agreement_no"))
@@ -391,7 +399,7 @@ class StarTables(Mapping):
     def events(self) -> DataFrame:
         """Documents and payments in the order they arrive, documents first on a day."""
         agreements = self["assignment_agreement"].select(*TABLES["assignment_agreement"].primary_key, "created_at")
-        documents = self["payment_document"].join(agreements, list(TABLES["assignment_agreement"].primary_key))
+        documents = null_safe_join(self["payment_document"], agreements, TABLES["assignment_agreement"].primary_key)
         columns = ["id_client", "cooperation_agreement_no"]
 
         def arrival(rank: int) -> Column:

@@ -110,9 +110,11 @@ service AS (
 ),
 price_list AS (
   SELECT creation_date, CAST(0.2 AS DOUBLE) AS nds, CAST(quarter(creation_date) * 5 AS INTEGER) AS extra_charge,
-         round(pow(CAST(1.02 AS DOUBLE), CAST(year(creation_date) - 1995 AS DOUBLE)), 4) AS inflation_rate
-  FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-04-01', INTERVAL 3 MONTH)) AS DATE)
-        AS creation_date)
+         round(pow(CAST(1.02 AS DOUBLE), CAST(year(creation_date) - since AS DOUBLE)), 4) AS inflation_rate
+  FROM (SELECT year(min(o_orderdate)) AS since, CAST(unnest(generate_series(
+          CAST(date_trunc('quarter', min(o_orderdate)) AS TIMESTAMP),
+          least(CAST(date_trunc('quarter', max(o_orderdate)) AS TIMESTAMP), TIMESTAMP '2001-04-01'),
+          INTERVAL 3 MONTH)) AS DATE) AS creation_date FROM orders)
 ),
 markup AS (
   SELECT * FROM (VALUES {markup}) AS m(client_type, factor)
@@ -246,8 +248,9 @@ LEFT JOIN (SELECT id_client, list(account_no) AS used FROM client_payments GROUP
   GROUP BY id_client
 ), lines_by_client AS (
   SELECT id_client, CAST(sum(uses) AS BIGINT) AS lines,
-         arg_min(name_service, {'rank': -uses, 'name': name_service}) AS favourite
-  FROM (SELECT id_client, id_service, count(*) AS uses FROM contract_service GROUP BY ALL) JOIN service USING (id_service)
+         arg_min(name_service, {'rank': -uses, 'name': name_service}) FILTER (name_service IS NOT NULL) AS favourite
+  FROM (SELECT id_client, id_service, count(*) AS uses FROM contract_service GROUP BY ALL)
+  LEFT JOIN service USING (id_service)
   GROUP BY id_client
 )""",
     )
@@ -360,9 +363,9 @@ BILLS = """bill_amounts AS (
          CAST(sum(amount) AS BIGINT) AS total_amount, created_at
   FROM bill_amounts GROUP BY id_client, created_at
 ), bill_documents AS (
-  SELECT d.id_payment_document, b.id_payment_bundle, d.assignment_agreement_no, d.cooperation_agreement_no,
-         d.id_client, d.amount
-  FROM bill_amounts d JOIN bill_bundles b USING (id_client, created_at)
+  SELECT id_payment_document, min(id_payment_document) OVER (PARTITION BY id_client, created_at) AS id_payment_bundle,
+         assignment_agreement_no, cooperation_agreement_no, id_client, amount
+  FROM bill_amounts
 )"""
 
 ALLOCATION = """owed AS (
@@ -387,8 +390,9 @@ ALLOCATION = """owed AS (
 ARRIVALS = """events AS (
   SELECT id_client, cooperation_agreement_no, 'DOCUMENT' AS kind, id_payment_document AS id, amount,
          created_at AS day
-  FROM payment_document JOIN assignment_agreement
-    USING (assignment_agreement_no, cooperation_agreement_no, id_client)
+  FROM (SELECT d.*, a.created_at FROM payment_document d JOIN assignment_agreement a
+        ON a.assignment_agreement_no = d.assignment_agreement_no
+        AND a.cooperation_agreement_no = d.cooperation_agreement_no AND a.id_client IS NOT DISTINCT FROM d.id_client)
   UNION ALL
   SELECT id_client, parent_cooperation_agreement_no, 'PAYMENT', id_payment_bundle, total_amount, created_at
   FROM payment_bundle
@@ -403,8 +407,9 @@ ARRIVALS = """events AS (
   FROM sums
 ), placed AS MATERIALIZED (
   SELECT id_client, cooperation_agreement_no, kind, id, amount,
-         CASE WHEN kind = 'DOCUMENT' THEN owed_to - amount ELSE coalesce(lag(paid_to) OVER w, 0) END AS s,
-         CASE WHEN kind = 'DOCUMENT' THEN owed_to ELSE paid_to END AS e
+         CASE WHEN id_client IS NULL THEN 0 WHEN kind = 'DOCUMENT' THEN owed_to - amount
+              ELSE coalesce(lag(paid_to) OVER w, 0) END AS s,
+         CASE WHEN id_client IS NULL THEN 0 WHEN kind = 'DOCUMENT' THEN owed_to ELSE paid_to END AS e
   FROM reach
   WINDOW w AS (PARTITION BY id_client, cooperation_agreement_no ORDER BY day, kind, id)
 )"""
@@ -523,6 +528,14 @@ def oracle_sql() -> dict[str, str]:
         "client_statistics": _client_statistics(),
         "manager_monthly": _manager_monthly(),
         "manager_monthly_calendar": _manager_monthly_calendar(),
+        "manager_months": _query(
+            """SELECT manager_number, m AS month, monthname(make_date(2000, CAST(m AS INTEGER), 1)) AS month_name, n AS amount,
+CAST(coalesce((n - before) // nullif(before, 0) * 100, 0) AS BIGINT) AS relative
+FROM (SELECT manager_number, CAST(month(start_date) AS INTEGER) AS m, count(*) AS n,
+        lag(count(*)) OVER (PARTITION BY manager_number ORDER BY month(start_date)) AS before
+      FROM cooperation_agreement WHERE start_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'
+      GROUP BY manager_number, month(start_date))"""
+        ),
         "debtors": _debtors(),
         "service_popularity": _query(
             """SELECT name_service, agreements, avg_uses, client_type, max_price, min_price
@@ -675,6 +688,53 @@ CAST(amount - (e - s) AS BIGINT) AS leftover FROM placed WHERE kind = 'PAYMENT'
                 ),
             )
         ),
+        "agreements_with_price_lists": _query(
+            """SELECT c.id_client, c.cooperation_agreement_no, c.start_date, p.creation_date, p.extra_charge, p.inflation_rate
+FROM cooperation_agreement c ASOF LEFT JOIN price_list p ON c.start_date >= p.creation_date"""
+        ),
+        "lines_priced_as_of": _query(
+            """SELECT d.id, d.id_service, d.assignment_agreement_no, d.cooperation_agreement_no, d.id_client, d.created_at,
+       d.client_type, p.creation_date, p.price
+FROM dated d ASOF LEFT JOIN price_list_service p
+  ON d.id_service = p.id_service AND d.client_type = p.client_type AND d.created_at >= p.creation_date""",
+            """dated AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_partkey AS id_service,
+         CAST(l_linenumber AS BIGINT) AS assignment_agreement_no, l_orderkey AS cooperation_agreement_no,
+         o_custkey AS id_client, CAST(o_orderdate AS DATE) + CAST(l_linenumber * 7 AS INTEGER) AS created_at, client_type
+  FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey LEFT JOIN client ON id_client = o_custkey
+)""",
+        ),
+        "agreements_in_payroll_months": _query(
+            """SELECT m.employee_number, m.month, c.id_client, c.cooperation_agreement_no,
+       CAST(least(coalesce(c.end_date, m.month_end), m.month_end) - greatest(c.start_date, m.month) AS INTEGER) AS days
+FROM cooperation_agreement c JOIN paid_months m ON c.lawyer_number = m.employee_number
+WHERE c.start_date < m.month_end AND (c.end_date IS NULL OR c.end_date > m.month)""",
+            """paid_months AS (
+  SELECT DISTINCT employee_number, CAST(date_trunc('month', payment_date) AS DATE) AS month,
+         CAST(date_trunc('month', payment_date) + INTERVAL 1 MONTH AS DATE) AS month_end
+  FROM outgoing_pay_document
+)""",
+        ),
+        "agreement_ledger": _query(
+            """SELECT a.assignment_agreement_no, a.cooperation_agreement_no, a.id_client, c.manager_number, c.start_date,
+       a.created_at, count(l.id) AS lines, CAST(coalesce(sum(l.price), 0) AS BIGINT) AS charged
+FROM assignment_agreement a JOIN cooperation_agreement c USING (id_client, cooperation_agreement_no)
+LEFT JOIN contract_service l ON l.assignment_agreement_no = a.assignment_agreement_no
+  AND l.cooperation_agreement_no = a.cooperation_agreement_no AND l.id_client = a.id_client
+GROUP BY ALL"""
+        ),
+        "agreement_balances": _query(
+            """SELECT c.id_client, c.cooperation_agreement_no, c.manager_number,
+  (SELECT count(*) FROM assignment_agreement x WHERE x.id_client = c.id_client
+     AND x.cooperation_agreement_no = c.cooperation_agreement_no) AS assignments,
+  (SELECT count(*) FROM contract_service x WHERE x.id_client = c.id_client
+     AND x.cooperation_agreement_no = c.cooperation_agreement_no) AS lines,
+  CAST(coalesce((SELECT sum(price) FROM contract_service x WHERE x.id_client = c.id_client
+     AND x.cooperation_agreement_no = c.cooperation_agreement_no), 0) AS BIGINT) AS charged,
+  CAST(coalesce((SELECT sum(amount) FROM payment_document x WHERE x.id_client = c.id_client
+     AND x.cooperation_agreement_no = c.cooperation_agreement_no), 0) AS BIGINT) AS billed
+FROM cooperation_agreement c"""
+        ),
         "insert_ignore": _query(
             "SELECT account_no, bik FROM employee UNION SELECT account_no, bik FROM income_pay_document"
         ),

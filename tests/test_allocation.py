@@ -211,3 +211,18 @@ def test_stream_state_is_written_anew_every_few_batches(spark, tmp_path, monkeyp
     for kind, agreement, _, amount in events:
         owed[agreement] = owed.get(agreement, 0) + (amount if kind == "DOCUMENT" else 0)
     assert {(r.id_client, r.cooperation_agreement_no): r.owed_before for r in last.collect()} == owed
+
+
+@pytest.mark.parametrize("blocks", [None, 4])
+def test_events_without_a_client_or_agreement_are_placed(spark, blocks):
+    events = [
+        (1, 1, "DOCUMENT", 1, 50, 1), (1, 1, "PAYMENT", 2, 80, 2), (None, 1, "DOCUMENT", 3, 9, 1),
+        (None, 1, "PAYMENT", 4, 7, 2), (1, None, "PAYMENT", 5, 6, 1), (None, None, "DOCUMENT", 6, 5, 1), (None, None, "PAYMENT", 7, 0, 3),
+    ]
+    log = spark.createDataFrame(events, arrivals.EVENT_SCHEMA)
+    before = spark.createDataFrame([(1, 1, 10, 10)], "id_client long, cooperation_agreement_no long, owed_before long, paid_before long")
+    for state in (None, before):
+        placed = arrivals.place_events(log, blocks, state)
+        assert placed.count() == len(events)
+        assert rows(arrivals.leftovers(placed), "id_payment_bundle", "leftover") == [(2, 30), (4, 7), (5, 6)]
+        assert rows(arrivals.allocations(placed, blocks), "id_payment_document", "id_payment_bundle", "allocated") == [(1, 2, 50)]

@@ -49,3 +49,19 @@ def test_update_bundle_totals(tables):
     updated = update_bundle_totals(unset, made.payment_document.where("id_payment_bundle <> 301"))
     # A bundle without documents keeps what it had.
     assert rows(updated, "id_payment_bundle", "total_amount") == [(101, 137), (102, 0), (301, -1)]
+
+
+def test_assignments_without_a_client_or_day_are_billed(tables):
+    t = tables(
+        assignment_agreement=(
+            "assignment_agreement_no cooperation_agreement_no id_client created_at",
+            [(1, 10, None, D(2000, 1, 1)), (2, 10, None, D(2000, 1, 1)), (1, 20, 5, None), (1, 30, 5, D(2000, 1, 1))],
+        ),
+        contract_service=("id assignment_agreement_no cooperation_agreement_no id_client price", [(1, 1, 20, 5, 8), (2, 1, 30, 5, 9)]),
+    )
+    number = F.col("cooperation_agreement_no") * 10 + F.col("assignment_agreement_no")
+    made = bill_agreements(t, number, F.col("id_client").cast("string"), F.lit("bank"))
+    assert rows(made.payment_document, "id_payment_document", "id_payment_bundle", "amount") == [
+        (101, 101, 0), (102, 101, 0), (201, 201, 8), (301, 301, 9),
+    ]
+    assert rows(made.payment_bundle, "id_payment_bundle", "total_amount") == [(101, 0), (201, 8), (301, 9)]

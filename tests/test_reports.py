@@ -73,6 +73,12 @@ def test_client_statistics(tables):
     ]
 
 
+def test_lines_of_an_unknown_service_count_but_have_no_name(tables):
+    lines = (LINES[0], LINES[1] + [(7 + i, 99, 2, 10, 1, 1) for i in range(5)])
+    ann = [r for r in reports.client_statistics(business(tables, contract_service=lines)).collect() if r.name == "Ann"][0]
+    assert (ann.services, ann.top_service) == (9, "advice")
+
+
 def test_average_rounds_half_up(tables):
     lines = (LINES[0], LINES[1] + [(7, 1, 2, 10, 1, 1)])
     t = business(tables, contract_service=lines, cooperation_agreement=(COOPERATIONS[0], COOPERATIONS[1][:1]))
