@@ -1,0 +1,61 @@
+"""Bloom filters as arrays of long words, built and asked with built-in functions.
+
+A key's 64-bit hash gives HASHES places of a filter; all of them are set for a key that is
+in. A filter of BITS_PER_KEY bits a key lets some one in a hundred others through. Filters
+are built by an aggregate, which sets bits before the shuffle, and reach the scan that
+asks them as one constant. So their size is checked: a set of more than `most_keys()` keys
+gets none.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HASHES = 4
+BITS_PER_KEY = 10
+# Bytes of one filter at most.
+MOST_BYTES = 16 << 20
+WORD = 64
+
+
+def most_keys() -> int:
+    return MOST_BYTES * 8 // BITS_PER_KEY
+
+
+def bits_for(keys: int) -> int:
+    """Bits of a filter for so many keys, whole words."""
+    return max(1, -(-keys * BITS_PER_KEY // WORD)) * WORD
+
+
+def _places(digest: Column, bits: Column) -> list[Column]:
+    low, high = digest.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(digest, 32)
+    return [(low + k * high + k * k) % bits for k in range(HASHES)]
+
+
+def build(hashes: DataFrame, bits: dict[int, int]) -> DataFrame:
+    """One row per filter: `filter` and its `words`, from rows of (filter, hash).
+
+    `bits` names the filters that are wanted and their sizes. One without rows is all 0.
+    """
+    spark = hashes.sparkSession
+    sizes = F.create_map(*[F.lit(x) for number, size in bits.items() for x in (number, size)])
+    empty = spark.range(1).select(F.explode(sizes).alias("filter", "size"))
+    empty = empty.select("filter", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("size") / WORD) - 1)).alias("word"), F.lit(0).cast("long").alias("bits"))
+    size = F.element_at(sizes, F.col("filter")).cast("long")
+    places = hashes.where(F.col("filter").isin(*bits)).select("filter", F.explode(F.array(*_places(F.col("hash"), size))).alias("place"))
+    # A shift by a column: 1 moved up by what is left of the place in its word.
+    bit = F.expr(f"shiftleft(1L, CAST(place % {WORD} AS INT))")
+    set_bits = places.select("filter", F.floor(F.col("place") / WORD).alias("word"), bit.alias("bits"))
+    words = set_bits.unionByName(empty).groupBy("filter", "word").agg(F.bit_or("bits").alias("bits"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"])
+    return words.groupBy("filter").agg(in_order.alias("words"))  # MOST_BYTES a filter
+
+
+def may_hold(words: Column, digest: Column, bits: int) -> Column:
+    """False only for keys that are not in the filter. `words` should be a constant or a scalar subquery."""
+    fits = F.lit(True)
+    for place in _places(digest, F.lit(bits).cast("long")):
+        word = F.get(words, F.floor(place / WORD).cast("int"))
+        fits = fits & (F.getbit(word, (place % WORD).cast("int")) == 1)
+    return fits

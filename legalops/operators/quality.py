@@ -3,36 +3,69 @@
 Every audit returns one row per rule: table_name, rule, failing_rows and the
 smallest key among the failing rows. A rule that holds has 0 failing rows.
 
-Each audit scans a table once for all its rules, and all tables meet in a single
-shuffle on (rule, key text), with copies of a key counted before it.
+Each audit scans a table once for all its rules. Keys meet in one shuffle as typed values,
+with copies of a key counted before it. References are asked of Bloom filters of their
+parents' keys in the scan, so that of the referring rows only those move that may be
+orphans.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from legalops.functions import bloom
 from legalops.model import TABLES, Table
-from legalops.sources.tables import Tables
+from legalops.session import shared_folder
+from legalops.sources.tables import Tables, stage
 
 RuleName = tuple[str, str]
 
 
-def _key_code(columns: Sequence[str]) -> str:
-    """SQL for a text that only equal keys share: each part with its length, NULL as a dash."""
-    parts = (f"coalesce(concat(length(CAST({c} AS STRING)), ':', CAST({c} AS STRING)), '-')" for c in columns)
-    return f"concat({', '.join(parts)})"
-
-
 def _key_text(columns: Sequence[str]) -> str:
     """SQL for a key as the findings show it."""
     parts = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in columns)
     return f"concat_ws('|', {parts})"
 
 
+# A key of any table as values of fixed columns: whole numbers and days, then texts.
+SLOTS = ("n1", "n2", "n3", "t1", "t2")
+
+
+def _slots(table: Table, columns: Sequence[str]) -> dict[str, tuple[str, str]]:
+    """For each column the slot that holds it and the column's type."""
+    numbers, texts, found = iter(SLOTS[:3]), iter(SLOTS[3:]), {}
+    for c in columns:
+        kind = table.schema[c].dataType.simpleString()
+        found[c] = (next(texts if kind == "string" else numbers), kind)
+    return found
+
+
+def _typed_key(table: Table, columns: Sequence[str]) -> str:
+    """SQL for the slots of a key, those it does not fill being NULL."""
+    held = {slot: f"unix_date({c})" if kind == "date" else c for c, (slot, kind) in _slots(table, columns).items()}
+    return ", ".join(f"CAST({held.get(s, 'NULL')} AS {'BIGINT' if s[0] == 'n' else 'STRING'}) AS {s}" for s in SLOTS)
+
+
+def _text_of_slots(table: Table, columns: Sequence[str]) -> str:
+    """SQL for a key as the findings show it, from its slots."""
+    held = _slots(table, columns).values()
+    parts = (f"coalesce(CAST({f'date_from_unix_date(CAST({s} AS INT))' if kind == 'date' else s} AS STRING), '')" for s, kind in held)
+    return f"concat_ws('|', {', '.join(parts)})"
+
+
+def _all_present(columns: Sequence[str]) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in columns)
+
+
+def _text_by_rule(texts: Sequence[str]) -> Column:
+    return F.expr("CASE i " + " ".join(f"WHEN {i} THEN {text}" for i, text in enumerate(texts)) + " END")
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -112,51 +145,100 @@ def audit_keys(t: Tables) -> DataFrame:
     failing_rows counts all rows of a repeated key.
     """
     rules: list[RuleName] = []
-    parts = []
+    parts, texts = [], []
     for name, table in TABLES.items():
         if name not in t:
             continue
-        keys = [(f"primary key ({', '.join(table.primary_key)})", _key_code(table.primary_key), table.primary_key)]
-        keys += [(f"unique ({c})", f"CASE WHEN {c} IS NOT NULL THEN {_key_code([c])} END", [c]) for c in table.unique]
+        keys = [(f"primary key ({', '.join(table.primary_key)})", "TRUE", table.primary_key)]
+        keys += [(f"unique ({c})", f"{c} IS NOT NULL", (c,)) for c in table.unique]
         structs = (
-            f"struct({len(rules) + i} AS i, {code} AS code, {_key_text(columns)} AS key)"
-            for i, (_, code, columns) in enumerate(keys)
+            f"CASE WHEN {counts} THEN struct({len(rules) + i} AS i, {_typed_key(table, columns)}) END"
+            for i, (_, counts, columns) in enumerate(keys)
         )
-        parts.append(_unfold(t[name], structs))
+        parts.append(t[name].selectExpr(f"inline(array_compact(array({', '.join(structs)})))"))
         rules += [(name, rule) for rule, _, _ in keys]
-    present = _union(parts).where(F.col("code").isNotNull())
-    counted = present.groupBy("i", "code").agg(F.first("key").alias("key"), F.count("*").alias("rows"))
-    return _findings(counted.where(F.col("rows") > 1), rules)
+        texts += [_text_of_slots(table, columns) for _, _, columns in keys]
+    counted = _union(parts).groupBy("i", *SLOTS).agg(F.count("*").alias("rows"))
+    repeated = counted.where(F.col("rows") > 1).select("i", _text_by_rule(texts).alias("key"), "rows")
+    return _findings(repeated, rules)
+
+
+class Reference(NamedTuple):
+    name: str
+    parent: str
+    columns: tuple[str, ...]
+    parent_columns: tuple[str, ...]
+
+
+def possible_orphans(t: Tables, references: Sequence[Reference]) -> tuple[DataFrame, DataFrame]:
+    """Keys that may refer to no row, and the keys of all parents, both staged.
+
+    The first has i (the number of the reference), SLOTS and how many rows hold the key;
+    it lacks only keys that a parent has. The second has `filter`, the number of the
+    parent's key, and SLOTS. A parent of more keys than a filter may have gets none: then
+    all keys that refer to it are in the first, each once.
+    """
+    spark = next(iter(t.values())).sparkSession
+    numbers: dict[tuple, int] = {}
+    for r in references:
+        numbers.setdefault((r.parent, r.parent_columns), len(numbers))
+    parents = [
+        t[parent].where(_all_present(columns)).selectExpr(f"{number} AS filter", *_typed_key(TABLES[parent], columns).split(", "))
+        for (parent, columns), number in numbers.items()
+    ]
+    held = stage(_union(parents), shared_folder(spark, "parent-keys"))
+    digest = F.xxhash64(*SLOTS)
+
+    counts = {r["filter"]: r["n"] for r in held.groupBy("filter").agg(F.count("*").alias("n")).collect()}
+    bits = {f: bloom.bits_for(counts.get(f, 0)) for f in numbers.values() if counts.get(f, 0) <= bloom.most_keys()}
+    filters = None
+    if bits:
+        filters = stage(bloom.build(held.select("filter", digest.alias("hash")), bits), shared_folder(spark, "filters"))
+
+    parts = []
+    for name in TABLES:
+        own = [(i, r) for i, r in enumerate(references) if r.name == name]
+        if not own:
+            continue
+        keys = []
+        for i, r in own:
+            key = F.expr(f"struct({i} AS i, {_typed_key(TABLES[name], r.columns)})")
+            number = numbers[r.parent, r.parent_columns]
+            wanted = F.expr(_all_present(r.columns))
+            if number in bits:
+                words = filters.where(F.col("filter") == number).select("words").scalar()
+                wanted = wanted & ~bloom.may_hold(words, F.xxhash64(*[key[s] for s in SLOTS]), bits[number])
+            keys.append(F.when(wanted, key))
+        # One pass over the table for all its references.
+        parts.append(t[name].select(F.inline(F.array_compact(F.array(*keys)))))
+    possible = _union(parts).groupBy("i", *SLOTS).agg(F.count("*").alias("rows"))
+    possible = possible.withColumn("filter", F.expr("CASE i " + " ".join(f"WHEN {i} THEN {numbers[r.parent, r.parent_columns]}" for i, r in enumerate(references)) + " END"))
+    return stage(possible, shared_folder(spark, "possible-orphans")), held
 
 
 def audit_orphans(t: Tables) -> DataFrame:
     """References that point to no row; a NULL in any part passes.
 
-    A reference's values and its parent's keys are grouped together: a value that no
-    parent row shares is an orphan. A value that many rows hold is one row by then.
+    What the filters leave, orphans and about one in a hundred others, is looked up among
+    the parents' keys. The few that are left are small enough for Spark to broadcast, by
+    its own check of what was written; the parents' keys then do not move.
     """
-    rules: list[RuleName] = []
-    structs: dict[str, list[str]] = {name: [] for name in TABLES}
-    for name, table in TABLES.items():
-        for fk in table.foreign_keys:
-            if name not in t or fk.parent not in t:
-                continue
-            i = len(rules)
-            all_present = " AND ".join(f"{c} IS NOT NULL" for c in fk.columns)
-            value = f"CASE WHEN {all_present} THEN {_key_code(fk.columns)} END"
-            structs[name].append(f"struct({i} AS i, {value} AS code, {_key_text(fk.columns)} AS key, FALSE AS is_parent)")
-            structs[fk.parent].append(
-                f"struct({i} AS i, {_key_code(fk.parent_columns)} AS code, {_key_text(fk.parent_columns)} AS key, TRUE AS is_parent)"
-            )
-            rules.append((name, f"({', '.join(fk.columns)}) references {fk.parent}"))
-    parts = [_unfold(t[name], own) for name, own in structs.items() if own]
-    grouped = (
-        _union(parts)
-        .where(F.col("code").isNotNull())
-        .groupBy("i", "code")
-        .agg(F.first("key").alias("key"), F.count(F.when(~F.col("is_parent"), 1)).alias("rows"), F.max("is_parent").alias("has_parent"))
-    )
-    return _findings(grouped.where(~F.col("has_parent")), rules)
+    references = [
+        Reference(name, fk.parent, fk.columns, fk.parent_columns)
+        for name, table in TABLES.items()
+        for fk in table.foreign_keys
+        if name in t and fk.parent in t
+    ]
+    rules = [(r.name, f"({', '.join(r.columns)}) references {r.parent}") for r in references]
+    if not references:
+        return audit_rows(t).where("false")
+    possible, parents = possible_orphans(t, references)
+    same = [possible[c].eqNullSafe(parents[c]) for c in ("filter", *SLOTS)]
+    found = parents.join(possible, same).select(possible["i"], *[possible[s] for s in SLOTS]).distinct()
+    again = [possible[c].eqNullSafe(found[c]) for c in ("i", *SLOTS)]
+    texts = [_text_of_slots(TABLES[r.name], r.columns) for r in references]
+    orphans = possible.join(found, again, "left_anti").select("i", _text_by_rule(texts).alias("key"), "rows")
+    return _findings(orphans, rules)
 
 
 def audit(t: Tables) -> DataFrame:

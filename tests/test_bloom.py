@@ -1,0 +1,60 @@
+"""Bloom filters, and the audit that asks them."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from legalops.functions import bloom
+from legalops.operators import quality
+from tests.conftest import rows
+
+
+def test_a_filter_holds_its_keys_and_few_others(spark):
+    n = 5000
+    keys = spark.range(n).select(F.lit(1).alias("filter"), F.xxhash64("id").alias("hash"))
+    keys = keys.union(keys.select(F.lit(2), F.xxhash64("hash")).limit(10))
+    bits = {1: bloom.bits_for(n), 2: bloom.bits_for(10), 3: bloom.bits_for(0)}
+    made = bloom.build(keys, bits).collect()
+    assert {r["filter"]: len(r["words"]) for r in made} == {k: b // 64 for k, b in bits.items()}
+    words = F.lit([r["words"] for r in made if r["filter"] == 1][0]).cast("array<long>")
+    asked = spark.range(2 * n).select("id", bloom.may_hold(words, F.xxhash64("id"), bits[1]).alias("maybe"))
+    counted = {r["inside"]: (r["n"], r["yes"]) for r in asked.groupBy((F.col("id") < n).alias("inside")).agg(F.count("*").alias("n"), F.count_if("maybe").alias("yes")).collect()}
+    assert counted[True] == (n, n)
+    assert counted[False][1] < 0.03 * n
+    nothing = F.lit([r["words"] for r in made if r["filter"] == 3][0]).cast("array<long>")
+    assert spark.range(100).where(bloom.may_hold(nothing, F.xxhash64("id"), bits[3])).count() == 0
+
+
+def _orphaned(tables):
+    lines = [(i, 1, 1, 10, i % 300, 5) for i in range(3000)]  # ten lines of each service, 100 services unknown
+    return tables(
+        service=("id_service name_service price", [(i, str(i), 1) for i in range(200)]),
+        contract_service=("id id_service assignment_agreement_no cooperation_agreement_no id_client price", [(i, s, 1, 10, 7, p) for i, _, _, _, s, p in lines]),
+        assignment_agreement=("assignment_agreement_no cooperation_agreement_no id_client", [(1, 10, 7)]),
+    )
+
+
+def _found(t):
+    return {(r["table_name"], r["rule"]): (r["failing_rows"], r["sample_key"]) for r in quality.audit_orphans(t).where("failing_rows > 0").collect()}
+
+
+def test_only_possible_orphans_move(spark, tables):
+    t = _orphaned(tables)
+    reference = quality.Reference("contract_service", "service", ("id_service",), ("id_service",))
+    possible, parents = quality.possible_orphans(t, [reference])
+    assert parents.count() == 200
+    held = rows(possible, "n1", "rows")
+    assert {(k, 10) for k in range(200, 300)} <= set(held)
+    # 100 orphans, and of 200 known services those that the filter lets through.
+    assert len(held) <= 110
+    assert _found(t)["contract_service", "(id_service) references service"] == (1000, "200")
+
+
+def test_parents_beyond_a_filter_are_looked_up_whole(spark, tables, monkeypatch):
+    t = _orphaned(tables)
+    want = _found(t)
+    monkeypatch.setattr(bloom, "MOST_BYTES", 16)
+    assert bloom.most_keys() == 12
+    assert _found(t) == want
+    reference = quality.Reference("contract_service", "service", ("id_service",), ("id_service",))
+    assert quality.possible_orphans(t, [reference])[0].count() == 300
