@@ -5,11 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legalops.model import CASCADE, RESTRICT, SET_NULL, TABLES
-from legalops.sources.tables import Tables
+from legalops.session import shared_folder
+from legalops.sources import versions
+from legalops.sources.tables import Tables, stage
 
 
 class Purge(NamedTuple):
@@ -37,26 +39,32 @@ def _parents_first() -> list[str]:
     return order
 
 
+def _referred_columns(name: str, t: Tables) -> list[str]:
+    """The columns of a table that other given tables refer to."""
+    found = [c for other in t for fk in TABLES[other].foreign_keys if fk.parent == name for c in fk.parent_columns]
+    return list(dict.fromkeys(found))
+
+
 def cascade_purge(t: Tables, root: str, doomed: DataFrame) -> Purge:
     """The tables after deleting `doomed` rows of `root` and all that hangs on them.
 
     `doomed` holds key values of `root`. Rows under a cascading reference go too,
     set-null references to deleted rows become NULL, and rows left under a plain
     reference block the delete. `effects` counts them (table_name, action, rows),
-    action being removed, emptied or blocking. Write the tables only if nothing blocks.
+    action being removed, emptied or blocking. Write the tables only if nothing blocks;
+    `write_purge` looks.
+
+    Tables are walked from parents to children. The keys that go from a table which others
+    refer to are written when it is reached, and its children are marked from the written
+    keys, so the plan of a table holds no more than its own references, however deep it
+    lies. Removed rows and rows after it add up to the rows before.
     """
+    spark = doomed.sparkSession
     key = TABLES[root].primary_key
-    gone: dict[str, DataFrame] = {root: doomed}
+    gone: dict[str, DataFrame] = {root: stage(doomed.select(*key).distinct(), shared_folder(spark, f"doomed-{root}"))}
     after: dict[str, DataFrame] = {}
     effects: list[DataFrame] = []
 
-    def record(name: str, action: str, rows: DataFrame) -> None:
-        effects.append(
-            rows.agg(F.count("*").alias("rows")).select(
-                F.lit(name).alias("table_name"), F.lit(action).alias("action"), "rows"
-            )
-        )
-
     for name in _parents_first():
         if name not in t:
             continue
@@ -70,23 +78,53 @@ def cascade_purge(t: Tables, root: str, doomed: DataFrame) -> Purge:
             rows = _flagged(rows, gone[fk.parent], fk.columns, fk.parent_columns, f"_hit{i}")
             flags[fk.on_delete].append((f"_hit{i}", fk))
         if name == root:
-            rows = _flagged(rows, doomed, key, key, "_doomed")
+            rows = _flagged(rows, gone[root], key, key, "_doomed")
             flags[CASCADE].append(("_doomed", None))
 
-        kept = rows
+        hit = lambda kind: F.coalesce(*[F.col(flag) for flag, _ in flags[kind]], F.lit(False))
+        # One pass counts all that happens to the table.
+        counts = []
+        removed = F.lit(False)
         if flags[CASCADE]:
-            removed = F.coalesce(*[F.col(flag) for flag, _ in flags[CASCADE]], F.lit(False))
-            gone[name] = rows.where(removed).select(*columns)
-            kept = rows.where(~removed)
-            record(name, "removed", gone[name])
-        for flag, _ in flags[SET_NULL]:
-            record(name, "emptied", kept.where(F.col(flag)))
+            removed = hit(CASCADE)
+            counts.append(("removed", removed))
+        counts += [("emptied", ~removed & F.coalesce(flag, F.lit(False))) for flag, _ in flags[SET_NULL]]
         if flags[RESTRICT]:
             # A row that two references hold back blocks once.
-            record(name, "blocking", kept.where(F.coalesce(*[F.col(flag) for flag, _ in flags[RESTRICT]])))
+            counts.append(("blocking", ~removed & hit(RESTRICT)))
+        found = rows.agg(*[F.count_if(happens).alias(f"_{i}") for i, (_, happens) in enumerate(counts)])
+        unfolded = F.inline(F.array(*[F.struct(F.lit(action).alias("action"), F.col(f"_{i}").alias("rows")) for i, (action, _) in enumerate(counts)]))
+        effects.append(found.select(F.lit(name).alias("table_name"), unfolded))
+
+        if flags[CASCADE]:
+            referred = _referred_columns(name, t)
+            if referred:
+                keys = rows.where(removed).select(*dict.fromkeys([*referred, *(key if name == root else ())])).distinct()
+                gone[name] = stage(keys, shared_folder(spark, f"gone-{name}"))
+            rows = rows.where(~removed)
         emptied = {c: flag for flag, fk in flags[SET_NULL] for c in fk.columns}
-        after[name] = kept.select(
+        after[name] = rows.select(
             *[F.when(F.col(emptied[c]).isNull(), F.col(c)).alias(c) if c in emptied else F.col(c) for c in columns]
         )
     counted = reduce(DataFrame.unionByName, effects).groupBy("table_name", "action")
     return Purge(after, counted.agg(F.sum("rows").alias("rows")))
+
+
+def write_purge(spark: SparkSession, store: str, root: str, doomed: DataFrame) -> DataFrame:
+    """Purge the current version of a store (`sources.versions`) and publish all changed tables at once.
+
+    Nothing is published where a reference blocks: that raises a ValueError that names the
+    tables. Readers see the tables before the purge or all of those after it. Gives the
+    effects.
+    """
+    since = versions.current_version(spark, store)
+    purge = cascade_purge(versions.read_current(spark, store, since), root, doomed)
+    effects = stage(purge.effects, shared_folder(spark, "effects"))
+    found = effects.where("rows > 0").collect()  # at most three rows a table
+    blocked = sorted(r["table_name"] for r in found if r["action"] == "blocking")
+    if blocked:
+        raise ValueError(f"rows of {', '.join(blocked)} refer to {root} rows to be deleted")
+    changed = {r["table_name"] for r in found}
+    if changed:
+        versions.replace_tables({name: purge.tables[name] for name in changed}, store, since)
+    return effects

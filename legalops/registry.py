@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from legalops.operators import allocation, arrivals, billing, payroll, pricing, purge, quality, temporal
 from legalops.plans import reports
 from legalops.session import shared_folder
-from legalops.sources import buckets, tables
+from legalops.sources import buckets, tables, versions
 from legalops.sources.star import (
     AS_OF,
     LAST_LIST,
@@ -117,6 +117,25 @@ def _reloaded_bundles(t: StarTables) -> DataFrame:
     return tables.read_table(t.spark, root, "payment_bundle")
 
 
+def _updated_incomes(t: StarTables) -> DataFrame:
+    """Incoming payments stored by month, those since April 2001 then doubled in place."""
+    root, name = shared_folder(t.spark, "incomes"), "income_pay_document"
+    tables.append_rows(t[name], root, name)
+    since = tables.read_table(t.spark, root, name).where(F.col("payment_date") >= F.lit(LAST_LIST))
+    updates = since.select("id_income_pay_document", "payment_date", (F.col("amount") * 2).alias("amount"))
+    tables.update_in_place(t.spark, root, name, updates, ["id_income_pay_document", "payment_date"], ["amount"])
+    return tables.read_table(t.spark, root, name).drop(tables.MONTH)
+
+
+def _published_purge(t: StarTables) -> DataFrame:
+    """Contract lines of the version that a purge of withdrawn services published."""
+    store = shared_folder(t.spark, "store")
+    versions.replace_tables({name: t[name] for name in ("service", "price_list", "price_list_service", "contract_service")}, store)
+    withdrawn = versions.read_current(t.spark, store)["service"].where(F.col("service_description") == "ECONOMY")
+    purge.write_purge(t.spark, store, "service", withdrawn)
+    return versions.read_current(t.spark, store)["contract_service"]
+
+
 def _dated_agreements(t: StarTables) -> DataFrame:
     """Agreements with the price list in force when they start."""
     agreements = t["cooperation_agreement"].select("id_client", "cooperation_agreement_no", "start_date")
@@ -265,6 +284,8 @@ def queries() -> dict[str, Query]:
         "agreements_in_payroll_months": on(_agreements_in_payroll_months),
         "agreement_ledger": on(lambda t: buckets.agreement_ledger(_bucketed(t))),
         "agreement_balances": on(lambda t: buckets.agreement_balances(_bucketed(t))),
+        "incomes_updated_in_place": on(_updated_incomes),
+        "lines_after_published_purge": on(_published_purge),
         "insert_ignore": on(_insert_ignore),
         "upsert_totals": on(_upsert),
     }

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from legalops.functions.dates import day, month_start
 from legalops.model import KIND_PARTITIONS, MONTH_PARTITIONS, TABLES
+from legalops.session import shared_folder
 
 Tables = Mapping[str, DataFrame]
 
@@ -25,11 +26,15 @@ MONTH = "month"
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan one table with its declared schema; month-stored tables also have `month`."""
+    return read_folder(spark, f"{root}/{name}", name)
+
+
+def read_folder(spark: SparkSession, folder: str, name: str) -> DataFrame:
     schema = T.StructType(list(TABLES[name].schema.fields))
     if name in MONTH_PARTITIONS:
         schema = schema.add(MONTH, T.DateType())
     # Folder columns come last in a scan.
-    return spark.read.schema(schema).parquet(f"{root}/{name}").select(*schema.names)
+    return spark.read.schema(schema).parquet(folder).select(*schema.names)
 
 
 def read_tables(spark: SparkSession, root: str, names: Sequence[str] = tuple(TABLES)) -> dict[str, DataFrame]:
@@ -51,6 +56,11 @@ def _write(df: DataFrame, folder: str, name: str, mode: str, options: dict[str,
     writer.parquet(folder)
 
 
+def write_folder(df: DataFrame, folder: str, name: str) -> None:
+    """Write a table's rows to a folder of its own, in place of what is there."""
+    _write(df, folder, name, "overwrite", {"partitionOverwriteMode": "static"})
+
+
 def append_rows(df: DataFrame, root: str, name: str) -> None:
     """Add rows to a table in bulk."""
     _write(df, f"{root}/{name}", name, "append", {})
@@ -60,11 +70,12 @@ def reload_table(df: DataFrame, root: str, name: str) -> None:
     """Empty a table and load it again.
 
     The rows are written beside the table and then take its place, so `df` may read the
-    table itself, and a load that fails leaves it as it was.
+    table itself, and a load that fails leaves it as it was. For a moment there is no
+    table: where readers must not notice, use `versions.replace_tables`.
     """
     load = uuid.uuid4().hex
     fresh, gone = f"{root}/_{name}-new-{load}", f"{root}/_{name}-old-{load}"
-    _write(df, fresh, name, "overwrite", {"partitionOverwriteMode": "static"})
+    write_folder(df, fresh, name)
     _swap(df.sparkSession, f"{root}/{name}", fresh, gone)
 
 
@@ -130,6 +141,47 @@ def update_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str], colu
     )
 
 
+def update_in_place(
+    spark: SparkSession, root: str, name: str, updates: DataFrame, keys: Sequence[str], columns: Sequence[str]
+) -> list[dt.date | None]:
+    """Set `columns` of a month-stored table's rows from the updates with their keys.
+
+    As `update_rows`, but only folders with a row to update are written again; the files
+    of the others stay. The rows' months are found first, by keys alone: where the date
+    that names the folder is a key, from the updates themselves, else from a scan of the
+    key columns. Updates without a row change nothing. Gives the months written.
+    """
+    if name not in MONTH_PARTITIONS:
+        raise ValueError(f"{name} is not stored by month")
+    date = MONTH_PARTITIONS[name]
+    inside = [date, *KIND_PARTITIONS.get(name, ())]
+    if set(columns) & {*inside, *keys}:
+        raise ValueError("keys and what names a folder cannot be updated")
+    table = read_table(spark, root, name)
+    parts = [MONTH, *KIND_PARTITIONS.get(name, ())]
+    wanted = updates.select(*keys).distinct()
+    if date in keys:
+        # The updates' own months prune the scan.
+        months = [r[0] for r in wanted.select(month_start(F.col(date))).distinct().collect()]
+        table = table.where(F.col(MONTH).isin([m for m in months if m is not None]))
+    # At most one row for each folder of the table.
+    touched = [tuple(r) for r in table.select(*keys, *[F.col(p).alias(f"_part{i}") for i, p in enumerate(parts)]).join(wanted, list(keys), "left_semi").select(*[f"_part{i}" for i in range(len(parts))]).distinct().collect()]
+    if not touched:
+        return []
+    in_folder = F.lit(False)
+    for values in touched:
+        here = F.lit(True)
+        for part, value in zip(parts, values):
+            here = here & F.col(part).eqNullSafe(F.lit(value))
+        in_folder = in_folder | here
+    fresh = update_rows(table.where(in_folder), updates, keys, columns)
+    # What is read is written over, so the new rows are staged first.
+    fresh = stage(fresh.drop(MONTH), shared_folder(spark, f"update-{name}"))
+    replace_months(fresh, root, name)
+    spark.catalog.refreshByPath(f"{root}/{name}")
+    return sorted({values[0] for values in touched}, key=lambda m: (m is not None, m))
+
+
 def stage(df: DataFrame, folder: str) -> DataFrame:
     """Write a step to a shared folder and go on from the written files."""
     df.write.mode("overwrite").parquet(folder)

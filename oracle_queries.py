@@ -688,6 +688,11 @@ CAST(amount - (e - s) AS BIGINT) AS leftover FROM placed WHERE kind = 'PAYMENT'
                 ),
             )
         ),
+        "incomes_updated_in_place": _query(
+            """SELECT * REPLACE (CASE WHEN payment_date >= DATE '2001-04-01' THEN 2 * amount ELSE amount END AS amount)
+FROM income_pay_document"""
+        ),
+        "lines_after_published_purge": _query(f"SELECT * FROM contract_service WHERE NOT {withdrawn}"),
         "agreements_with_price_lists": _query(
             """SELECT c.id_client, c.cooperation_agreement_no, c.start_date, p.creation_date, p.extra_charge, p.inflation_rate
 FROM cooperation_agreement c ASOF LEFT JOIN price_list p ON c.start_date >= p.creation_date"""
