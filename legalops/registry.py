@@ -24,6 +24,7 @@ from legalops.sources.star import (
 )
 from legalops.streaming import allocation as streaming_allocation
 from legalops.streaming import prices as streaming_prices
+from legalops.streaming.sink import read_sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,7 +193,7 @@ def _stream_prices(t: StarTables, sink: str) -> DataFrame:
     out = shared_folder(t.spark, "checked-lines")
     lines = ArrivingLines(t.spark, t.sf_dir).staged_lines()
     streaming_prices.check_arriving_lines(lines, t, out, f"{out}/checkpoint", once=True).awaitTermination()
-    return t.spark.read.parquet(f"{out}/{sink}").drop("batch_id")
+    return read_sinks(t.spark, out, [sink])[sink].drop("batch_id")
 
 
 def _staged_events(t: StarTables) -> DataFrame:
@@ -216,6 +217,26 @@ def _stream_placed(t: StarTables) -> DataFrame:
     return t.spark.read.schema(arrivals.PLACED_SCHEMA).option("basePath", out).parquet(out)
 
 
+LATENESS = 30
+
+
+def _late_placed(t: StarTables) -> DataFrame:
+    """As `_stream_placed`, for a log that comes in the wrong order.
+
+    An event comes up to LATENESS after those that should follow it, as a hash decides.
+    """
+    log, arrived, out = _staged_events(t), shared_folder(t.spark, "events"), shared_folder(t.spark, "arrivals")
+    log = tables.stage(log.withColumn("comes", F.col("arrival") + F.pmod(F.xxhash64("kind", "id"), F.lit(LATENESS))), shared_folder(t.spark, "comes"))
+    cuts = sorted(set(log.approxQuantile("comes", [1 / 3, 2 / 3], 0.01)))
+    comes = F.col("comes")
+    for after, upto in zip([None, *cuts], [*cuts, None]):
+        since = F.lit(True) if after is None else comes > after
+        log.where(since if upto is None else since & (comes <= upto)).drop("comes").write.mode("append").parquet(arrived)
+        arriving = t.spark.readStream.schema(arrivals.EVENT_SCHEMA).parquet(arrived)
+        streaming_allocation.record_arrivals(arriving, out, f"{out}-checkpoint", once=True, lateness=LATENESS).awaitTermination()
+    return tables.stage(streaming_allocation.placed_so_far(t.spark, out), shared_folder(t.spark, "placed"))
+
+
 def queries() -> dict[str, Query]:
     on = _on_tables
     return {
@@ -256,6 +277,7 @@ def queries() -> dict[str, Query]:
         "arrival_allocations": on(lambda t: arrivals.allocations(_placed(t))),
         "arrival_leftovers": on(lambda t: arrivals.leftovers(arrivals.place_events(_staged_events(t)))),
         "stream_allocations": on(lambda t: arrivals.allocations(_stream_placed(t))),
+        "late_allocations": on(lambda t: arrivals.allocations(_late_placed(t))),
         "audit_keys": on(quality.audit_keys),
         "audit_nulls": on(quality.audit_nulls),
         "audit_orphans": on(quality.audit_orphans),

@@ -7,6 +7,12 @@ started from the state of the batch's agreements. What a batch changed is writte
 its number, beside the events it placed; a batch that runs again reads states of earlier
 batches only, so it writes the same rows.
 
+Events may come late. With a lateness, an event waits until the stream is that much past
+its arrival: the events of a batch that need not wait any longer, and those held back by
+batches before it, are placed together in the order of arrival. What still waits is
+written under the batch's number. An event that comes later than that cannot be placed in
+its order; it is kept in a folder of its own.
+
 State rows are appended, one per agreement and batch. Every COMPACT_EVERY batches the
 latest state of every agreement is written anew, so that a batch reads one full state
 and at most that many changes.
@@ -21,9 +27,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from legalops.operators.allocation import AGREEMENT
-from legalops.operators.arrivals import DOCUMENT, PLACED_SCHEMA, STATE, place_events
+from legalops.operators.arrivals import DOCUMENT, EVENT_SCHEMA, PLACED_SCHEMA, STATE, place_events
 from legalops.sources.tables import stage
-from legalops.streaming.sink import BATCH, start, write_batch
+from legalops.streaming.sink import BATCH, last_complete, mark_complete, start, write_batch
 
 STATE_SCHEMA = "id_client long, cooperation_agreement_no long, owed_before long, paid_before long"
 COMPACT_EVERY = 16
@@ -84,12 +90,67 @@ def _changed(placed: DataFrame, before: DataFrame | None) -> DataFrame:
     )
 
 
-def record_arrivals(events: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Append the placed events to the log in `out`; the agreements' state is kept beside it."""
+def _waiting(spark: SparkSession, out: str, batch_id: int) -> tuple[DataFrame, int | None]:
+    """The events that wait after a batch, and how far the stream had come then: all before that are placed."""
+    if batch_id < 0:
+        return spark.createDataFrame([], EVENT_SCHEMA), None
+    held = spark.read.schema(EVENT_SCHEMA).parquet(_folder(f"{out}-state", "waiting", batch_id))
+    mark = spark.read.schema("placed_to long").parquet(_folder(f"{out}-state", "marks", batch_id)).first()
+    return held, mark["placed_to"]
+
+
+def _release(batch: DataFrame, out: str, batch_id: int, lateness: int) -> DataFrame:
+    """The events to be placed now. Writes those that wait on, those too late, and how far the stream is."""
+    spark, state = batch.sparkSession, f"{out}-state"
+    held, placed_to = _waiting(spark, out, batch_id - 1)
+    batch = stage(batch.select(*held.columns), f"{state}/batch")
+    arrival = F.col("arrival")
+    # An event without an arrival comes before all others, and so is late for everything but the first batch.
+    late = F.coalesce(arrival <= F.lit(placed_to), F.lit(placed_to is not None)) if placed_to is not None else F.lit(False)
+    write_batch(batch.where(late), f"{out}-late", batch_id)
+    newest = batch.agg(F.max("arrival")).first()[0]
+    reached = [x for x in (placed_to, None if newest is None else newest - lateness) if x is not None]
+    now = max(reached, default=None)
+    known = held.unionByName(batch.where(~late))
+    due = F.coalesce(arrival <= F.lit(now), F.lit(True)) if now is not None else arrival.isNull()
+    stage(known.where(~due), _folder(state, "waiting", batch_id))
+    mark = spark.range(1).select(F.lit(now).cast("long").alias("placed_to"))
+    stage(mark, _folder(state, "marks", batch_id))
+    return known.where(due)
+
+
+def placed_so_far(spark: SparkSession, out: str) -> DataFrame:
+    """The log in `out` and the events that still wait, placed as if no more came before them."""
+    last = last_complete(spark, out)
+    log = spark.read.schema(f"{PLACED_SCHEMA}, {BATCH} long").option("basePath", out).parquet(out)
+    log = log.where(F.col(BATCH) <= last).drop(BATCH)
+    held, _ = _waiting(spark, out, last)
+    rest = place_events(held, before=state_before(spark, f"{out}-state", last + 1, of=held))
+    return log.unionByName(rest)
+
+
+def late_events(spark: SparkSession, out: str) -> DataFrame:
+    """Events that came too late to be placed in their order, with their batch."""
+    return spark.read.schema(f"{EVENT_SCHEMA}, {BATCH} long").option("basePath", f"{out}-late").parquet(f"{out}-late")
+
+
+def record_arrivals(
+    events: DataFrame, out: str, checkpoint: str, once: bool = False, lateness: int | None = None
+) -> StreamingQuery:
+    """Append the placed events to the log in `out`; the agreements' state is kept beside it.
+
+    Without `lateness` every event is placed in the batch it comes in. With it, events may
+    come in any order within that much: one with arrival a is placed in its order if
+    nothing of a + lateness or later came before it. Others are `late_events`.
+    """
     state = f"{out}-state"
 
     def place(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if lateness is not None:
+            if batch_id <= last_complete(spark, out):
+                return
+            batch = _release(batch, out, batch_id, lateness)
         before = state_before(spark, state, batch_id, of=batch)
         if before is not None:
             before = stage(before, f"{state}/before")
@@ -100,5 +161,7 @@ def record_arrivals(events: DataFrame, out: str, checkpoint: str, once: bool = F
             earlier = state_before(spark, state, batch_id)
             whole = _latest(earlier.unionByName(_read(spark, state, "changes", batch_id, batch_id + 1)))
             stage(whole.drop(BATCH), _folder(state, "full", batch_id))
+        if lateness is not None:
+            mark_complete(spark, out, batch_id)
 
     return start(events, place, checkpoint, once)

@@ -639,6 +639,14 @@ WHERE total_amount - coalesce(used, 0) > 0""",
             """SELECT id_client, cooperation_agreement_no, d.id AS id_payment_document, p.id AS id_payment_bundle,
 CAST(least(d.e, p.e) - greatest(d.s, p.s) AS BIGINT) AS allocated
 FROM placed_documents d JOIN placed_payments p USING (id_client, cooperation_agreement_no)
+WHERE least(d.e, p.e) > greatest(d.s, p.s)""",
+            ARRIVALS,
+            SIDES,
+        ),
+        "late_allocations": _query(
+            """SELECT id_client, cooperation_agreement_no, d.id AS id_payment_document, p.id AS id_payment_bundle,
+CAST(least(d.e, p.e) - greatest(d.s, p.s) AS BIGINT) AS allocated
+FROM placed_documents d JOIN placed_payments p USING (id_client, cooperation_agreement_no)
 WHERE least(d.e, p.e) > greatest(d.s, p.s)""",
             ARRIVALS,
             SIDES,
