@@ -4,29 +4,24 @@ Every audit returns one row per rule: table_name, rule, failing_rows and the
 smallest key among the failing rows. A rule that holds has 0 failing rows.
 
 Each audit scans a table once for all its rules. Keys meet in one shuffle as typed values,
-with copies of a key counted before it. References are asked of Bloom filters of their
-parents' keys in the scan, so that of the referring rows only those move that may be
-orphans.
+with copies of a key counted before it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legalops.functions import bloom
 from legalops.model import TABLES, Table
-from legalops.session import shared_folder
-from legalops.sources.tables import Tables, stage
+from legalops.sources.tables import Tables
 
 RuleName = tuple[str, str]
 
 
-def _key_text(columns: Sequence[str]) -> str:
+def key_text(columns: Sequence[str]) -> str:
     """SQL for a key as the findings show it."""
     parts = ", ".join(f"coalesce(CAST({c} AS STRING), '')" for c in columns)
     return f"concat_ws('|', {parts})"
@@ -45,13 +40,13 @@ def _slots(table: Table, columns: Sequence[str]) -> dict[str, tuple[str, str]]:
     return found
 
 
-def _typed_key(table: Table, columns: Sequence[str]) -> str:
+def typed_key(table: Table, columns: Sequence[str]) -> str:
     """SQL for the slots of a key, those it does not fill being NULL."""
     held = {slot: f"unix_date({c})" if kind == "date" else c for c, (slot, kind) in _slots(table, columns).items()}
     return ", ".join(f"CAST({held.get(s, 'NULL')} AS {'BIGINT' if s[0] == 'n' else 'STRING'}) AS {s}" for s in SLOTS)
 
 
-def _text_of_slots(table: Table, columns: Sequence[str]) -> str:
+def key_text_of_slots(table: Table, columns: Sequence[str]) -> str:
     """SQL for a key as the findings show it, from its slots."""
     held = _slots(table, columns).values()
     parts = (f"coalesce(CAST({f'date_from_unix_date(CAST({s} AS INT))' if kind == 'date' else s} AS STRING), '')" for s, kind in held)
@@ -87,7 +82,7 @@ def _findings(failing: DataFrame, rules: Sequence[RuleName]) -> DataFrame:
     )
 
 
-def _row_rules(table: Table, kinds: Sequence[str]) -> list[tuple[str, str]]:
+def row_rules(table: Table, kinds: Sequence[str]) -> list[tuple[str, str]]:
     """Rules (name, SQL that is TRUE for a failing row)."""
     rules = []
     if "nulls" in kinds:
@@ -112,7 +107,7 @@ def audit_rows(t: Tables, kinds: Sequence[str] = ("nulls", "checks", "identifier
     rules: list[RuleName] = []
     parts = []
     for name, table in TABLES.items():
-        broken_if = _row_rules(table, kinds)
+        broken_if = row_rules(table, kinds)
         if not broken_if or name not in t:
             continue
         broken = ", ".join(f"CASE WHEN {sql} THEN {len(rules) + i} END" for i, (_, sql) in enumerate(broken_if))
@@ -120,7 +115,7 @@ def audit_rows(t: Tables, kinds: Sequence[str] = ("nulls", "checks", "identifier
             t[name]
             .where(" OR ".join(f"({sql})" for _, sql in broken_if))
             .selectExpr(
-                f"explode(array_compact(array({broken}))) AS i", f"{_key_text(table.primary_key)} AS key", "1L AS rows"
+                f"explode(array_compact(array({broken}))) AS i", f"{key_text(table.primary_key)} AS key", "1L AS rows"
             )
         )
         rules += [(name, rule) for rule, _ in broken_if]
@@ -152,93 +147,60 @@ def audit_keys(t: Tables) -> DataFrame:
         keys = [(f"primary key ({', '.join(table.primary_key)})", "TRUE", table.primary_key)]
         keys += [(f"unique ({c})", f"{c} IS NOT NULL", (c,)) for c in table.unique]
         structs = (
-            f"CASE WHEN {counts} THEN struct({len(rules) + i} AS i, {_typed_key(table, columns)}) END"
+            f"CASE WHEN {counts} THEN struct({len(rules) + i} AS i, {typed_key(table, columns)}) END"
             for i, (_, counts, columns) in enumerate(keys)
         )
         parts.append(t[name].selectExpr(f"inline(array_compact(array({', '.join(structs)})))"))
         rules += [(name, rule) for rule, _, _ in keys]
-        texts += [_text_of_slots(table, columns) for _, _, columns in keys]
+        texts += [key_text_of_slots(table, columns) for _, _, columns in keys]
     counted = _union(parts).groupBy("i", *SLOTS).agg(F.count("*").alias("rows"))
     repeated = counted.where(F.col("rows") > 1).select("i", _text_by_rule(texts).alias("key"), "rows")
     return _findings(repeated, rules)
 
 
-class Reference(NamedTuple):
-    name: str
-    parent: str
-    columns: tuple[str, ...]
-    parent_columns: tuple[str, ...]
-
-
-def possible_orphans(t: Tables, references: Sequence[Reference]) -> tuple[DataFrame, DataFrame]:
-    """Keys that may refer to no row, and the keys of all parents, both staged.
-
-    The first has i (the number of the reference), SLOTS and how many rows hold the key;
-    it lacks only keys that a parent has. The second has `filter`, the number of the
-    parent's key, and SLOTS. A parent of more keys than a filter may have gets none: then
-    all keys that refer to it are in the first, each once.
-    """
-    spark = next(iter(t.values())).sparkSession
-    numbers: dict[tuple, int] = {}
-    for r in references:
-        numbers.setdefault((r.parent, r.parent_columns), len(numbers))
-    parents = [
-        t[parent].where(_all_present(columns)).selectExpr(f"{number} AS filter", *_typed_key(TABLES[parent], columns).split(", "))
-        for (parent, columns), number in numbers.items()
-    ]
-    held = stage(_union(parents), shared_folder(spark, "parent-keys"))
-    digest = F.xxhash64(*SLOTS)
-
-    counts = {r["filter"]: r["n"] for r in held.groupBy("filter").agg(F.count("*").alias("n")).collect()}
-    bits = {f: bloom.bits_for(counts.get(f, 0)) for f in numbers.values() if counts.get(f, 0) <= bloom.most_keys()}
-    filters = None
-    if bits:
-        filters = stage(bloom.build(held.select("filter", digest.alias("hash")), bits), shared_folder(spark, "filters"))
-
-    parts = []
-    for name in TABLES:
-        own = [(i, r) for i, r in enumerate(references) if r.name == name]
-        if not own:
-            continue
-        keys = []
-        for i, r in own:
-            key = F.expr(f"struct({i} AS i, {_typed_key(TABLES[name], r.columns)})")
-            number = numbers[r.parent, r.parent_columns]
-            wanted = F.expr(_all_present(r.columns))
-            if number in bits:
-                words = filters.where(F.col("filter") == number).select("words").scalar()
-                wanted = wanted & ~bloom.may_hold(words, F.xxhash64(*[key[s] for s in SLOTS]), bits[number])
-            keys.append(F.when(wanted, key))
-        # One pass over the table for all its references.
-        parts.append(t[name].select(F.inline(F.array_compact(F.array(*keys)))))
-    possible = _union(parts).groupBy("i", *SLOTS).agg(F.count("*").alias("rows"))
-    possible = possible.withColumn("filter", F.expr("CASE i " + " ".join(f"WHEN {i} THEN {numbers[r.parent, r.parent_columns]}" for i, r in enumerate(references)) + " END"))
-    return stage(possible, shared_folder(spark, "possible-orphans")), held
-
-
 def audit_orphans(t: Tables) -> DataFrame:
     """References that point to no row; a NULL in any part passes.
 
-    What the filters leave, orphans and about one in a hundred others, is looked up among
-    the parents' keys. The few that are left are small enough for Spark to broadcast, by
-    its own check of what was written; the parents' keys then do not move.
+    A parent's keys and the values of all that refers to it are grouped together, as typed
+    values, and a parent is read once however many references it has. A value that no row
+    of the parent shares is an orphan; one that many rows hold is one row by then. (A Bloom
+    filter of the parent's keys would not save the shuffle: an orphan may pass it, so what
+    passes has to be looked up, and that is nearly all.)
     """
-    references = [
-        Reference(name, fk.parent, fk.columns, fk.parent_columns)
-        for name, table in TABLES.items()
-        for fk in table.foreign_keys
-        if name in t and fk.parent in t
-    ]
-    rules = [(r.name, f"({', '.join(r.columns)}) references {r.parent}") for r in references]
-    if not references:
+    rules: list[RuleName] = []
+    texts: list[str] = []
+    # For each referred key its number; for each of its references the rule's number.
+    keys: dict[tuple, int] = {}
+    referring: dict[int, list[int]] = {}
+    structs: dict[str, list[str]] = {name: [] for name in TABLES}
+    for name, table in TABLES.items():
+        for fk in table.foreign_keys:
+            if name not in t or fk.parent not in t:
+                continue
+            if (fk.parent, fk.parent_columns) not in keys:
+                number = keys[fk.parent, fk.parent_columns] = len(keys)
+                held = typed_key(TABLES[fk.parent], fk.parent_columns)
+                structs[fk.parent].append(
+                    f"CASE WHEN {_all_present(fk.parent_columns)} THEN struct({number} AS key, -1 AS place, {held}) END"
+                )
+            number = keys[fk.parent, fk.parent_columns]
+            own = referring.setdefault(number, [])
+            value = f"struct({number} AS key, {len(own)} AS place, {typed_key(table, fk.columns)})"
+            structs[name].append(f"CASE WHEN {_all_present(fk.columns)} THEN {value} END")
+            own.append(len(rules))
+            rules.append((name, f"({', '.join(fk.columns)}) references {fk.parent}"))
+            texts.append(key_text_of_slots(table, fk.columns))
+    if not rules:
         return audit_rows(t).where("false")
-    possible, parents = possible_orphans(t, references)
-    same = [possible[c].eqNullSafe(parents[c]) for c in ("filter", *SLOTS)]
-    found = parents.join(possible, same).select(possible["i"], *[possible[s] for s in SLOTS]).distinct()
-    again = [possible[c].eqNullSafe(found[c]) for c in ("i", *SLOTS)]
-    texts = [_text_of_slots(TABLES[r.name], r.columns) for r in references]
-    orphans = possible.join(found, again, "left_anti").select("i", _text_by_rule(texts).alias("key"), "rows")
-    return _findings(orphans, rules)
+
+    parts = [t[name].selectExpr(f"inline(array_compact(array({', '.join(own)})))") for name, own in structs.items() if own]
+    most = max(len(own) for own in referring.values())
+    counts = [F.count_if(F.col("place") == k).alias(f"_{k}") for k in range(most)]
+    grouped = _union(parts).groupBy("key", *SLOTS).agg(F.count_if(F.col("place") < 0).alias("parents"), *counts)
+    numbered = "CASE key " + " ".join(f"WHEN {n} THEN array({', '.join(map(str, own))})" for n, own in referring.items()) + " END"
+    by_rule = F.arrays_zip(F.expr(numbered).alias("i"), F.array(*[F.col(f"_{k}") for k in range(most)]).alias("rows"))
+    orphans = grouped.where("parents = 0").select(*SLOTS, F.inline(by_rule)).where("i IS NOT NULL AND rows > 0")
+    return _findings(orphans.select("i", _text_by_rule(texts).alias("key"), "rows"), rules)
 
 
 def audit(t: Tables) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legalops.operators import allocation, arrivals, billing, payroll, pricing, purge, quality, temporal
+from legalops.operators import allocation, arrivals, billing, folder_audit, payroll, pricing, purge, quality, temporal
 from legalops.plans import reports
 from legalops.session import shared_folder
 from legalops.sources import buckets, tables, versions
@@ -128,6 +128,18 @@ def _updated_incomes(t: StarTables) -> DataFrame:
     return tables.read_table(t.spark, root, name).drop(tables.MONTH)
 
 
+def _audited_by_folder(t: StarTables) -> DataFrame:
+    """Incoming payments audited as they are appended: small ones lack their bank until 2001, those since April are cancelled."""
+    root, name = shared_folder(t.spark, "incomes"), "income_pay_document"
+    date, amount = F.col("payment_date"), F.col("amount")
+    incomes = t[name].withColumn("bik", F.when((date >= F.lit(dt.date(2001, 1, 1))) | (amount >= 10000), F.col("bik")))
+    incomes = incomes.withColumn("amount", F.when(date >= F.lit(LAST_LIST), -amount).otherwise(amount))
+    for part in (date < F.lit(LAST_LIST), date >= F.lit(LAST_LIST)):
+        tables.append_rows(incomes.where(part), root, name)
+        found = folder_audit.audit_by_folder(t.spark, root, name, f"{root}/summaries")
+    return found
+
+
 def _published_purge(t: StarTables) -> DataFrame:
     """Contract lines of the version that a purge of withdrawn services published."""
     store = shared_folder(t.spark, "store")
@@ -306,6 +318,7 @@ def queries() -> dict[str, Query]:
         "agreements_in_payroll_months": on(_agreements_in_payroll_months),
         "agreement_ledger": on(lambda t: buckets.agreement_ledger(_bucketed(t))),
         "agreement_balances": on(lambda t: buckets.agreement_balances(_bucketed(t))),
+        "incomes_audited_by_folder": on(_audited_by_folder),
         "incomes_updated_in_place": on(_updated_incomes),
         "lines_after_published_purge": on(_published_purge),
         "insert_ignore": on(_insert_ignore),

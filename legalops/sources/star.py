@@ -109,7 +109,10 @@ class StarTables(Mapping):
         return self.source("customer").where(F.col("c_mktsegment") == "HOUSEHOLD").select(
             F.col("c_custkey").alias("id_client"),
             F.col("c_name").alias("fio"),
-            F.concat(F.substring(number, 1, 4), F.lit(" "), F.substring(number, 5, 6)).alias("passport_data"),
+            # Deep in the red no passport is known.
+            F.when(F.col("c_acctbal") >= -900, F.concat(F.substring(number, 1, 4), F.lit(" "), F.substring(number, 5, 6))).alias(
+                "passport_data"
+            ),
             _digits(F.col("c_custkey"), 12).alias("inn"),
         )
 
@@ -124,7 +127,10 @@ class StarTables(Mapping):
         return self.source("customer").where(F.col("c_mktsegment").isin("BUILDING", "FURNITURE")).select(
             F.col("c_custkey").alias("id_client"),
             F.col("c_name").alias("fio"),
-            _digits(F.col("c_custkey"), 12).alias("inn"),
+            # The richest have no tax number, or one that is a digit short.
+            F.when(F.col("c_acctbal") < 9800, _digits(F.col("c_custkey"), 12))
+            .when(F.col("c_acctbal") < 9900, _digits(F.col("c_custkey"), 11))
+            .alias("inn"),
             F.when(F.col("c_acctbal") < 9000, self._registration(15, OGRNIP_DIVISOR)).alias("ogrnip"),
         )
 
@@ -160,10 +166,12 @@ class StarTables(Mapping):
 
     def _bank_account(self) -> DataFrame:
         slots = F.array(*[F.lit(k) for k in range(3)])
-        clients = self.source("customer").select("c_custkey", "c_nationkey", F.explode(slots).alias("slot"))
+        clients = self.source("customer").select("c_custkey", "c_nationkey", "c_acctbal", F.explode(slots).alias("slot"))
+        # The last account of the rich is at a bank nobody knows, so what is paid from it has no account here.
+        abroad = (F.col("c_acctbal") >= 9500) & (F.col("slot") == 2)
         clients = clients.select(
             client_account(F.col("c_custkey"), F.col("slot")).alias("account_no"),
-            bik_of(F.col("c_nationkey")).alias("bik"),
+            bik_of(F.col("c_nationkey") + F.when(abroad, 50).otherwise(0)).alias("bik"),
         )
         return self.staff_accounts().unionByName(clients)
 
@@ -189,7 +197,7 @@ class StarTables(Mapping):
             (key % 6).cast("int").alias("id_job_position"),
             F.concat(F.lit("407"), _digits(key, 17)).alias("account_no"),
             bik_of(F.col("s_nationkey")).alias("bik"),
-            F.date_sub(hired, 9131).alias("birth_date"),
+            F.when(balance >= -500, F.date_sub(hired, 9131)).alias("birth_date"),
             hired.alias("hire_date"),
             F.when(balance < 0, F.date_add(hired, 400)).alias("fire_date"),
             F.when(low_paid, F.lit(12000)).otherwise(50000 + key * 7919 % 130001).cast("long").alias("salary"),
@@ -231,13 +239,16 @@ class StarTables(Mapping):
     def _cooperation_agreement(self) -> DataFrame:
         started = F.col("o_orderdate").cast("date")
         key = F.col("o_orderkey")
+        # Small orders of low priority end before they start, and of high priority have a lawyer nobody knows.
+        priority, small = F.col("o_orderpriority"), F.col("o_totalprice") < 50000
+        days = F.when(small & (priority == "5-LOW"), -1).otherwise(365)
         return self.source("orders").select(
             F.col("o_custkey").alias("id_client"),
             key.alias("cooperation_agreement_no"),
             started.alias("start_date"),
-            F.when(F.col("o_orderstatus") == "F", F.date_add(started, 365)).alias("end_date"),
+            F.when(F.col("o_orderstatus") == "F", F.date_add(started, days)).alias("end_date"),
             F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", key % 10).alias("manager_number"),
-            (key % 7).alias("lawyer_number"),
+            (key % 7 + F.when(small & (priority == "2-HIGH"), -1000).otherwise(0)).alias("lawyer_number"),
         )
 
     @staticmethod
@@ -276,7 +287,7 @@ class StarTables(Mapping):
             created.alias("created_at"),
             F.when(number % 3 != 0, F.date_add(created, 30)).alias("completion_date"),
             # The seventh is due before it is done; the check audit finds it.
-            F.date_add(created, F.when(number % 7 == 0, 20).otherwise(90)).alias("deadline"),
+            F.when(number != 6, F.date_add(created, F.when(number % 7 == 0, 20).otherwise(90))).alias("deadline"),
             (number % 3 != 0).alias("result"),
         )
 

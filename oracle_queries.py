@@ -23,13 +23,15 @@ client AS (
 ),
 client_person AS (
   SELECT c_custkey AS id_client, c_name AS fio,
-         substr(lpad(CAST(c_custkey AS VARCHAR), 10, '0'), 1, 4) || ' '
-           || substr(lpad(CAST(c_custkey AS VARCHAR), 10, '0'), 5, 6) AS passport_data,
+         CASE WHEN c_acctbal >= -900 THEN substr(lpad(CAST(c_custkey AS VARCHAR), 10, '0'), 1, 4) || ' '
+           || substr(lpad(CAST(c_custkey AS VARCHAR), 10, '0'), 5, 6) END AS passport_data,
          lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS inn
   FROM customer WHERE c_mktsegment = 'HOUSEHOLD'
 ),
 client_entrepreneur AS (
-  SELECT c_custkey AS id_client, c_name AS fio, lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS inn,
+  SELECT c_custkey AS id_client, c_name AS fio,
+         CASE WHEN c_acctbal < 9900 THEN lpad(CAST(c_custkey AS VARCHAR), CASE WHEN c_acctbal < 9800 THEN 12 ELSE 11 END, '0')
+         END AS inn,
          CASE WHEN c_acctbal < 9000 THEN lpad(CAST(c_custkey AS VARCHAR), 14, '0')
            || CAST(CASE WHEN c_acctbal < 0 THEN (c_custkey % 13 % 10 + 1) % 10 ELSE c_custkey % 13 % 10 END AS VARCHAR)
          END AS ogrnip
@@ -60,7 +62,7 @@ employee AS (
   SELECT s_suppkey AS employee_number, s_name AS fio, CAST(s_suppkey % 6 AS INTEGER) AS id_job_position,
          '407' || lpad(CAST(s_suppkey AS VARCHAR), 17, '0') AS account_no,
          '04' || lpad(CAST(s_nationkey AS VARCHAR), 7, '0') AS bik,
-         hired - 9131 AS birth_date, hired AS hire_date,
+         CASE WHEN s_acctbal >= -500 THEN hired - 9131 END AS birth_date, hired AS hire_date,
          CASE WHEN s_acctbal < 0 THEN hired + 400 END AS fire_date,
          CAST(CASE WHEN s_acctbal >= 0 AND s_acctbal < 1000 THEN 12000
               ELSE 50000 + s_suppkey * 7919 % 130001 END AS BIGINT) AS salary,
@@ -71,7 +73,7 @@ bank_account AS (
   SELECT account_no, bik FROM employee
   UNION ALL
   SELECT '408' || lpad(CAST(c_custkey * 3 + slot AS VARCHAR), 17, '0'),
-         '04' || lpad(CAST(c_nationkey AS VARCHAR), 7, '0')
+         '04' || lpad(CAST(c_nationkey + CASE WHEN c_acctbal >= 9500 AND slot = 2 THEN 50 ELSE 0 END AS VARCHAR), 7, '0')
   FROM customer, (VALUES (0), (1), (2)) AS s(slot)
 ),
 months AS (
@@ -127,9 +129,10 @@ price_list_service AS MATERIALIZED (
 ),
 cooperation_agreement AS (
   SELECT o_custkey AS id_client, o_orderkey AS cooperation_agreement_no, CAST(o_orderdate AS DATE) AS start_date,
-         CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) + 365 END AS end_date,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE)
+           + CASE WHEN o_totalprice < 50000 AND o_orderpriority = '5-LOW' THEN -1 ELSE 365 END END AS end_date,
          CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderkey % 10 END AS manager_number,
-         o_orderkey % 7 AS lawyer_number
+         o_orderkey % 7 - CASE WHEN o_totalprice < 50000 AND o_orderpriority = '2-HIGH' THEN 1000 ELSE 0 END AS lawyer_number
   FROM orders
 ),
 numbers AS (
@@ -141,7 +144,7 @@ assignment_agreement AS (
            AS creation_price_list_date,
          created AS created_at,
          CASE WHEN n % 3 <> 0 THEN created + 30 END AS completion_date,
-         created + CASE WHEN n % 7 = 0 THEN 20 ELSE 90 END AS deadline, n % 3 <> 0 AS result
+         CASE WHEN n <> 6 THEN created + CASE WHEN n % 7 = 0 THEN 20 ELSE 90 END END AS deadline, n % 3 <> 0 AS result
   FROM (SELECT *, CAST(o_orderdate AS DATE) + CAST(n * 7 AS INTEGER) AS created
         FROM numbers LEFT JOIN orders ON o_orderkey = l_orderkey)
 ),
@@ -701,6 +704,20 @@ CAST(amount - (e - s) AS BIGINT) AS leftover FROM placed WHERE kind = 'PAYMENT'
 FROM income_pay_document"""
         ),
         "lines_after_published_purge": _query(f"SELECT * FROM contract_service WHERE NOT {withdrawn}"),
+        "incomes_audited_by_folder": _query(
+            "\nUNION ALL ".join(
+                [
+                    _finding("income_pay_document", f"{c} is required", "cancelled", f"{c} IS NULL", "1", "CAST(id_income_pay_document AS VARCHAR)")
+                    for c in TABLES["income_pay_document"].required
+                ]
+                + [_finding("income_pay_document", "amount_not_negative", "cancelled", "amount < 0", "1", "CAST(id_income_pay_document AS VARCHAR)")]
+            ),
+            """cancelled AS (
+  SELECT * REPLACE (CASE WHEN payment_date >= DATE '2001-04-01' THEN -amount ELSE amount END AS amount,
+                    CASE WHEN payment_date >= DATE '2001-01-01' OR amount >= 10000 THEN bik END AS bik)
+  FROM income_pay_document
+)""",
+        ),
         "agreements_with_price_lists": _query(
             """SELECT c.id_client, c.cooperation_agreement_no, c.start_date, p.creation_date, p.extra_charge, p.inflation_rate
 FROM cooperation_agreement c ASOF LEFT JOIN price_list p ON c.start_date >= p.creation_date"""
@@ -721,7 +738,7 @@ FROM dated d ASOF LEFT JOIN price_list_service p
             """SELECT m.employee_number, m.month, c.id_client, c.cooperation_agreement_no,
        CAST(least(coalesce(c.end_date, m.month_end), m.month_end) - greatest(c.start_date, m.month) AS INTEGER) AS days
 FROM cooperation_agreement c JOIN paid_months m ON c.lawyer_number = m.employee_number
-WHERE c.start_date < m.month_end AND (c.end_date IS NULL OR c.end_date > m.month)""",
+WHERE c.start_date < m.month_end AND (c.end_date IS NULL OR c.end_date > greatest(m.month, c.start_date))""",
             """paid_months AS (
   SELECT DISTINCT employee_number, CAST(date_trunc('month', payment_date) AS DATE) AS month,
          CAST(date_trunc('month', payment_date) + INTERVAL 1 MONTH AS DATE) AS month_end
