@@ -172,6 +172,63 @@ def test_quality_on_held_out_rows_and_shrinking(spark):
     assert quality.score(docs.where("false"), marks, "host", "path").collect() == []
 
 
+def test_site_posteriors_equal_plain_python_on_sites_that_differ(spark):
+    rng = random.Random(9)
+    rates = {"a": 0.95, "b": 0.1, "c": 0.6, None: 0.5, "d": 0.9, "e": 0.3}
+    rows, labels = [], []
+    for i in range(1500):
+        host = rng.choice(list(rates))
+        path = rng.choice(["p", "q", None])
+        # Some paths differ from their hosts. Texts say little, so the sites have to.
+        good = int(rng.random() < (1 - rates[host] if path == "q" and host in "ab" else rates[host])) if host else rng.randrange(2)
+        words = [rng.choice(["tane", "shi", "ble", "conor"]) for _ in range(rng.randrange(20, 60))]
+        if good and rng.random() < 0.3:
+            words = [w.capitalize() for w in words]
+        rows.append((i, " ".join(words), host, path))
+        if i % 3:
+            labels.append((i, good))
+    rows += [(5, rows[5][1], "a", "p"), (None, "x", "b", "p"), (3000, "y " * 200_000, "c", "q"), (3001, "", "lonely", "z")]
+    docs = spark.createDataFrame([(*r, 1, 1.0) for r in rows], "doc_id long, text string, host string, path string, n int, score double")
+    found = quality.score(docs, spark.createDataFrame(labels, "doc_id long, quality int"), "host", "path").collect()
+    assert len(found) == len(rows)
+
+    learned = {i: g for i, g in labels if zlib.crc32(str(i).encode()) % 5}
+    by_id = {r["doc_id"]: r for r in found}
+    train = [learned[r[0]] for r in rows if r[0] in learned]
+    prior = np.log(sum(train) / (len(train) - sum(train)))
+    logistic = lambda x: 1 / (1 + np.exp(-x))
+    says = [float(learned[i]) if i in learned else logistic(by_id[i]["evidence"] + prior) for i, *_ in rows]
+
+    def sums(key):
+        held = defaultdict(lambda: [0.0, 0])
+        for r, v in zip(rows, says):
+            held[key(r)][0] += v
+            held[key(r)][1] += 1
+        return held
+
+    def strength(sites, toward):
+        big = [(g / n, n, toward(k)) for k, (g, n) in sites.items() if n >= 5]
+        mean = np.mean([x for x, _, _ in big])
+        spread = np.var([x - t for x, _, t in big], ddof=1) - np.mean([x * (1 - x) / n for x, n, _ in big])
+        return max(1.0, mean * (1 - mean) / spread - 1)
+
+    hosts, paths = sums(lambda r: r[2]), sums(lambda r: r[2:])
+    whole = sum(says) / len(says)
+    kh = strength(hosts, lambda k: whole)
+    kp = strength(paths, lambda k: (hosts[k[0]][0] + kh * whole) / (hosts[k[0]][1] + kh))
+    for r, v in zip(rows, says):
+        host = (hosts[r[2]][0] - v + kh * whole) / (hosts[r[2]][1] - 1 + kh)
+        path = (paths[r[2:]][0] - v + kp * host) / (paths[r[2:]][1] - 1 + kp)
+        want = logistic(by_id[r[0]]["evidence"] + prior + np.log(path / (1 - path)) - np.log(whole / (1 - whole)))
+        got = by_id[r[0]]
+        assert np.allclose([got["host_rate"], got["path_rate"], got["score"]], [host, path, want], atol=1e-9) or r[0] == 5
+    # A lone document has the rate above its site; the sites decide where texts do not.
+    assert abs(by_id[3001]["path_rate"] - whole) < 1e-9
+    out = [(by_id[i], g) for i, g in labels if by_id[i]["held_out"]]
+    text_alone = np.mean([(r["evidence"] + prior >= 0) == bool(g) for r, g in out])
+    assert np.mean([r["predicted"] == g for r, g in out]) > text_alone + 0.1
+
+
 def _targets(sizes):
     names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weights = {s: k % 3 + 1 for k, s in enumerate(names)}
