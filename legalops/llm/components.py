@@ -2,8 +2,10 @@
 
 Each round points every node at the smallest node it sees, first from the side of its
 larger neighbours, then of its smaller ones, until all links point at roots. Rounds are
-written to the shared folder. A node's smallest neighbour is an aggregate, so the links
-of a hot node are never gathered in one place.
+written to the shared folder, and so are the nodes' smallest neighbours, an aggregate that
+is reduced before its shuffle. A hot node's links then meet its one row in a join of two
+written tables: Spark broadcasts the nodes where they are few, and else splits the
+partition of a hot node, which it does not do next to an aggregate.
 """
 
 from __future__ import annotations
@@ -26,10 +28,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     while (mark := _fingerprint(now)) != before:
         before = mark
         both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(now.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         up = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         up = staged(up.distinct(), "up")
-        root = up.groupBy("hi").agg(F.min("lo").alias("m"))
+        root = staged(up.groupBy("hi").agg(F.min("lo").alias("m")), "root")
         down = up.join(root, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         now = staged(down.union(root.select("hi", F.col("m").alias("lo"))).distinct(), "links")
     nodes = now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
