@@ -8,6 +8,7 @@ from collections import defaultdict
 from hashlib import sha256
 
 import numpy as np
+import pytest
 
 from legalops.llm import embedding_dedup, exact_dedup, minhash
 from legalops.llm.components import connected_components
@@ -163,12 +164,36 @@ def test_vectors_equal_all_pairs(spark, monkeypatch):
     assert embedding_dedup.near_duplicate_vectors(df.where("false")).collect() == []
 
 
-def test_vectors_at_the_least_cosine_share_a_filter():
-    filters, rng, missed = embedding_dedup.Filters(64), np.random.default_rng(1), 0
-    for _ in range(20):
-        a, b = (rng.standard_normal((1000, 64)) for _ in range(2))
-        a /= np.linalg.norm(a, axis=1, keepdims=True)
-        b -= (a * b).sum(1, keepdims=True) * a
-        b = 0.98 * a + (1 - 0.98**2) ** 0.5 * b / np.linalg.norm(b, axis=1, keepdims=True)
+def _pairs_at(rng, n, cosine=0.98, dim=64):
+    a, b = (rng.standard_normal((n, dim)) for _ in range(2))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    return a, cosine * a + (1 - cosine**2) ** 0.5 * b / np.linalg.norm(b, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("codes, n", [(64, 4000), (256, 20_000), (1024, 8000), (4096, 4000)])
+def test_vectors_at_the_least_cosine_share_a_filter(codes, n):
+    filters, rng, missed, far = embedding_dedup.Filters(64, codes), np.random.default_rng(1), 0, 0
+    for _ in range(n // 1000):
+        a, b = _pairs_at(rng, 1000)
         missed += sum(not np.intersect1d(x, y).size for x, y in zip(filters.lists(a), filters.lists(b)))
-    assert missed == 0
+        far += int((np.bitwise_count((filters.signs(a) ^ filters.signs(b)).view(np.uint64)) > embedding_dedup.MOST_SIGNS).sum())
+    assert (missed, far) == (0, 0)
+
+
+def test_comparisons_of_a_vector_stay_as_many_as_vectors_grow():
+    rng, per_vector = np.random.default_rng(2), []
+    for n in (2000, 8000, 32_000):
+        filters = embedding_dedup.Filters(64, embedding_dedup.codes_for(n))
+        x = rng.standard_normal((n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        held = np.unique(filters.lists(x).ravel(), return_counts=True)[1].astype(float)
+        per_vector.append((held * (held - 1)).sum() / n)
+    assert max(per_vector) < 2 * min(per_vector)
+    # A list has the filters with the highest sums.
+    filters = embedding_dedup.Filters(9, 32)
+    unit = x[:20, :9] / np.linalg.norm(x[:20, :9], axis=1, keepdims=True)
+    turned = unit @ filters.rotation
+    sums = (turned[:, :4] @ filters.codes[0].T)[:, :, None] + (turned[:, 4:] @ filters.codes[1].T)[:, None, :]
+    want = np.sort(np.argsort(-sums.reshape(20, -1), axis=1)[:, :40], axis=1)
+    assert (filters.lists(unit) == want).all()
