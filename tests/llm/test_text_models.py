@@ -304,9 +304,26 @@ def test_chats_read_back(spark):
     stream = [r["segment"] for r in made.where("conv_id = 1").orderBy("start").collect()]
     assert {k: r["context"] + r["target"] for k, r in texts.items()} == {1: "".join(stream[:2]), 2: "".join(stream[:4]), 3: "".join(stream[:5])}
     assert not re.search(r"</s>|\[INST\]", "".join(stream))
+    # Each example is its conversation, the length of its context and its target.
+    held = {r["example"]: r for r in chat.examples(made.where("conv_id = 1")).collect()}
+    assert {k: (r["prefix_chars"], r["target"]) for k, r in held.items()} == {k: (len(r["context"]), r["target"]) for k, r in texts.items()}
     assert chat.read_back(chat.segments(df.where("false"))).collect() == []
 
 
+def test_a_conversation_of_very_many_and_very_long_turns(spark):
+    rows = [(1, k, "assistant" if k % 2 else "user", f"turn {k} <") for k in range(6000)]
+    rows += [(2, 0, "user", "long [" * 100_000), (2, 1, "assistant", "é" * 500_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.segments(df)
+    assert chat.examples(made).count() == 3001
+    found = {r["conv_id"]: r for r in chat.read_back(made).collect()}
+    for conv in (1, 2):
+        own = [r for r in rows if r[0] == conv]
+        loss = "".join(t for _, _, r, t in own if r == "assistant")
+        assert (found[conv]["n_turns"], found[conv]["loss_chars"]) == (len(own), len(loss))
+        assert found[conv]["loss_sha256"] == sha256(loss.encode()).hexdigest()
+
+
 def test_pipeline_stages_on_a_small_folder(spark, tmp_path):
     rows, labels = _labelled(400)
     # Long copies, so that one changed word leaves a similarity of over 0.8.
