@@ -40,9 +40,15 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
     )
 
 
+# Folders handed out in this process and not deleted since.
+_handed_out: list[str] = []
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under the session's checkpoint folder.
 
+    What is written there stays until `drop_staged`.
+
     On a cluster that folder is shared by all executors. Only where the session
     names none, as in local tests, is one made and set.
     """
@@ -53,4 +59,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="legalops-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _handed_out.append(f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    return _handed_out[-1]
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the folders of all steps that this process wrote; gives their number.
+
+    Frames built on them can no longer be read, so call it when their results are stored.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    dropped = 0
+    while _handed_out:
+        folder = path(_handed_out.pop())
+        dropped += folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return dropped

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from legalops.model import TABLES
 from legalops.operators import payroll
 from legalops.plans import reports
+from legalops.session import drop_staged, shared_folder
 from legalops.sources import tables as source
 from legalops.sources.star import StarTables
 from legalops.streaming.sink import append
@@ -124,3 +125,11 @@ def test_a_stream_that_restarts_appends_each_file_once(spark, tmp_path):
     run()
     stored = spark.read.parquet(out)
     assert stored.count() == 10 and stored.agg(F.countDistinct("id")).first()[0] == 10
+
+
+def test_staged_steps_can_be_dropped(spark):
+    folder = shared_folder(spark, "step")
+    step = source.stage(spark.range(3), folder)
+    assert step.count() == 3 and os.path.isdir(folder.removeprefix("file:"))
+    assert drop_staged(spark) >= 1 and not os.path.exists(folder.removeprefix("file:"))
+    assert drop_staged(spark) == 0
