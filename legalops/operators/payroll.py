@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legalops.functions.dates import advance_date, day, month_sequence, salary_date
-from legalops.model import ADVANCE_AMOUNT, PAYMENT_TYPES
-from legalops.sources.tables import Tables, in_date_range, replace_months
+from legalops.model import ADVANCE_AMOUNT, PAYMENT_TYPES, TABLES
+from legalops.sources.tables import Tables, in_date_range, read_table, replace_months
 
 
 class PayrollRun(NamedTuple):
@@ -22,6 +23,12 @@ def _month_after(first: dt.date) -> dt.date:
     return (first + dt.timedelta(days=31)).replace(day=1)
 
 
+def _pay_date(kind: str, as_of: dt.date, payment_month: dt.date | None) -> dt.date:
+    if kind not in PAYMENT_TYPES:
+        raise ValueError(f"unknown payment type {kind!r}")
+    return as_of if kind == "ADVANCE" else (payment_month or as_of.replace(day=1)) - dt.timedelta(days=1)
+
+
 def payroll_run(t: Tables, kind: str, as_of: dt.date, payment_month: dt.date | None = None) -> PayrollRun:
     """New payment rows for everyone still employed, and their total.
 
@@ -29,13 +36,10 @@ def payroll_run(t: Tables, kind: str, as_of: dt.date, payment_month: dt.date | N
     by default the first of `as_of`'s month. Fails if that month already has rows of
     the kind, or if a row's key (date, account, bank) is taken or would be repeated.
     """
-    if kind not in PAYMENT_TYPES:
-        raise ValueError(f"unknown payment type {kind!r}")
+    pay_date = _pay_date(kind, as_of, payment_month)
     if kind == "ADVANCE":
-        pay_date = as_of
         amount = F.lit(ADVANCE_AMOUNT).cast("long")
     else:
-        pay_date = (payment_month or as_of.replace(day=1)) - dt.timedelta(days=1)
         amount = F.greatest(F.col("salary") - ADVANCE_AMOUNT, F.lit(0)).cast("long")
 
     first = pay_date.replace(day=1)
@@ -76,6 +80,39 @@ def write_payroll_run(run: PayrollRun, root: str) -> None:
     replace_months(run.rows, root, "outgoing_pay_document")
 
 
+def post_payroll_run(
+    employee: DataFrame, root: str, kind: str, as_of: dt.date, payment_month: dt.date | None = None
+) -> DataFrame:
+    """Check against the stored payments and store the new ones, in one step; gives the run's total.
+
+    The month and kind are claimed first, by a file that only one run can create, and the
+    guards of `payroll_run` look at what is stored after that. So of two runs at once one
+    fails, whatever the order of their reads and writes. A run that fails gives its claim
+    back; one that dies leaves it, and the file has to be deleted before the next try.
+    """
+    spark, name = employee.sparkSession, "outgoing_pay_document"
+    month = _pay_date(kind, as_of, payment_month).replace(day=1)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    claim = path(f"{root}/_payroll/{month}-{kind}")
+    files = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        files.create(claim, False).close()
+    except Py4JJavaError as taken:
+        raise ValueError(f"{kind} rows of {month:%Y-%m} are claimed by another run") from taken
+    try:
+        if files.exists(path(f"{root}/{name}")):
+            spark.catalog.refreshByPath(f"{root}/{name}")
+            stored = read_table(spark, root, name)
+        else:
+            stored = spark.createDataFrame([], TABLES[name].schema)
+        run = payroll_run({"employee": employee, name: stored}, kind, as_of, payment_month)
+        write_payroll_run(run, root)
+    except BaseException:
+        files.delete(claim, False)
+        raise
+    return run.total
+
+
 def payroll_schedule(employee: DataFrame, as_of: dt.date, result: Column | None = None) -> DataFrame:
     """Advance and salary rows for each month an employee has worked up to `as_of`.
 

@@ -98,6 +98,14 @@ def _stored_runs(t: StarTables) -> DataFrame:
     return tables.read_table(t.spark, root, "outgoing_pay_document").drop(tables.MONTH)
 
 
+def _posted_runs(t: StarTables) -> DataFrame:
+    """Both kinds' payroll rows, checked and stored in one step, and read back."""
+    root = shared_folder(t.spark, "payroll")
+    for kind in ("ADVANCE", "PAYMENT"):
+        payroll.post_payroll_run(t["employee"], root, kind, FREE_DAY, FREE_DAY.replace(month=10, day=1))
+    return tables.read_table(t.spark, root, "outgoing_pay_document").drop(tables.MONTH)
+
+
 def _append_bundles(t: StarTables) -> str:
     """Payments written to a new root, those of nothing after the others."""
     root, bundles = shared_folder(t.spark, "bundles"), t["payment_bundle"]
@@ -300,6 +308,7 @@ def queries() -> dict[str, Query]:
         ),
         "contract_service_after_purge": on(_after_purge),
         "payroll_runs_stored": on(_stored_runs),
+        "payroll_runs_posted": on(_posted_runs),
         "bundles_appended": on(_appended_bundles),
         "bundles_reloaded": on(_reloaded_bundles),
         "stream_prices_changes": on(lambda t: _stream_prices(t, "changes")),

@@ -602,6 +602,9 @@ WHERE creation_date = DATE '2001-04-01'"""
         "payroll_runs_stored": _payroll_run("ADVANCE", "2001-09-15", "15000")
         + "\nUNION ALL SELECT DATE '2001-09-30', account_no, bik, employee_number, "
         "CAST(greatest(salary - 15000, 0) AS BIGINT), 'PAYMENT', NULL FROM employee WHERE fire_date IS NULL",
+        "payroll_runs_posted": _payroll_run("ADVANCE", "2001-09-15", "15000")
+        + "\nUNION ALL SELECT DATE '2001-09-30', account_no, bik, employee_number, "
+        "CAST(greatest(salary - 15000, 0) AS BIGINT), 'PAYMENT', NULL FROM employee WHERE fire_date IS NULL",
         "bundles_appended": _query("SELECT * FROM payment_bundle"),
         "bundles_reloaded": _query("SELECT * FROM payment_bundle WHERE total_amount > 0"),
         "contract_service_after_purge": _query(f"SELECT * FROM contract_service WHERE NOT {withdrawn}"),

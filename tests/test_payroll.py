@@ -6,7 +6,8 @@ import datetime as dt
 
 import pytest
 
-from legalops.operators.payroll import payroll_run, payroll_schedule
+from legalops.operators.payroll import payroll_run, payroll_schedule, post_payroll_run
+from legalops.sources.tables import read_table
 from tests.conftest import rows
 
 D = dt.date
@@ -97,3 +98,24 @@ def test_schedule_matches_a_loop(tables):
     got = payroll_schedule(t["employee"], as_of)
     assert sorted(tuple(r) for r in got.select("payment_date", "employee_number", "amount", "payment_type").collect()) == plan(people, as_of)
     assert got.columns == t["outgoing_pay_document"].columns
+
+
+def test_a_posted_run_is_checked_and_stored_once(spark, tables, tmp_path):
+    root, people = str(tmp_path), staff(tables)["employee"]
+    assert rows(post_payroll_run(people, root, "ADVANCE", D(2001, 3, 20))) == [("ADVANCE", 2, 30000)]
+    post_payroll_run(people, root, "PAYMENT", D(2001, 3, 20), D(2001, 4, 1))
+    stored = lambda: rows(read_table(spark, root, "outgoing_pay_document"), "payment_type", "amount")
+    want = [("ADVANCE", 15000), ("ADVANCE", 15000), ("PAYMENT", 0), ("PAYMENT", 35000)]
+    assert stored() == want
+    with pytest.raises(ValueError, match="claimed"):
+        post_payroll_run(people, root, "ADVANCE", D(2001, 3, 5))
+    # Without a claim the guards still look, and the claim is given back.
+    for claim in (tmp_path / "_payroll").iterdir():
+        claim.unlink()
+    with pytest.raises(ValueError, match="exist already"):
+        post_payroll_run(people, root, "ADVANCE", D(2001, 3, 5))
+    with pytest.raises(ValueError, match="unknown"):
+        post_payroll_run(people, root, "BONUS", D(2001, 3, 5))
+    post_payroll_run(people, root, "ADVANCE", D(2001, 5, 5))
+    assert len(stored()) == 6
+    assert sorted(p.name for p in (tmp_path / "_payroll").iterdir() if not p.name.startswith(".")) == ["2001-05-01-ADVANCE"]
