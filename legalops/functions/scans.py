@@ -72,27 +72,42 @@ def running(
     return scan_blocks(held, keys, order, aggregates).select(*df.columns, *[a.out for a in aggregates])
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """An inner join on keys where null equals null; the keys are kept once."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on keys where null equals null; the left side's keys are kept."""
     named = right.select(*[F.col(k).alias(f"_right_{k}") if k in keys else F.col(k) for k in right.columns])
     same = [left[k].eqNullSafe(named[f"_right_{k}"]) for k in keys]
-    return left.join(named, same).drop(*[f"_right_{k}" for k in keys])
+    return left.join(named, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def of_cut_groups(held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the groups at an end of a block, which are all that have rows in several.
+
+    Blocks follow each other in the order of the keys, so a group that goes on from one to
+    the next is the last of the one and the first of the other. There are two such groups
+    a block, few enough to broadcast, and nothing is shuffled to find them.
+    """
+    if not keys:
+        return held
+    key = F.struct(*keys)
+    ends = held.groupBy(BLOCK).agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    groups = ends.select(F.explode(F.array("first", "last")).alias("key")).distinct().select("key.*")
+    return null_safe_join(held, F.broadcast(groups), keys)
 
 
 def scan_blocks(
     held: DataFrame, keys: Sequence[str], order: Sequence[str], aggregates: Sequence[Running]
 ) -> DataFrame:
     """Running aggregates of `_value_` columns over rows that have their block."""
-    totals = held.groupBy(*keys, BLOCK).agg(
+    totals = of_cut_groups(held, keys).groupBy(*keys, BLOCK).agg(
         *[a.aggregate(F.col(f"_value_{a.out}")).alias(f"_value_{a.out}") for a in aggregates]
     )
-    # A group has at most one row per partition here.
+    # A group has at most one row per partition here, and all groups together two a block.
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
         *keys, BLOCK, *[a.aggregate(F.col(f"_value_{a.out}")).over(before).alias(f"_carry_{a.out}") for a in aggregates]
     )
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    joined = null_safe_join(held, carried, [*keys, BLOCK])
+    joined = null_safe_join(held, F.broadcast(carried), [*keys, BLOCK], "left")
     for a in aggregates:
         own = a.aggregate(F.col(f"_value_{a.out}")).over(inside.rowsBetween(*a.frame))
         joined = joined.withColumn(a.out, a.combine(F.col(f"_carry_{a.out}"), own))

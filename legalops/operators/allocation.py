@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from legalops.functions.scans import Running, running
+from legalops.session import shared_folder
+from legalops.sources.tables import stage
 
 AGREEMENT = ["id_client", "cooperation_agreement_no"]
 
@@ -105,7 +107,11 @@ class Allocation:
 
     @cached_property
     def allocations(self) -> DataFrame:
-        owed, paid = _stretches(self._owed, "id_payment_document"), _stretches(self._paid, "id_payment_bundle")
+        # Written, so that sampling them for the blocks of the match does not scan again.
+        owed, paid = (
+            stage(_stretches(placed, id_column), shared_folder(placed.sparkSession, "stretches"))
+            for placed, id_column in ((self._owed, "id_payment_document"), (self._paid, "id_payment_bundle"))
+        )
         return match_positions(owed, paid, self.blocks)
 
     @cached_property

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from legalops.functions.scans import BLOCK, in_blocks, null_safe_join
+from legalops.functions.scans import BLOCK, in_blocks, null_safe_join, of_cut_groups
 from legalops.operators.allocation import AGREEMENT, match_positions
 
 DOCUMENT, PAYMENT = "DOCUMENT", "PAYMENT"
@@ -52,40 +52,42 @@ def place_events(events: DataFrame, blocks: int | None = None, before: DataFrame
         blocks,
     )
     inside = Window.partitionBy(*AGREEMENT, BLOCK).orderBy(*order)
-    so_far, earlier = (inside.rowsBetween(Window.unboundedPreceding, last) for last in (0, -1))
-    local = held.withColumn("_owed_to", F.sum("_owed").over(so_far)).withColumn("_paid_in", F.sum("_paid").over(so_far))
+    upto, earlier = (inside.rowsBetween(Window.unboundedPreceding, last) for last in (0, -1))
+    local = held.withColumn("_owed_to", F.sum("_owed").over(upto)).withColumn("_paid_in", F.sum("_paid").over(upto))
     local = local.withColumn("_ahead", F.col("_paid_in") - F.col("_owed_to"))
     local = local.withColumn("_most", F.max("_ahead").over(earlier))
 
-    totals = local.groupBy(*AGREEMENT, BLOCK).agg(
+    # What the earlier blocks of an agreement that is cut come to: at most two rows a block.
+    totals = of_cut_groups(local, AGREEMENT).groupBy(*AGREEMENT, BLOCK).agg(
         F.sum("_owed").alias("_owed"), F.sum("_paid").alias("_paid"), F.max("_ahead").alias("_most")
     )
-    # An agreement has at most one row per partition from here on.
     in_order = Window.partitionBy(*AGREEMENT).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    if before is None:
-        totals = totals.select("*", *[F.lit(0).cast("long").alias(c) for c in STATE])
-    else:
-        # Where a part of the agreement is null there is no line, and no state is looked up.
-        totals = totals.join(before.select(*AGREEMENT, *STATE), AGREEMENT, "left").fillna(0, list(STATE))
     for side in ("owed", "paid"):
-        earlier_blocks = F.coalesce(F.sum(f"_{side}").over(in_order), F.lit(0))
-        totals = totals.withColumn(f"_{side}_before", F.col(f"{side}_before") + earlier_blocks)
-    most = F.col("_paid_before") - F.col("_owed_before") + F.col("_most")
-    carried = totals.withColumn("_reached", most).select(
-        *AGREEMENT, BLOCK, "_owed_before", "_paid_before", F.max("_reached").over(in_order).alias("_most_before")
+        totals = totals.withColumn(f"_{side}_carry", F.coalesce(F.sum(f"_{side}").over(in_order), F.lit(0)))
+    reached = F.col("_paid_carry") - F.col("_owed_carry") + F.col("_most")
+    carried = totals.withColumn("_reached", reached).select(
+        *AGREEMENT, BLOCK, "_owed_carry", "_paid_carry", F.max("_reached").over(in_order).alias("_most_carry")
     )
 
-    rows = null_safe_join(local, carried, [*AGREEMENT, BLOCK])
-    base = F.col("_paid_before") - F.col("_owed_before")
+    rows = null_safe_join(local, F.broadcast(carried), [*AGREEMENT, BLOCK], "left")
+    if before is None:
+        rows = rows.select("*", *[F.lit(0).cast("long").alias(c) for c in STATE])
+    else:
+        # Where a part of the agreement is null there is no line, and no state is found.
+        rows = rows.join(before.select(*AGREEMENT, *STATE), AGREEMENT, "left")
+    since = {side: F.coalesce(f"{side}_before", F.lit(0)) for side in ("owed", "paid")}
+    so_far = {side: since[side] + F.coalesce(f"_{side}_carry", F.lit(0)) for side in ("owed", "paid")}
     rows = rows.select(
         *AGREEMENT,
         "kind",
         "id",
         "amount",
-        (F.col("_owed_before") + F.col("_owed_to")).alias("owed_to"),
-        (F.col("_paid_before") + F.col("_paid_in")).alias("paid_in"),
+        (so_far["owed"] + F.col("_owed_to")).alias("owed_to"),
+        (so_far["paid"] + F.col("_paid_in")).alias("paid_in"),
         # What has been dropped in all is the most that payments were ever ahead.
-        F.greatest(F.lit(0), F.col("_most_before"), base + F.col("_most")).alias("dropped_before"),
+        F.greatest(
+            F.lit(0), since["paid"] - since["owed"] + F.col("_most_carry"), so_far["paid"] - so_far["owed"] + F.col("_most")
+        ).alias("dropped_before"),
     )
     dropped = F.greatest(F.col("dropped_before"), F.col("paid_in") - F.col("owed_to"))
     starts_at = F.when(is_document, F.col("owed_to") - F.col("amount")).otherwise(
