@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from legalops.operators import pricing
+from legalops.sources.star import ArrivingLines
 from legalops.streaming.prices import check_arriving_lines
+from legalops.streaming.sink import append
 from tests.conftest import rows
 
 D = dt.date
@@ -92,6 +96,19 @@ def test_check_contract_prices(spark, tables):
     assert rows(checked.changes, "id", "old_price", "new_price") == [(2, 10000, 25), (3, None, 45)]
 
 
+def test_prices_unfolded_from_services_are_not_broadcast(spark, tables):
+    # Spark takes them for no larger than the services, however many lists there are.
+    t = priced(tables, price_list=("creation_date nds extra_charge inflation_rate", [(D(2000, 1, 1), 0.2, 5, 1.0)]))
+    service = spark.range(1, 3).select(F.col("id").alias("id_service"), (F.col("id") * 100).alias("price"))
+    t["price_list_service"] = pricing.build_price_list(service, t["price_list"])
+    checked = pricing.check_contract_prices(spark.createDataFrame(LINES, LINE), t)
+    for frame in checked:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [id_service" in plan and "BroadcastHashJoin [id_service" not in plan
+    assert rows(checked.accepted, "id", "price") == [(1, 161), (2, 161), (3, 125), (4, 245)]
+    assert rows(checked.rejected, "id") == [(5,), (6,)]
+
+
 def test_price_contract_lines(spark, tables):
     lines = spark.createDataFrame(LINES, LINE).drop("price")
     done = pricing.price_contract_lines(lines, priced(tables))
@@ -112,3 +129,18 @@ def test_arriving_lines_are_checked_like_a_batch(spark, tables, tmp_path):
     for name, frame in zip(expected._fields, expected):
         assert rows(spark.read.parquet(f"{out}/{name}"), *frame.columns) == rows(frame), name
     assert {f.name for f in (tmp_path / "out" / "accepted").iterdir()} == {"batch_id=0", "batch_id=1"}
+
+
+@pytest.mark.parametrize("folder", [True, False])
+def test_order_lines_arrive_from_a_file_or_a_folder_of_files(spark, tmp_path, folder):
+    given = pd.DataFrame({"l_orderkey": [1, 1, 2], "l_partkey": [7, 8, 9], "l_linenumber": [1, 2, 1], "l_returnflag": ["R", "A", "N"]})
+    given = given.astype({"l_linenumber": "int32"})
+    at = tmp_path / "lineitem.parquet"
+    if folder:
+        at.mkdir()
+    for n, part in enumerate((given[:2], given[2:]) if folder else (given,)):
+        part.to_parquet(at / f"part-{n}.parquet" if folder else at, index=False)
+    given[:1].to_parquet(tmp_path / "orders.parquet", index=False)  # another table beside it
+    out = str(tmp_path / "out")
+    append(ArrivingLines(spark, str(tmp_path)).source("lineitem"), out, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    assert rows(spark.read.parquet(out).drop("batch_id")) == [tuple(r) for r in given.values.tolist()]
