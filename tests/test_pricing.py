@@ -39,6 +39,15 @@ def test_build_price_list(tables):
     assert prices[2, 4, "LEGAL"] == 10 + 10
 
 
+def test_services_of_one_file_unfold_in_many_tasks(spark, tables):
+    t = tables(price_list=("creation_date nds extra_charge inflation_rate", [(D(2000, 1, 1), 0.2, 5, 1.0)]))
+    service = spark.range(100).coalesce(1).select(F.col("id").alias("id_service"), F.col("id").alias("price"))
+    prices = pricing.build_price_list(service, t["price_list"])
+    by_task = prices.groupBy(F.spark_partition_id()).count().collect()
+    assert len(by_task) == 4 and sum(r["count"] for r in by_task) == 300
+    assert max(r["count"] for r in by_task) < 150
+
+
 def priced(tables, **more):
     return tables(
         **{
