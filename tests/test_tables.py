@@ -133,3 +133,8 @@ def test_staged_steps_can_be_dropped(spark):
     assert step.count() == 3 and os.path.isdir(folder.removeprefix("file:"))
     assert drop_staged(spark) >= 1 and not os.path.exists(folder.removeprefix("file:"))
     assert drop_staged(spark) == 0
+
+
+def test_sessions_join_partitions_up_to_a_size_that_tasks_can_hold(spark):
+    # At Spark's 64 MB a task that joins and groups contract lines took 1.7 GB.
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
