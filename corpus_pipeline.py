@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from legalops.llm import bpe, exact_dedup, minhash, mixing, toxicity
-from legalops.llm.common import staged
+from legalops.llm.common import small_batches, staged
 
 VOCABULARY = "byte_bpe_50k.json"
+# Texts sent to a worker at once; a task holds them on both sides.
+BATCH_ROWS = 500
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +42,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, as digests, and what they decode to."""
-    return bpe.encode_digests(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY)).drop("text")
+    """The ids of each document, as digests, and what they decode to. Written here, since batches are small only while it runs."""
+    with small_batches(spark, BATCH_ROWS):
+        made = bpe.encode_digests(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY)).drop("text")
+        return staged(made, "digests")
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -23,9 +23,12 @@ from legalops.llm.pretokens import LONG_CHUNK, Splitter, Vocabulary, load
 
 ship(__name__)
 
-# Encoded chunks and tested pairs kept by one worker; beyond it they are started afresh.
+# Encoded chunks and tested pairs kept by one worker; beyond it they are started afresh. Workers
+# stay alive with what they keep, beside what an executor needs for other stages.
 REMEMBERED = 250_000
-TESTED = 1_500_000
+TESTED = 400_000
+# Chunks whose ids are joined and decoded at once.
+TOGETHER = 50_000
 # Ids lie below this, so that a pair of them is one number.
 IDS = 1 << 20
 NOTHING, NOT_REACHED = -1, -2
@@ -54,6 +57,7 @@ class Encoder:
                 self.whole[text] = t
         self.automaton.make_automaton()
         self.special_bytes = {i: s.encode() for s, i in v["special"].items()}
+        self.written = {b"%d" % i: self.special_bytes.get(i) or text for i, text in self.bytes_of.items()}
         self.known = Known(self)
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
@@ -137,21 +141,22 @@ class Encoder:
     def digests(self, text: str) -> tuple[int, str, str]:
         n, ids, decoded = 0, [], []
         for special, chunks in self.splitter.parts(text):
-            if chunks:
-                counts, listed, back = zip(*map(self.known.__getitem__, chunks))
-                n += sum(counts)
-                ids.append(",".join(listed))
-                decoded.extend(back)
+            for k in range(0, len(chunks), TOGETHER):
+                listed = b",".join(map(self.known.__getitem__, chunks[k : k + TOGETHER]))
+                each = listed.split(b",")
+                n += len(each)
+                ids.append(listed)
+                decoded.append(b"".join(map(self.written.__getitem__, each)))
             if special is not None:
                 n += 1
-                ids.append(str(special))
+                ids.append(b"%d" % special)
                 decoded.append(self.decode([special]))
         back = b"".join(decoded).decode("utf-8", "replace").encode()
-        return n, sha256(",".join(ids).encode()).hexdigest(), sha256(back).hexdigest()
+        return n, sha256(b",".join(ids)).hexdigest(), sha256(back).hexdigest()
 
 
 class Known(dict):
-    """Of each chunk: how many ids, the ids as text, and what they decode to.
+    """Of each chunk its ids, as ASCII text.
 
     When REMEMBERED chunks have come, they become the older ones and the older ones go;
     an older one that comes again is kept on.
@@ -160,9 +165,9 @@ class Known(dict):
     def __init__(self, encoder: Encoder) -> None:
         super().__init__()
         self.encoder = encoder
-        self.older: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str) -> tuple[int, str, bytes]:
+    def __missing__(self, chunk: str) -> bytes:
         entry = self.older.get(chunk) or self._encode(chunk)
         if len(chunk) <= LONG_CHUNK:
             if len(self) >= REMEMBERED:
@@ -171,13 +176,11 @@ class Known(dict):
             self[chunk] = entry
         return entry
 
-    def _encode(self, chunk: str) -> tuple[int, str, bytes]:
+    def _encode(self, chunk: str) -> bytes:
         words = self.encoder.splitter.words(chunk)
         if len(words) > 1:  # a pre-token is a chunk, too
-            counts, listed, back = zip(*[self[word] for word in words])
-            return sum(counts), ",".join(listed), b"".join(back)
-        ids = self.encoder.ids(chunk.encode())
-        return len(ids), ",".join(map(str, ids)), self.encoder.decode(ids)
+            return b",".join([self[word] for word in words])
+        return ",".join(map(str, self.encoder.ids(chunk.encode()))).encode()
 
 
 def _encoder(vocabulary: Vocabulary) -> Encoder:

@@ -19,7 +19,7 @@ weight per subsequence, a table of fixed size that is sent to the tasks.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -164,16 +164,18 @@ class Scorer:
         self.table, self.bias = table.astype(np.float32), bias
         self.scale = 1 / norms(np.tri(WIDTH + 1, WIDTH, -1))  # by length
 
-    def windows(self, streams: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
-        """For some streams at a time: their letters, and each window's stream, start, length and margin."""
-        first = 0
-        while first < len(streams):
-            last, size = first, 0
-            while last < len(streams) and (last == first or size + len(streams[last]) <= TOGETHER):
-                size += len(streams[last])
-                last += 1
-            yield self._windows(streams[first:last], first)
-            first = last
+    def windows(self, streams: Iterable[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+        """For some streams at a time, which are drawn then: their letters, and each window's stream, start, length and margin."""
+        some: list[np.ndarray] = []
+        first = size = 0
+        for one in streams:
+            if some and size + len(one) > TOGETHER:
+                yield self._windows(some, first)
+                first, size, some = first + len(some), 0, []
+            some.append(one)
+            size += len(one)
+        if some:
+            yield self._windows(some, first)
 
     def _windows(self, streams: list[np.ndarray], first: int) -> tuple[np.ndarray, ...]:
         marked = np.concatenate(streams)
@@ -213,7 +215,7 @@ class Scorer:
 
     def margins(self, texts: list[str | None]) -> list[float]:
         best = np.full(len(texts), NOTHING)
-        for _, text, _, _, margin in self.windows([stream(t) for t in texts]):
+        for _, text, _, _, margin in self.windows(map(stream, texts)):
             np.maximum.at(best, text, margin)
         return best.tolist()
 
@@ -381,7 +383,7 @@ def _windows(texts: DataFrame, suspects: dict[bytes, float] | None = None, machi
         scorer = Scorer(*machine or (np.zeros(SYMBOLS**3), 0.0))
         for batch in batches:
             ids, labels, rows = batch["id"].tolist(), batch["toxic"].tolist(), []
-            for letters, text, start, length, margin in scorer.windows([stream(t) for t in batch["text"]]):
+            for letters, text, start, length, margin in scorer.windows(map(stream, batch["text"])):
                 if not machine:
                     margin = _drawn(np.array(ids)[text], text, start, length)
                 order = np.lexsort((-margin, text))

@@ -157,6 +157,15 @@ def test_toxicity_over_word_boundaries(spark):
     assert any(n == 3 for *_, length, _ in toxicity.Scorer(np.zeros(64**3), 0.0).windows([toxicity.stream("a. s  s")]) for n in length)
 
 
+def test_texts_of_a_batch_are_not_all_held_as_streams():
+    drawn = []
+    texts = (drawn.append(k) or toxicity.stream("some words here " * 5000) for k in range(12))
+    found = toxicity.Scorer(np.zeros(64**3), 0.0).windows(texts)
+    _, text, *_ = next(found)
+    assert set(text) == set(range(len(drawn) - 1)) and len(drawn) < 5
+    assert set(np.concatenate([text, *[t for _, t, *_ in found]])) == set(range(12))
+
+
 def test_quality_on_held_out_rows_and_shrinking(spark):
     rows, labels = _labelled()
     rows += [(9001, None, None, None), (9002, "", "rare", "p")]

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from hashlib import sha256
 
+import pandas as pd
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from legalops.llm import bpe, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,3 +68,30 @@ def test_empty_table(spark):
     none = _frame(spark, [])
     assert token_counts.count_tokens(none, PATH).collect() == []
     assert bpe.encode_digests(none, PATH).collect() == []
+
+
+def test_a_remembered_chunk_takes_little_memory():
+    encoder = bpe.Encoder(bpe.load(PATH))
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(20_000)]
+    encoder.digests(" ".join(words))
+    held = list(encoder.known)
+    encoder.known.clear()
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    encoder.digests(" ".join(words))
+    took = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert len(encoder.known) == len(held) > 19_000
+    assert took / len(held) < 230
+
+
+def test_the_pipeline_sends_texts_to_the_encoder_in_small_batches(spark, monkeypatch):
+    @F.pandas_udf("long")
+    def rows(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts)] * len(texts))
+
+    monkeypatch.setattr(bpe, "encode_digests", lambda df, path: df.withColumn("rows", rows("text")))
+    docs = spark.range(3000).coalesce(1).selectExpr("id doc_id", "'some words' text")
+    found = [r["rows"] for r in corpus_pipeline.encode(spark, docs, "").collect()]
+    assert len(found) == 3000 and max(found) <= corpus_pipeline.BATCH_ROWS
