@@ -1,25 +1,29 @@
 """Joins by time: the last row on or before a date, and rows whose periods overlap.
 
 Neither forms pairs that it then throws away. Both sides are laid along one line by key
-and time, and a scan in blocks (`functions.scans`) gives each row what lies before it, so
-a key of any size is cut into blocks.
+and time, and a scan gives each row what lies before it. A scan in blocks
+(`functions.scans`) cuts a key of any size; the join by the last row takes it only for keys
+that are too large for a task, as it writes all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legalops.functions.scans import Running, running
-from legalops.session import shared_folder
+from legalops.session import shared_folder, shuffles_dropped
 from legalops.sources.tables import stage
 
 # Starts that one block of an overlap join has; at most twice as many rows of it are
 # looked at in vain for each period.
 STARTS = 512
 
+# Classes of keys for each task, counted to find keys that are too large for one.
+CLASSES = 16
+
 
 def _present(columns: Sequence[str]) -> Column:
     present = F.lit(True)
@@ -36,6 +40,7 @@ def as_of_join(
     right_date: str,
     columns: Sequence[str],
     blocks: int | None = None,
+    dealt_by: Sequence[str] = (),
 ) -> DataFrame:
     """Every left row with `columns` of the last right row of its keys on or before its date.
 
@@ -45,32 +50,102 @@ def as_of_join(
     the left columns and then `columns`, whose names the left side must not have.
 
     Both sides are merged by key and date, right rows first on a day, and the right row
-    seen last is a running maximum of (date, columns). That is one shuffle of both sides;
-    nothing is multiplied, and a hot key is many blocks.
+    seen last is a running maximum of (date, columns). Nothing is multiplied. The left side is
+    written, and then each side is dealt by `dealt_by`, some of the keys and by default all,
+    into `blocks` tasks, by default the session's shuffle partitions. A side that comes dealt
+    so is not moved. Keys too large for a task are merged in blocks of rows instead, which
+    takes three times the disk: those of classes of keys with more rows than a task's share.
     """
     taken = set(columns) & set(left.columns)
     if taken:
         raise ValueError(f"the left side has {', '.join(sorted(taken))} already")
+    spark = left.sparkSession
+    with shuffles_dropped(spark):
+        left = stage(left, shared_folder(spark, "left"), compression="zstd")
     right = right.where(_present([*keys, right_date]))
+    tasks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key_class = F.pmod(F.xxhash64(*_common(left, right, keys)), F.lit(CLASSES * tasks)) if keys else F.lit(0).cast("long")
+    large = _large(left, key_class, tasks) | _large(right, key_class, tasks)
+    sides = left, right, keys, date, right_date, columns
+    if not large:
+        return _dealt(*sides, tasks, dealt_by or keys)
+    in_blocks = key_class.isin(sorted(large))
+    with shuffles_dropped(spark):
+        cut = _in_blocks(left.where(in_blocks), right.where(in_blocks), *sides[2:], blocks)
+    if not keys:
+        return cut
+    return _dealt(left.where(~in_blocks), right.where(~in_blocks), *sides[2:], tasks, dealt_by or keys).unionByName(cut)
+
+
+def _common(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """The keys in the type that both sides' values fit, as equal numbers of two types have two hashes."""
+    both = left.select(*keys).union(right.select(*keys)).schema if keys else []
+    return [F.col(k).cast(f.dataType) for k, f in zip(keys, both)]
+
+
+def _large(rows: DataFrame, key_class: Column, tasks: int) -> set[int]:
+    """The classes that have more rows than each of the tasks would, which are less than `tasks` many."""
+    with shuffles_dropped(rows.sparkSession):
+        counted = rows.groupBy(key_class.alias("class")).agg(F.count("*").alias("n"))
+        share = F.col("n") * tasks > F.sum("n").over(Window.partitionBy())
+        return {r["class"] for r in counted.select("class", share.alias("large")).where("large").collect()}
+
+
+def _sides(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], date: str, right_date: str, columns: Sequence[str]
+) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """Both sides with the same columns, `_key`s, `_date`, `_side`, `_row` and `_seen`, and the left columns again from these.
+
+    A left column that is a key or the date of both sides' type is not in `_row` again.
+    """
+    names = {k: f"_key{i}" for i, k in enumerate(keys)}
+    given = {k: k for k in keys}
+    if date not in names:
+        names[date], given[date] = "_date", right_date
+    named = [k.alias(f"_key{i}") for i, k in enumerate(_common(left, right, keys))]
+    held = [c for c in left.columns if c not in names or left.schema[c].dataType != right.schema[given[c]].dataType]
     payload = F.struct(F.col(right_date).alias("date"), *columns)
-    kind = right.select(payload.alias("seen")).schema["seen"].dataType
-    merged = (
-        left.select(
-            *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
-            F.col(date).alias("_date"),
-            F.lit(1).alias("_side"),
-            F.struct(*left.columns).alias("_row"),
-            F.lit(None).cast(kind).alias("_seen"),
-        )
+    merged = left.select(
+        *named,
+        F.col(date).alias("_date"),
+        F.lit(1).alias("_side"),
+        F.struct(*held).alias("_row") if held else F.struct(F.lit(1)).alias("_row"),
+        F.lit(None).cast(right.select(payload.alias("seen")).schema["seen"].dataType).alias("_seen"),
     )
-    row = merged.schema["_row"].dataType
     seen = right.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        *named,
         F.col(right_date).alias("_date"),
         F.lit(0).alias("_side"),
-        F.lit(None).cast(row).alias("_row"),
+        F.lit(None).cast(merged.schema["_row"].dataType).alias("_row"),
         payload.alias("_seen"),
     )
+    return merged, seen, [(F.col("_row")[c] if c in held else F.col(names[c])).alias(c) for c in left.columns]
+
+
+def _dealt(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    right_date: str,
+    columns: Sequence[str],
+    tasks: int,
+    dealt_by: Sequence[str],
+) -> DataFrame:
+    """The as-of join with all rows of a key in one task."""
+    merged, seen, row = _sides(left, right, keys, date, right_date, columns)
+    by = [f"_key{list(keys).index(k)}" for k in dealt_by]
+    met = merged.repartition(tasks, *by).unionByName(seen.repartition(tasks, *by))
+    before = Window.partitionBy(*[f"_key{i}" for i in range(len(keys))]).orderBy("_date", "_side")
+    last = F.max("_seen").over(before.rowsBetween(Window.unboundedPreceding, 0))
+    return met.withColumn("_last", last).where("_side = 1").select(*row, *[F.col("_last")[c].alias(c) for c in columns])
+
+
+def _in_blocks(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], date: str, right_date: str, columns: Sequence[str], blocks: int | None
+) -> DataFrame:
+    """The as-of join with a key's rows cut into blocks."""
+    merged, seen, row = _sides(left, right, keys, date, right_date, columns)
     found = running(
         merged.unionByName(seen),
         [f"_key{i}" for i in range(len(keys))],
@@ -78,7 +153,7 @@ def as_of_join(
         [Running("_last", F.col("_seen"), "max")],
         blocks,
     )
-    return found.where("_side = 1").select("_row.*", *[F.col("_last")[c].alias(c) for c in columns])
+    return found.where("_side = 1").select(*row, *[F.col("_last")[c].alias(c) for c in columns])
 
 
 def overlap_join(

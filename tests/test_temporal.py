@@ -108,3 +108,58 @@ def test_no_pairs_are_formed_in_vain(spark, monkeypatch):
     assert overlap_join(rows, rows, ["k"], ("s", "e"), ("s", "e")).count() == n + 2 * (n - 1)
     # All pairs would be 16 million.
     assert sum(m.count() for m in met) <= 2 * n * 2 * 16
+
+
+def _prices(rng, keys):
+    return [(k, DAY + dt.timedelta(days=rng.randrange(60)), rng.randrange(9)) for k in keys]
+
+
+def _last_price(row, prices):
+    return max(((since, price) for k, since, price in prices if k == row[1] and since <= row[2]), default=(None, None))[1]
+
+
+def test_as_of_join_writes_no_right_rows_and_moves_no_dealt_side(spark, monkeypatch):
+    rng = random.Random(3)
+    left = [(i, rng.randrange(3000), DAY + dt.timedelta(days=rng.randrange(60))) for i in range(2000)]
+    prices = _prices(rng, [k % 3000 for k in range(9000)])
+    written = []
+    real = temporal.stage
+
+    def staged(df, *args, **options):
+        written.append(real(df, *args, **options))
+        return written[-1]
+
+    monkeypatch.setattr(temporal, "stage", staged)
+    monkeypatch.setattr(temporal, "running", lambda *args: pytest.fail("no key is large"))
+    right = spark.createDataFrame(prices, "k long, since date, price int").repartition(4, "k")
+    made = as_of_join(spark.createDataFrame(left, "id int, k long, d date"), right, ["k"], "d", "since", ["price"], 4, ["k"])
+    assert sorted(map(tuple, made.collect())) == sorted((*r, _last_price(r, prices)) for r in left)
+    assert [w.count() for w in written] == [len(left)]
+    # The left side is moved once, and the right side as it was dealt.
+    plan = made._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_as_of_join_cuts_only_large_keys_into_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    left = [(i, 5 if i % 2 else rng.randrange(500), DAY + dt.timedelta(days=rng.randrange(60))) for i in range(2000)]
+    # One key has many rows on the left, another on the right.
+    prices = _prices(rng, [k % 500 for k in range(1000)] + [7] * 600)
+    met = []
+    real = temporal.running
+
+    def counted(df, *args):
+        met.append(df.groupBy("_key0", "_side").count().collect())
+        return real(df, *args)
+
+    monkeypatch.setattr(temporal, "running", counted)
+    made = as_of_join(
+        spark.createDataFrame(left, "id int, k int, d date"), spark.createDataFrame(prices, "k long, since date, price int"),
+        ["k"], "d", "since", ["price"], 6,
+    )
+    assert made.schema["k"].dataType.simpleString() == "int"
+    assert sorted(map(tuple, made.collect())) == sorted((*r, _last_price(r, prices)) for r in left)
+    (rows,) = met
+    assert sum(r["count"] for r in rows if r["_key0"] == 5 and r["_side"]) > 990
+    assert sum(r["count"] for r in rows if r["_key0"] == 7 and not r["_side"]) > 600
+    assert len({r["_key0"] for r in rows}) < 50
