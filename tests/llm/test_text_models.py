@@ -10,6 +10,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -333,6 +334,60 @@ def test_a_conversation_of_very_many_and_very_long_turns(spark):
         assert found[conv]["loss_sha256"] == sha256(loss.encode()).hexdigest()
 
 
+def _talk(n):
+    rows = [(1, k, "assistant" if k % 3 else "user", f"turn {k} <[é🎉" + "x" * (k % 7)) for k in range(n)]
+    rows += [(2, 0, "user", "hi"), (2, 1, "assistant", "ho"), (None, 0, "assistant", "a"), (None, 1, "odd\n[n", "b"), (3, 0, "user", "no reply")]
+    return rows
+
+
+@pytest.mark.parametrize("written, held", [(1 << 28, 1 << 24), (5000, 100), (1, 1)])
+def test_every_example_is_written_out_once_in_blocks(spark, monkeypatch, tmp_path, written, held):
+    monkeypatch.setattr(chat, "WRITTEN", written)
+    monkeypatch.setattr(chat, "HELD", held)
+    monkeypatch.setattr(chat, "PIECE", held)
+    log, real = str(tmp_path / "log"), chat.read_example
+
+    def read_example(stream, upto, target):
+        found = real(stream, upto, target)
+        with open(log, "a") as f:
+            f.write(f"{upto} {len(target)} {found[0]} {found[2]}\n")
+        return found
+
+    monkeypatch.setattr(chat, "read_example", read_example)
+    rows = _talk(90)
+    made = chat.segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    found = {r["conv_id"]: r for r in chat.read_back(made).collect()}
+    assert set(found) == {1, 2, 3, None}
+    for conv, got in found.items():
+        own = [r for r in rows if r[0] == conv]
+        loss = "".join(t for _, _, r, t in own if r == "assistant")
+        assert (got["n_turns"], got["loss_chars"]) == (len(own), len(loss))
+        assert got["turns_sha256"] == sha256("".join(f"{r}\n{t}\n" for _, _, r, t in own).encode()).hexdigest()
+        assert got["loss_sha256"] == sha256(loss.encode()).hexdigest()
+    # The number of an example's turns and its code points, with its whole context.
+    parts = {c: [r["segment"] for r in made.where(F.col("conv_id").eqNullSafe(c)).orderBy("start").collect()] for c in found}
+    want = [(k + 1, len("".join(p[: k + 1]))) for c, p in parts.items() for k, t in enumerate(p) if t.startswith(chat.OPEN + "assistant\n")]
+    with open(log) as f:
+        assert sorted(tuple(map(int, line.split()[2:])) for line in f) == sorted(want)
+    assert len(want) == 62
+
+
+@pytest.mark.parametrize("written", [1 << 28, 1])
+def test_a_context_that_does_not_read_back_is_an_error(spark, monkeypatch, written):
+    monkeypatch.setattr(chat, "WRITTEN", written, raising=False)
+    made = chat.segments(spark.createDataFrame(_talk(9), "conv_id long, turn long, role string, text string"))
+    # As long as before, but with control strings in it: the context has a turn more than the conversation.
+    false = chat.CLOSE + chat.OPEN + "s\n"
+    long = made.where("conv_id = 1 AND turn = 3").withColumn("segment", F.concat(F.lit("<|im_start|>user\n" + false), F.repeat(F.lit("y"), F.length("segment")), F.lit(chat.CLOSE)))
+    added = F.when((F.col("conv_id") == 1) & (F.col("turn") > 3), long.select(F.length("segment")).scalar() - made.where("conv_id = 1 AND turn = 3").select(F.length("segment")).scalar()).otherwise(0)
+    broken = made.where("NOT (conv_id <=> 1 AND turn = 3)").withColumn("start", F.col("start") + added).unionByName(long)
+    with pytest.raises(Exception, match="does not read back as its turns|not made of whole turns"):
+        chat.read_back(broken).collect()
+    # A reply whose example is missing.
+    with pytest.raises(Exception, match="in no example"):
+        chat.read_back(made.withColumn("example", F.when(~((F.col("conv_id") == 1) & (F.col("turn") == 4)), F.col("example")))).collect()
+
+
 def test_pipeline_stages_on_a_small_folder(spark, tmp_path):
     rows, labels = _labelled(400)
     # Long copies, so that one changed word leaves a similarity of over 0.8.
